@@ -1,0 +1,16 @@
+"""Broadcasting behind a check of the size."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+MAX_BROADCAST_ROWS = 200_000
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+    """`df` with a broadcast hint if it has at most `max_rows` rows; else as it is, so that the
+    join shuffles and adaptive execution splits its skewed partitions."""
+    if df.limit(max_rows + 1).count() <= max_rows:
+        return F.broadcast(df)
+    return df
