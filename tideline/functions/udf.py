@@ -50,10 +50,16 @@ def register_split(spark: SparkSession, name: str, separator: str = ",") -> None
 
 
 def register_average(spark: SparkSession, name: str) -> None:
-    """SQL aggregate `name(double)` kept as a user-defined aggregate; null for an empty group."""
+    """SQL aggregate `name(sum, count)` that merges (sum, count) accumulators into the average.
+
+    Adding rows to accumulators is left to the built-in sum and count, per key and salt, so that a
+    group in Python holds one accumulator per salt, however many rows the key has. Null for no
+    values.
+    """
 
     @F.pandas_udf(T.DoubleType())
-    def average(values: pd.Series) -> float:
-        return values.mean() if values.notna().any() else None
+    def average(sums: pd.Series, counts: pd.Series) -> float:
+        n = counts.sum()
+        return sums.sum() / n if n else None
 
     spark.udf.register(name, average)

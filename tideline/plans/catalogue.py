@@ -1,4 +1,4 @@
 """All registered queries."""
 
-from tideline.plans import state_queries, window_queries  # noqa: F401
+from tideline.plans import row_queries, state_queries, window_queries  # noqa: F401
 from tideline.plans.registry import ORACLES, QUERIES  # noqa: F401

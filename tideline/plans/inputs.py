@@ -52,7 +52,7 @@ def sensor_lines(spark: SparkSession, folder: str) -> DataFrame:
 
 
 # `sensor_lines` for the oracle
-LINES = """(select event_id, concat_ws(',', event_type, cast(epoch_ms(ts) as varchar),
+LINES = """(select event_id, concat_ws(',', event_type, cast(epoch_us(ts) // 1000 as varchar),
   case when event_type <> 'error' then cast(value as varchar) end) as value from events)"""
 
 

@@ -96,9 +96,9 @@ RISES = """with recursive e as (
           when e.value < e.last then null else w.armed end
       from walk w join e on e.user_id = w.user_id and e.n = w.n + 1),
     ends as (select user_id, arg_max(armed, n) filter (armed is not null) as armed,
-        max(n) as n, max(n) filter (armed is not null) as at from walk group by 1),
+        max(n) as n, max(n) filter (armed is not null) as armed_n from walk group by 1),
     alerts as (select user_id, fired as armed_at from walk where fired is not null
-      union all select user_id, armed from ends where at = n)
+      union all select user_id, armed from ends where armed_n = n)
     select user_id, armed_at, armed_at + interval 6 hour as alert_at from alerts"""
 
 
