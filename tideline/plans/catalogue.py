@@ -1,4 +1,9 @@
 """All registered queries."""
 
-from tideline.plans import row_queries, state_queries, window_queries  # noqa: F401
+from tideline.plans import (  # noqa: F401
+    row_queries,
+    state_queries,
+    stream_queries,
+    window_queries,
+)
 from tideline.plans.registry import ORACLES, QUERIES  # noqa: F401

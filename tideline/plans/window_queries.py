@@ -233,6 +233,11 @@ TABLE_OVER = f"""select user_id as id, ts as rt, count(user_id) over ow as cnt,
   window ow as (partition by user_id order by ts, event_id rows between 2 preceding and current row)"""
 
 
+STREAM_OVER = f"""select user_id as id, event_id, count(*) over ow as cnt,
+  cast(sum({CENTS}) over ow as bigint) as total from events
+  window ow as (partition by user_id order by event_id rows between 2 preceding and current row)"""
+
+
 @query("tbl_over_rows", TABLE_OVER)
 def tbl_over_rows(spark, folder):
     rows = readings(spark, folder).select("user_id", "ts", "event_id", "cents")
