@@ -10,6 +10,7 @@ from collections.abc import Iterator, Sequence
 
 from pyspark.sql import DataFrame, Row
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
+from pyspark.sql.types import StructType
 
 from tideline.operators.detect import SMALLEST_POSITIVE
 
@@ -21,6 +22,8 @@ def keyed(
     """Run a processor over the rows of each key. Keyed state without a key is an error."""
     if not key:
         raise ValueError("keyed state needs at least one key column")
+    # output rows carry the names of the schema
+    processor.out = Row(*StructType.fromDDL(schema).names)
     return df.groupBy(*key).transformWithState(
         statefulProcessor=processor, outputStructType=schema, outputMode="append",
         timeMode=time_mode,
@@ -55,7 +58,7 @@ class RunningCount(InOrder):
     def handle(self, key, row) -> Iterator[Row]:
         n = (self.count.get()[0] if self.count.exists() else 0) + 1
         self.count.update((n,))
-        yield Row(*key, row[self.order], n)
+        yield self.out(*key, row[self.order], n)
 
 
 class Fold(InOrder):
@@ -72,7 +75,7 @@ class Fold(InOrder):
         if self.folded.exists():
             value = self.combine(self.folded.get()[0], value)
         self.folded.update((value,))
-        yield Row(*key, row[self.order], value)
+        yield self.out(*key, row[self.order], value)
 
 
 class Jump(InOrder):
@@ -88,7 +91,7 @@ class Jump(InOrder):
         current = row[self.value]
         last = self.last.get()[0] if self.last.exists() else None
         if last is not None and current is not None and abs(current - last) >= self.threshold:
-            yield Row(*key, row[self.order], last, current)
+            yield self.out(*key, row[self.order], last, current)
         self.last.update((current,))
 
 
@@ -106,7 +109,7 @@ class Previous(InOrder):
         if current is None:
             return
         if self.last.exists():
-            yield Row(*key, row[self.order], self.last.get()[0], current)
+            yield self.out(*key, row[self.order], self.last.get()[0], current)
         self.last.update((current,))
 
 
@@ -122,7 +125,7 @@ class DedupTtl(InOrder):
     def handle(self, key, row) -> Iterator[Row]:
         if not self.emitted.exists() or row[self.at] >= self.emitted.get()[0] + self.ttl:
             self.emitted.update((row[self.at],))
-            yield Row(*key, row[self.value], row[self.order])
+            yield self.out(*key, row[self.value], row[self.order])
 
 
 class DedupClock(InOrder):
@@ -141,7 +144,7 @@ class DedupClock(InOrder):
         name = "$$".join(str(k) for k in key)
         if not self.seen.containsKey((name,)):
             self.seen.updateValue((name,), (1,))
-            yield Row(f"{name}$${row[self.value]}")
+            yield self.out(f"{name}$${row[self.value]}")
 
 
 class CountWindow(InOrder):
@@ -162,7 +165,7 @@ class CountWindow(InOrder):
             n += 1
             if n % self.slide == 0:
                 filled = [v for v in ring if v is not None]
-                yield Row(*key, row[self.order], sum(filled) if filled else None, len(ring))
+                yield self.out(*key, row[self.order], sum(filled) if filled else None, len(ring))
         self.ring.put([(v,) for v in ring])
         self.count.update((n,))
 
@@ -179,11 +182,11 @@ class Changelog(InOrder):
     def handle(self, key, row) -> Iterator[Row]:
         cnt, total = self.result.get() if self.result.exists() else (0, None)
         if cnt:
-            yield Row(*key, row[self.order], False, cnt, total)
+            yield self.out(*key, row[self.order], False, cnt, total)
         if row[self.value] is not None:
             total = (total or 0) + row[self.value]
         self.result.update((cnt + 1, total))
-        yield Row(*key, row[self.order], True, cnt + 1, total)
+        yield self.out(*key, row[self.order], True, cnt + 1, total)
 
 
 class ControlFilter(InOrder):
@@ -202,7 +205,7 @@ class ControlFilter(InOrder):
             if row[self.marker] == 1:
                 self.blocked.update((True,))
             elif not self.blocked.exists():
-                yield Row(*key, row[self.order])
+                yield self.out(*key, row[self.order])
 
 
 class RiseClock(InOrder):
@@ -236,7 +239,7 @@ class RiseClock(InOrder):
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
         self.timer.clear()
-        yield Row(*key, f"values of {key[0]} did not fall for {self.seconds} s")
+        yield self.out(*key, f"values of {key[0]} did not fall for {self.seconds} s")
 
 
 class RiseAlert(StatefulProcessor):
@@ -260,7 +263,7 @@ class RiseAlert(StatefulProcessor):
         for row in sorted(rows, key=lambda r: (r[self.at], r[self.order])):
             at, value = row[self.at], row[self.value]
             if armed is not None and armed + self.interval < at:
-                yield Row(*key, armed, armed + self.interval)
+                yield self.out(*key, armed, armed + self.interval)
                 armed = None
             if value > last and armed is None:
                 armed = at
@@ -280,7 +283,7 @@ class RiseAlert(StatefulProcessor):
         if self.armed.exists():
             armed = self.armed.get()[0]
             self.armed.clear()
-            yield Row(*key, armed, armed + self.interval)
+            yield self.out(*key, armed, armed + self.interval)
 
     def close(self) -> None:
         pass
@@ -300,12 +303,12 @@ class EchoLength(InOrder):
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
         now = timerValues.getCurrentProcessingTimeInMs()
         for _ in rows:
-            yield Row(*key, "length", len(str(key[0])))
+            yield self.out(*key, "length", len(str(key[0])))
         self.handle_.registerTimer(now + self.seconds * 1000)
         self.deadline.update((now + 1000,))
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        yield Row(*key, "timer", expiredTimerInfo.getExpiryTimeInMs())
+        yield self.out(*key, "timer", expiredTimerInfo.getExpiryTimeInMs())
 
 
 class LowestWindows(StatefulProcessor):
@@ -336,7 +339,7 @@ class LowestWindows(StatefulProcessor):
             fired, order, value = self.windows.getValue((end,))
             if not fired and mark >= end:
                 self.windows.updateValue((end,), (True, order, value))
-                yield Row(*key, end - self.size, end, "first", order, value, mark - 1)
+                yield self.out(*key, end - self.size, end, "first", order, value, mark - 1)
             if mark >= end + self.lateness:
                 self.windows.removeKey((end,))
         if any(True for _ in self.windows.keys()):
@@ -352,7 +355,7 @@ class LowestWindows(StatefulProcessor):
             at, value, order = row[self.at_ms], row[self.value], row[self.order]
             end = at - at % self.size + self.size
             if mark >= end + self.lateness:
-                yield Row(*key, end - self.size, end, "late", order, value, mark - 1)
+                yield self.out(*key, end - self.size, end, "late", order, value, mark - 1)
                 continue
             held = self.windows.getValue((end,)) if self.windows.containsKey((end,)) else None
             best = (order, value)
@@ -361,10 +364,10 @@ class LowestWindows(StatefulProcessor):
             late = mark >= end
             if late and held is not None and not held[0]:
                 # its rows on time fire before the late row is counted
-                yield Row(*key, end - self.size, end, "first", held[1], held[2], mark - 1)
+                yield self.out(*key, end - self.size, end, "first", held[1], held[2], mark - 1)
             self.windows.updateValue((end,), (late, *best))
             if late:
-                yield Row(*key, end - self.size, end, "update", *best, mark - 1)
+                yield self.out(*key, end - self.size, end, "update", *best, mark - 1)
         if self.polling.exists():
             self.handle_.deleteTimer(self.polling.get()[0])
         yield from self._poll(key, timerValues)
