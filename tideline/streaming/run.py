@@ -7,6 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from tideline.session import shared_path
 
@@ -46,6 +47,22 @@ def batch_folder(path: str) -> Callable[[DataFrame, int], None]:
     return write
 
 
+def settle(query: StreamingQuery, quiet: int = 3, timeout: float = 300.0) -> None:
+    """Wait until `quiet` batches in a row have had no input.
+
+    For queries with processing-time timers, which run a batch at every trigger, input or not.
+    """
+    end = time.monotonic() + timeout
+    while time.monotonic() < end:
+        if query.exception():
+            raise query.exception()
+        latest = query.recentProgress[-quiet:]
+        if len(latest) == quiet and all(p.numInputRows == 0 for p in latest):
+            return
+        time.sleep(0.2)
+    raise TimeoutError(f"the query still had input after {timeout} s")
+
+
 def run_bounded(
     stream: DataFrame, mode: str = "append", timers: bool = False, wait: float = 0.0,
     checkpoint: str | None = None, path: str | None = None,
@@ -65,11 +82,8 @@ def run_bounded(
     if timers:
         started = writer.start()
         try:
-            started.processAllAvailable()
-            end = time.monotonic() + wait
-            while time.monotonic() < end and started.isActive:
-                time.sleep(0.2)
-            started.processAllAvailable()
+            settle(started)
+            time.sleep(wait)
         finally:
             started.stop()
     else:
