@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tideline.operators import runs, scan
-from tideline.session import checkpointed
+from tideline.session import stored
 
 
 def greedy_chain(
@@ -29,8 +29,10 @@ def greedy_chain(
     step: int,
     strict: bool = False,
     max_rows: int = scan.MAX_ROWS,
+    counted: DataFrame | None = None,
 ) -> DataFrame:
-    """The chosen rows of `df`.
+    """The chosen rows of `df`. `counted` may be a table that is cheaper to count than `df` and
+    has at least its rows per group.
 
     `at` is a bigint time, unique within a group; group columns hold no nulls. The first row of a
     group is chosen; after a chosen row at t the next one is the first with `at >= t + step`, or
@@ -38,14 +40,17 @@ def greedy_chain(
     """
     names = list(group)
     reach = step + 1 if strict else step
-    small, large = _by_size(df, names, max_rows)
+    small, large = _by_size(df, names, max_rows, counted)
     chosen = _walked(small, names, at, reach)
     if large is None:
         return chosen
 
     slots = runs.gap_slots(large, names, at, reach, touching=False, max_rows=max_rows)
-    marked = large.withColumn("slot", F.floor(F.col(at) / F.lit(reach))).join(
-        slots.select(*names, "slot", "run"), [*names, "slot"]
+    marked = stored(
+        large.withColumn("slot", F.floor(F.col(at) / F.lit(reach))).join(
+            slots.select(*names, "slot", "run"), [*names, "slot"]
+        ),
+        "marked",
     )
     short, long = _by_size(marked, [*names, "run"], max_rows)
     chosen = chosen.unionByName(
@@ -60,14 +65,15 @@ def greedy_chain(
 
 
 def _by_size(
-    df: DataFrame, group: list[str], max_rows: int
+    df: DataFrame, group: list[str], max_rows: int, counted: DataFrame | None = None
 ) -> tuple[DataFrame, DataFrame | None]:
     """The rows of groups up to the limit, and those of the groups beyond it."""
-    counted = df.groupBy(*group).count().filter(F.col("count") > max_rows).drop("count")
-    found = counted.collect()  # at most rows / max_rows groups
+    sizes = (df if counted is None else counted).groupBy(*group).count()
+    above = sizes.filter(F.col("count") > max_rows).drop("count")
+    found = above.collect()  # at most rows / max_rows groups
     if not found:
         return df, None
-    beyond = F.broadcast(df.sparkSession.createDataFrame(found, counted.schema))
+    beyond = F.broadcast(df.sparkSession.createDataFrame(found, above.schema))
     return df.join(beyond, group, "left_anti"), df.join(beyond, group, "left_semi")
 
 
@@ -106,7 +112,7 @@ def _jumped(df: DataFrame, group: list[str], at: str, reach: int, max_rows: int)
     probes = nodes.select(*group, F.col(at).alias("_from"), (F.col(at) + reach).alias(at))
     pointers = scan.first_at_or_after(probes, nodes, group, at, at, "_to", max_rows)
     jumps = [
-        checkpointed(
+        stored(
             pointers.filter(F.col("_to").isNotNull()).select(
                 *group, F.col("_from").alias(at), "_to"
             )
@@ -114,7 +120,7 @@ def _jumped(df: DataFrame, group: list[str], at: str, reach: int, max_rows: int)
     ]
     while True:
         onward = jumps[-1].select(*group, F.col(at).alias("_to"), F.col("_to").alias("_beyond"))
-        doubled = checkpointed(
+        doubled = stored(
             jumps[-1].join(onward, [*group, "_to"]).select(
                 *group, at, F.col("_beyond").alias("_to")
             )
@@ -125,5 +131,5 @@ def _jumped(df: DataFrame, group: list[str], at: str, reach: int, max_rows: int)
     path = nodes.groupBy(*group).agg(F.min(at).alias(at))
     for jump in reversed(jumps):
         landed = path.join(jump, [*group, at]).select(*group, F.col("_to").alias(at))
-        path = checkpointed(path.unionByName(landed))
+        path = stored(path.unionByName(landed))
     return path

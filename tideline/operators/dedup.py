@@ -31,4 +31,5 @@ def dedup_ttl(
         .groupBy(*key, "_us")
         .agg(F.min_by(F.struct(*fields), F.struct(*order)).alias("_row"))
     )
-    return greedy_chain(candidates, key, "_us", ttl, max_rows=max_rows).select(*key, "_row.*")
+    kept = greedy_chain(candidates, key, "_us", ttl, max_rows=max_rows, counted=df)
+    return kept.select(*key, "_row.*")

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tideline.operators import scan
 from tideline.operators.chain import greedy_chain
 from tideline.operators.sizes import MAX_BROADCAST_ROWS, broadcast_if_small
+from tideline.session import stored
 
 # fixed value: a key's value before its first row, the smallest positive double
 SMALLEST_POSITIVE = 4.9e-324
@@ -40,18 +41,20 @@ def lasting_rises(
     A key starts from the smallest positive value, so its first positive row is a rise. Alerts
     that are armed when the input ends are given too.
     """
-    rows = df.select(*key, at, arrival, value)
-    seen = scan.running(
-        rows, key, [at, arrival], [scan.previous("_last", F.col(value), [at, arrival])], max_rows
-    )
+    rows = scan.cut(df.select(*key, at, arrival, value), key, [at, arrival], max_rows)
+    seen = rows.extend([scan.previous("_last", F.col(value), [at, arrival])])
     last = F.coalesce(F.col("_last.value"), F.lit(SMALLEST_POSITIVE))
-    marked = seen.select(
-        *key, at, arrival,
-        (F.col(value) > last).alias("_rise"),
-        (F.col("_last").isNotNull() & (F.col(value) < last)).cast("bigint").alias("_fall"),
+    marked = seen.with_columns(
+        {
+            "_rise": F.col(value) > last,
+            "_fall": (F.col("_last").isNotNull() & (F.col(value) < last)).cast("bigint"),
+        }
     )
-    runs = scan.running(
-        marked, key, [at, arrival], [scan.running_sum("_run", F.col("_fall"))], max_rows
+    runs = stored(
+        marked.extend([scan.running_sum("_run", F.col("_fall"))])
+        .rows.filter(F.col("_rise") | (F.col("_fall") == 1))
+        .select(*key, "_run", at, "_rise", "_fall"),
+        "runs",
     )
     # rises at one and the same time arm at most one alert
     rises = runs.filter("_rise").select(*key, "_run", at).distinct()

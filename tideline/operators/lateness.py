@@ -46,7 +46,10 @@ def replay(
     df: DataFrame, order: Sequence[str], ts: str, size: int, bound: int, lateness: int = 0,
     max_rows: int = scan.MAX_ROWS,
 ) -> DataFrame:
-    """`df` with its watermarks, its tumbling window (`start_us`, `end_us`) and its `fate`."""
+    """`df` with its watermarks, its tumbling window (`start_us`, `end_us`) and its `fate`.
+
+    `stored` the result before reading it more than once, as the functions below do.
+    """
     us = epoch_us(F.col(ts))
     start = us - F.pmod(us, F.lit(size))
     fate = (

@@ -26,13 +26,11 @@ def gap_slots(
         F.max(at).alias("last"),
         *[column.alias(name) for name, column in aggregates.items()],
     )
-    seen = scan.running(
-        slots, key, ["slot"], [scan.previous("_before", F.col("last"), ["slot"])], max_rows
+    seen = scan.cut(slots, key, ["slot"], max_rows).extend(
+        [scan.previous("_before", F.col("last"), ["slot"])]
     )
     distance = F.col("first") - F.col("_before.value")
     apart = distance > gap if touching else distance >= gap
     start = F.when(F.col("_before").isNull() | apart, F.col("first"))
-    return scan.running(
-        seen.withColumn("_start", start), key, ["slot"],
-        [scan.running_max("run", F.col("_start"))], max_rows,
-    ).drop("_before", "_start")
+    marked = seen.with_columns({"_start": start})
+    return marked.extend([scan.running_max("run", F.col("_start"))]).rows.drop("_before", "_start")

@@ -10,13 +10,15 @@ from __future__ import annotations
 
 import math
 from collections.abc import Callable, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tideline.session import stored
+
 MAX_ROWS = 2_000_000
 
 SEGMENT = "_segment"
@@ -84,6 +86,42 @@ def previous(name: str, value: Column, order: Sequence[str]) -> Measure:
     )
 
 
+@dataclass(frozen=True)
+class Cut:
+    """Rows ready for running values by `key` in `order`, with segments if a key is hot."""
+
+    df: DataFrame
+    key: Sequence[str]
+    order: Sequence[str]
+    split: bool
+    derived: bool = False
+
+    @property
+    def rows(self) -> DataFrame:
+        return self.df.drop(SEGMENT)
+
+    def with_columns(self, columns: dict[str, Column]) -> Cut:
+        return replace(self, df=self.df.withColumns(columns))
+
+    def extend(self, measures: Sequence[Measure]) -> Cut:
+        """One more column per measure. Extensions of the same cut share one shuffle and sort."""
+        if not self.split:
+            w = Window.partitionBy(*self.key).orderBy(*self.order)
+            added = [m.within(w).alias(m.name) for m in measures]
+            return replace(self, df=self.df.select("*", *added), derived=True)
+        # the summaries read the rows once more, so windows below them are not computed twice
+        df = stored(self.df, "segments") if self.derived else self.df
+        return replace(self, df=_over_segments(df, self.key, self.order, measures), derived=True)
+
+
+def cut(
+    df: DataFrame, key: Sequence[str], order: Sequence[str], max_rows: int = MAX_ROWS
+) -> Cut:
+    """Look for hot keys once; `order` must be unique within a key."""
+    segmented = segment(df, key, order, max_rows)
+    return Cut(df if segmented is None else segmented, key, order, segmented is not None)
+
+
 def running(
     df: DataFrame,
     key: Sequence[str],
@@ -92,16 +130,11 @@ def running(
     max_rows: int = MAX_ROWS,
 ) -> DataFrame:
     """`df` with one column per measure. `order` must be unique within a key."""
-    segmented = segment(df, key, order, max_rows)
-    if segmented is None:
-        w = Window.partitionBy(*key).orderBy(*order)
-        return df.select("*", *[m.within(w).alias(m.name) for m in measures])
-    return _over_segments(segmented, df.columns, key, order, measures)
+    return cut(df, key, order, max_rows).extend(measures).rows
 
 
 def _over_segments(
-    segmented: DataFrame, columns: Sequence[str], key: Sequence[str], order: Sequence[str],
-    measures: Sequence[Measure],
+    segmented: DataFrame, key: Sequence[str], order: Sequence[str], measures: Sequence[Measure]
 ) -> DataFrame:
     hot = segmented.filter(F.col(SEGMENT) > 0)
     parts = hot.groupBy(*key, SEGMENT).agg(*[m.summary.alias(f"_{m.name}") for m in measures])
@@ -118,7 +151,7 @@ def _over_segments(
         same = same & F.col(k).eqNullSafe(F.col(f"_key{i}"))
     w = Window.partitionBy(*key, SEGMENT).orderBy(*order)
     return segmented.join(carried, same, "left").select(
-        *columns,
+        *segmented.columns,
         *[m.merge(F.col(f"_{m.name}"), m.within(w)).alias(m.name) for m in measures],
     )
 
@@ -175,7 +208,7 @@ def _copied(
     segmented = segment(df, key, order, max_rows)
     if segmented is None:
         return None
-    placed = _over_segments(segmented, df.columns, key, order, [running_count(place)])
+    placed = _over_segments(segmented, key, order, [running_count(place)]).drop(SEGMENT)
     block = lambda at: F.floor((at - 1) / max_rows)
     last = block(F.col(place) + F.lit(preceding))
     return placed.withColumn("home", block(F.col(place))).withColumn(

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from tideline.functions.time import epoch_us, from_epoch_us
 from tideline.operators import runs, scan
+from tideline.session import stored
 
 
 def tumbling(
@@ -74,7 +75,7 @@ def running_winner(
     sum never falls, so the best sum up to a window is the best of all sums reached until then.
     Otherwise each sum is repeated for every window up to the key's next one.
     """
-    flat = totals.select(key, name, epoch_us(F.col("window.end")).alias("_end"))
+    flat = stored(totals.select(key, name, epoch_us(F.col("window.end")).alias("_end")), "totals")
     sums = scan.running(
         flat, [key], ["_end"], [scan.running_sum("_sum", F.col(name))], max_rows
     ).select(key, F.col("_sum").alias(name), "_end")
@@ -92,7 +93,7 @@ def running_winner(
         )
     ranked = F.struct((-F.col(name)).alias("_rank"), F.col(key).alias("_key"))
     record = F.struct(ranked.alias("_by"), F.struct(key, name).alias("_record"))
-    best = sums.groupBy("_end").agg(F.min(record).alias("_best"))
+    best = stored(sums.groupBy("_end").agg(F.min(record).alias("_best")), "best")
     if falling:
         best = best.join(flat.select("_end").distinct(), "_end", "left_semi")
     else:

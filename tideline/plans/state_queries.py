@@ -9,6 +9,7 @@ from tideline.operators import changelog, dedup, detect, lateness, rolling
 from tideline.plans.inputs import BOUND, CENTS, LATENESS, WINDOW, disordered, events, readings
 from tideline.plans.registry import query
 from tideline.plans.window_queries import REPLAY
+from tideline.session import stored
 
 ORDER = ["event_id"]
 ARRIVAL = ["arrived", "event_id"]
@@ -273,7 +274,10 @@ def late_side_output(spark, folder):
     select event_type, window_end, 'update', fired_by, lowest, watermark from updates""",
 )
 def allowed_lateness_firings(spark, folder):
-    replayed = lateness.replay(disordered(spark, folder), ARRIVAL, "ts", WINDOW, BOUND, LATENESS)
+    rows = disordered(spark, folder).select("event_id", "arrived", "id", "ts", "value")
+    replayed = stored(
+        lateness.replay(rows, ARRIVAL, "ts", WINDOW, BOUND, LATENESS), "replayed"
+    )
     fired = lateness.lowest_firings(
         replayed, ["id"], ARRIVAL, "value", WINDOW, ["event_id", "value"]
     )

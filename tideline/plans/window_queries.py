@@ -10,6 +10,7 @@ from tideline.functions.time import HOUR
 from tideline.operators import lateness, rolling, scan, windows
 from tideline.plans.inputs import BOUND, CENTS, WINDOW, disordered, readings
 from tideline.plans.registry import query
+from tideline.session import stored
 
 HOURLY = f"""select user_id as driver, date_trunc('hour', ts) as window_start,
   cast(sum({CENTS}) as bigint) as total from events group by 1, 2"""
@@ -152,7 +153,8 @@ CLOSED = f"""(select e.window_end, min(r.after) - interval 1 millisecond as wate
 )
 def win_process_meta(spark, folder):
     order = ["arrived", "event_id"]
-    replayed = lateness.replay(disordered(spark, folder), order, "ts", WINDOW, BOUND)
+    rows = disordered(spark, folder).select("event_id", "arrived", "id", "ts", "cents")
+    replayed = stored(lateness.replay(rows, order, "ts", WINDOW, BOUND), "replayed")
     totals = (
         replayed.filter(F.col("fate") == lateness.ON_TIME)
         .groupBy("id", "start_us", "end_us")

@@ -7,7 +7,12 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+# state on local disk, with only its changes uploaded per micro-batch
+STATE = {
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+}
 
 
 def build_session(app: str = "tideline", master: str | None = None, **conf) -> SparkSession:
@@ -19,7 +24,7 @@ def build_session(app: str = "tideline", master: str | None = None, **conf) -> S
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
-        "spark.sql.streaming.stateStore.providerClass": ROCKSDB,
+        **STATE,
         "spark.ui.enabled": "false",
         **conf,
     }
@@ -31,7 +36,8 @@ def build_session(app: str = "tideline", master: str | None = None, **conf) -> S
 def prepare(spark: SparkSession) -> SparkSession:
     """Set what results depend on in a session that somebody else built: UTC and the state store."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
-    spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
+    for name, value in STATE.items():
+        spark.conf.set(name, value)
     return spark
 
 
@@ -58,9 +64,12 @@ def shared_path(spark: SparkSession, name: str) -> str:
     return f"{shared_root(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """`df` written to the shared folder, with its lineage cut; survives the loss of executors."""
-    shared_root(df.sparkSession)
-    if df.sparkSession.sparkContext.getCheckpointDir() is None:
-        df.sparkSession.sparkContext.setCheckpointDir(shared_root(df.sparkSession))
-    return df.checkpoint()
+def stored(df: DataFrame, name: str = "table") -> DataFrame:
+    """`df` written once to the shared folder and read back.
+
+    For tables that are read several times. Cuts the lineage, survives the loss of executors, and
+    keeps column pruning and size statistics, which a checkpoint does not.
+    """
+    path = shared_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

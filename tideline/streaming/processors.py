@@ -31,15 +31,26 @@ def keyed(
 
 
 class InOrder(StatefulProcessor):
-    """A processor that takes one row after the other, in the order of the column `order`."""
+    """Takes a key's rows in the order of the column `order`, with one value of state.
+
+    The state is read and written once per key and micro-batch. `step` is given the state (None
+    at first), yields output rows and returns the new state.
+    """
 
     order: str
+    state: str
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.held = handle.getValueState("held", self.state)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        state = self.held.get()
         for row in sorted(rows, key=lambda r: r[self.order]):
-            yield from self.handle(key, row)
+            state = yield from self.step(key, row, state)
+        if state is not None:
+            self.held.update(state)
 
-    def handle(self, key, row) -> Iterator[Row]:
+    def step(self, key, row, state):
         raise NotImplementedError
 
     def close(self) -> None:
@@ -49,86 +60,98 @@ class InOrder(StatefulProcessor):
 class RunningCount(InOrder):
     """(*key, order, n): the number of rows of the key so far."""
 
+    state = "n bigint"
+
     def __init__(self, order: str):
         self.order = order
 
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.count = handle.getValueState("count", "n bigint")
-
-    def handle(self, key, row) -> Iterator[Row]:
-        n = (self.count.get()[0] if self.count.exists() else 0) + 1
-        self.count.update((n,))
+    def step(self, key, row, state):
+        n = state[0] + 1 if state else 1
         yield self.out(*key, row[self.order], n)
+        return (n,)
 
 
 class Fold(InOrder):
     """(*key, order, folded): a value folded row by row with `combine`, as reducing state does."""
 
     def __init__(self, order: str, value: str, kind: str, combine):
-        self.order, self.value, self.kind, self.combine = order, value, kind, combine
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.folded = handle.getValueState("folded", f"value {self.kind}")
+        self.order, self.value, self.combine = order, value, combine
+        self.state = f"value {kind}"
 
-    def handle(self, key, row) -> Iterator[Row]:
+    def step(self, key, row, state):
         value = row[self.value]
-        if self.folded.exists():
-            value = self.combine(self.folded.get()[0], value)
-        self.folded.update((value,))
-        yield self.out(*key, row[self.order], value)
+        folded = self.combine(state[0], value) if state else value
+        yield self.out(*key, row[self.order], folded)
+        return (folded,)
 
 
 class Jump(InOrder):
     """(*key, order, last, current) where a value is `threshold` or more away from the last."""
 
+    state = "last double"
+
     def __init__(self, order: str, value: str, threshold: float):
         self.order, self.value, self.threshold = order, value, threshold
 
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.last = handle.getValueState("last", "value double")
-
-    def handle(self, key, row) -> Iterator[Row]:
+    def step(self, key, row, state):
         current = row[self.value]
-        last = self.last.get()[0] if self.last.exists() else None
+        last = state[0] if state else None
         if last is not None and current is not None and abs(current - last) >= self.threshold:
             yield self.out(*key, row[self.order], last, current)
-        self.last.update((current,))
+        return (current,)
 
 
 class Previous(InOrder):
     """(*key, order, last, current): each row's value with the key's value before it."""
 
+    state = "last string"
+
     def __init__(self, order: str, value: str):
         self.order, self.value = order, value
 
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.last = handle.getValueState("last", "value string")
-
-    def handle(self, key, row) -> Iterator[Row]:
+    def step(self, key, row, state):
         current = row[self.value]
         if current is None:
-            return
-        if self.last.exists():
-            yield self.out(*key, row[self.order], self.last.get()[0], current)
-        self.last.update((current,))
+            return state
+        if state:
+            yield self.out(*key, row[self.order], state[0], current)
+        return (current,)
 
 
 class DedupTtl(InOrder):
     """(*key, value, order): rows at `ttl` or more of event time after the key's last output."""
 
+    state = "emitted bigint"
+
     def __init__(self, order: str, at: str, value: str, ttl: int):
         self.order, self.at, self.value, self.ttl = order, at, value, ttl
 
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.emitted = handle.getValueState("emitted", "at bigint")
+    def step(self, key, row, state):
+        if state and row[self.at] < state[0] + self.ttl:
+            return state
+        yield self.out(*key, row[self.value], row[self.order])
+        return (row[self.at],)
+
+
+class Changelog(InOrder):
+    """(*key, order, op, cnt, total): takes back the key's last result and adds the new one."""
 
-    def handle(self, key, row) -> Iterator[Row]:
-        if not self.emitted.exists() or row[self.at] >= self.emitted.get()[0] + self.ttl:
-            self.emitted.update((row[self.at],))
-            yield self.out(*key, row[self.value], row[self.order])
+    state = "cnt bigint, total bigint"
 
+    def __init__(self, order: str, value: str):
+        self.order, self.value = order, value
+
+    def step(self, key, row, state):
+        cnt, total = state or (0, None)
+        if cnt:
+            yield self.out(*key, row[self.order], False, cnt, total)
+        if row[self.value] is not None:
+            total = (total or 0) + row[self.value]
+        yield self.out(*key, row[self.order], True, cnt + 1, total)
+        return (cnt + 1, total)
 
-class DedupClock(InOrder):
+
+class DedupClock(StatefulProcessor):
     """(line): `key$$value` of the first row per key and `ttl_ms` of wall-clock time.
 
     Suppressed rows do not prolong the time to live, and an expired entry is never seen.
@@ -140,14 +163,18 @@ class DedupClock(InOrder):
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.seen = handle.getMapState("seen", "key string", "mark int", ttlDurationMs=self.ttl_ms)
 
-    def handle(self, key, row) -> Iterator[Row]:
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
         name = "$$".join(str(k) for k in key)
-        if not self.seen.containsKey((name,)):
-            self.seen.updateValue((name,), (1,))
-            yield self.out(f"{name}$${row[self.value]}")
+        for row in sorted(rows, key=lambda r: r[self.order]):
+            if not self.seen.containsKey((name,)):
+                self.seen.updateValue((name,), (1,))
+                yield self.out(f"{name}$${row[self.value]}")
+
+    def close(self) -> None:
+        pass
 
 
-class CountWindow(InOrder):
+class CountWindow(StatefulProcessor):
     """(*key, order, total, n): every `slide`-th row of a key fires over the last `size` rows."""
 
     def __init__(self, order: str, value: str, size: int, slide: int):
@@ -159,7 +186,8 @@ class CountWindow(InOrder):
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
         ring = [r[0] for r in self.ring.get()]
-        n = self.count.get()[0] if self.count.exists() else 0
+        held = self.count.get()
+        n = held[0] if held else 0
         for row in sorted(rows, key=lambda r: r[self.order]):
             ring = [*ring, row[self.value]][-self.size :]
             n += 1
@@ -169,27 +197,11 @@ class CountWindow(InOrder):
         self.ring.put([(v,) for v in ring])
         self.count.update((n,))
 
-
-class Changelog(InOrder):
-    """(*key, order, op, cnt, total): takes back the key's last result and adds the new one."""
-
-    def __init__(self, order: str, value: str):
-        self.order, self.value = order, value
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.result = handle.getValueState("result", "cnt bigint, total bigint")
-
-    def handle(self, key, row) -> Iterator[Row]:
-        cnt, total = self.result.get() if self.result.exists() else (0, None)
-        if cnt:
-            yield self.out(*key, row[self.order], False, cnt, total)
-        if row[self.value] is not None:
-            total = (total or 0) + row[self.value]
-        self.result.update((cnt + 1, total))
-        yield self.out(*key, row[self.order], True, cnt + 1, total)
+    def close(self) -> None:
+        pass
 
 
-class ControlFilter(InOrder):
+class ControlFilter(StatefulProcessor):
     """(word, order): rows of input 2, until the same word has come from input 1."""
 
     def __init__(self, order: str, marker: str = "input"):
@@ -199,16 +211,21 @@ class ControlFilter(InOrder):
         self.blocked = handle.getValueState("blocked", "yes boolean")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        before = blocked = self.blocked.exists()
         # a word that arrives together with its control row still passes
-        in_order = sorted(rows, key=lambda r: (r[self.order], -r[self.marker]))
-        for row in in_order:
+        for row in sorted(rows, key=lambda r: (r[self.order], -r[self.marker])):
             if row[self.marker] == 1:
-                self.blocked.update((True,))
-            elif not self.blocked.exists():
+                blocked = True
+            elif not blocked:
                 yield self.out(*key, row[self.order])
+        if blocked and not before:
+            self.blocked.update((True,))
 
+    def close(self) -> None:
+        pass
 
-class RiseClock(InOrder):
+
+class RiseClock(StatefulProcessor):
     """(*key, message): wall-clock alert for a key whose value did not fall for `seconds`."""
 
     def __init__(self, order: str, value: str, seconds: int):
@@ -241,6 +258,9 @@ class RiseClock(InOrder):
         self.timer.clear()
         yield self.out(*key, f"values of {key[0]} did not fall for {self.seconds} s")
 
+    def close(self) -> None:
+        pass
+
 
 class RiseAlert(StatefulProcessor):
     """(*key, armed_at, alert_at): event-time alert for a key whose value did not fall for
@@ -289,7 +309,7 @@ class RiseAlert(StatefulProcessor):
         pass
 
 
-class EchoLength(InOrder):
+class EchoLength(StatefulProcessor):
     """(*key, kind, value): the length of the key per row, and a row when the wall-clock timer
     set `seconds` after a row fires."""
 
@@ -310,6 +330,9 @@ class EchoLength(InOrder):
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
         yield self.out(*key, "timer", expiredTimerInfo.getExpiryTimeInMs())
 
+    def close(self) -> None:
+        pass
+
 
 class LowestWindows(StatefulProcessor):
     """Tumbling windows with allowed lateness, keeping the record with the lowest value.
