@@ -28,6 +28,11 @@ def from_epoch_us(us: Column) -> Column:
     return F.timestamp_micros(us).cast("timestamp_ntz")
 
 
+def slot_start(at: Column, size: int) -> Column:
+    """Start of the slot of length `size` that a whole number lies in, as window starts are."""
+    return at - F.pmod(at, F.lit(size).cast("bigint"))
+
+
 SECOND = 1_000_000
 MINUTE = 60 * SECOND
 HOUR = 60 * MINUTE

@@ -18,7 +18,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tideline.functions.time import slot_start
 from tideline.operators import runs, scan
+from tideline.operators.windows import first_record
 from tideline.session import stored
 
 
@@ -28,33 +30,37 @@ def greedy_chain(
     at: str,
     step: int,
     strict: bool = False,
+    order: Sequence[str] = (),
     max_rows: int = scan.MAX_ROWS,
-    counted: DataFrame | None = None,
 ) -> DataFrame:
-    """The chosen rows of `df`. `counted` may be a table that is cheaper to count than `df` and
-    has at least its rows per group.
+    """The chosen rows of `df`.
 
-    `at` is a bigint time, unique within a group; group columns hold no nulls. The first row of a
-    group is chosen; after a chosen row at t the next one is the first with `at >= t + step`, or
-    `at > t + step` if `strict`.
+    `at` is a bigint time; of rows at the same time only the first in `order` can be chosen. Group
+    columns hold no nulls. The first row of a group is chosen; after a chosen row at t the next one
+    is the first with `at >= t + step`, or `at > t + step` if `strict`.
     """
     names = list(group)
     reach = step + 1 if strict else step
-    small, large = _by_size(df, names, max_rows, counted)
-    chosen = _walked(small, names, at, reach)
+    small, large = _by_size(df, names, max_rows)
+    chosen = _walked(small, names, at, order, reach)
     if large is None:
         return chosen
 
+    rest = [c for c in df.columns if c not in [*names, at]]
+    single = large.groupBy(*names, at).agg(first_record(order, rest, "_rest")) if rest else (
+        large.distinct()
+    )
+    unpacked = single.select(*names, at, "_rest.*") if rest else single
     slots = runs.gap_slots(large, names, at, reach, touching=False, max_rows=max_rows)
     marked = stored(
-        large.withColumn("slot", F.floor(F.col(at) / F.lit(reach))).join(
+        unpacked.withColumn("slot", slot_start(F.col(at), reach)).join(
             slots.select(*names, "slot", "run"), [*names, "slot"]
         ),
         "marked",
     )
     short, long = _by_size(marked, [*names, "run"], max_rows)
     chosen = chosen.unionByName(
-        _walked(short, [*names, "run"], at, reach).select(*df.columns)
+        _walked(short, [*names, "run"], at, (), reach).select(*df.columns)
     )
     if long is None:
         return chosen
@@ -65,10 +71,10 @@ def greedy_chain(
 
 
 def _by_size(
-    df: DataFrame, group: list[str], max_rows: int, counted: DataFrame | None = None
+    df: DataFrame, group: list[str], max_rows: int
 ) -> tuple[DataFrame, DataFrame | None]:
     """The rows of groups up to the limit, and those of the groups beyond it."""
-    sizes = (df if counted is None else counted).groupBy(*group).count()
+    sizes = df.groupBy(*group).count()
     above = sizes.filter(F.col("count") > max_rows).drop("count")
     found = above.collect()  # at most rows / max_rows groups
     if not found:
@@ -77,7 +83,9 @@ def _by_size(
     return df.join(beyond, group, "left_anti"), df.join(beyond, group, "left_semi")
 
 
-def _walked(df: DataFrame, group: list[str], at: str, reach: int) -> DataFrame:
+def _walked(
+    df: DataFrame, group: list[str], at: str, order: Sequence[str], reach: int
+) -> DataFrame:
     def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         current, bar = None, None
         for batch in batches:
@@ -87,7 +95,7 @@ def _walked(df: DataFrame, group: list[str], at: str, reach: int) -> DataFrame:
             changed = np.zeros(batch.num_rows, dtype=bool)
             changed[0] = tuple(c[0].as_py() for c in columns) != current
             for c in columns:
-                codes = c.dictionary_encode().indices.to_numpy()
+                codes = c.dictionary_encode(null_encoding="encode").indices.to_numpy()
                 changed[1:] |= codes[1:] != codes[:-1]
             bounds = np.unique(np.concatenate([[0], np.flatnonzero(changed), [batch.num_rows]]))
             times = batch.column(at).to_numpy()
@@ -103,7 +111,7 @@ def _walked(df: DataFrame, group: list[str], at: str, reach: int) -> DataFrame:
             current = tuple(c[-1].as_py() for c in columns)
             yield batch.take(pa.array(chosen, pa.int64()))
 
-    ordered = df.repartition(*group).sortWithinPartitions(*group, at)
+    ordered = df.repartition(*group).sortWithinPartitions(*group, at, *order)
     return ordered.mapInArrow(walk, df.schema)
 
 

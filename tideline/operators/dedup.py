@@ -10,14 +10,14 @@ from pyspark.sql import functions as F
 from tideline.functions.time import epoch_us
 from tideline.operators.chain import greedy_chain
 from tideline.operators.scan import MAX_ROWS
+from tideline.operators.windows import first_record
 
 
 def dedup_forever(
     df: DataFrame, key: Sequence[str], order: Sequence[str], fields: Sequence[str]
 ) -> DataFrame:
     """(*key, *fields) of the first row per key, found by partial and final aggregation."""
-    earliest = F.min_by(F.struct(*fields), F.struct(*order)).alias("_first")
-    return df.groupBy(*key).agg(earliest).select(*key, "_first.*")
+    return df.groupBy(*key).agg(first_record(order, fields, "_first")).select(*key, "_first.*")
 
 
 def dedup_ttl(
@@ -26,10 +26,7 @@ def dedup_ttl(
 ) -> DataFrame:
     """(*key, *fields) of the rows that come `ttl` microseconds or more after the key's last
     output row, and of each key's first row. Suppressed rows do not prolong the wait."""
-    candidates = (
-        df.withColumn("_us", epoch_us(F.col(ts)))
-        .groupBy(*key, "_us")
-        .agg(F.min_by(F.struct(*fields), F.struct(*order)).alias("_row"))
-    )
-    kept = greedy_chain(candidates, key, "_us", ttl, max_rows=max_rows, counted=df)
-    return kept.select(*key, "_row.*")
+    kept = [c for c in dict.fromkeys([*order, *fields]) if c not in key]
+    timed = df.select(*key, epoch_us(F.col(ts)).alias("_us"), *kept)
+    chosen = greedy_chain(timed, key, "_us", ttl, order=order, max_rows=max_rows)
+    return chosen.select(*key, *fields)

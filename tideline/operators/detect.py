@@ -56,8 +56,7 @@ def lasting_rises(
         .select(*key, "_run", at, "_rise", "_fall"),
         "runs",
     )
-    # rises at one and the same time arm at most one alert
-    rises = runs.filter("_rise").select(*key, "_run", at).distinct()
+    rises = runs.filter("_rise").select(*key, "_run", at)
     armed = greedy_chain(rises, [*key, "_run"], at, interval, strict=True, max_rows=max_rows)
     ends = runs.filter("_fall = 1").select(
         *key, (F.col("_run") - 1).alias("_run"), F.col(at).alias("_ended")

@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tideline.functions.time import epoch_us, from_epoch_us
+from tideline.functions.time import epoch_us, from_epoch_us, slot_start
 from tideline.operators import scan
 
 MILLISECOND = 1_000
@@ -51,7 +51,7 @@ def replay(
     `stored` the result before reading it more than once, as the functions below do.
     """
     us = epoch_us(F.col(ts))
-    start = us - F.pmod(us, F.lit(size))
+    start = slot_start(us, size)
     fate = (
         F.when(F.col("before_us") >= F.col("end_us") + lateness, TOO_LATE)
         .when(F.col("before_us") >= F.col("end_us"), LATE)
@@ -74,12 +74,11 @@ def closing_watermarks(
 ) -> DataFrame:
     """(end_us, closed_at): the watermark at which each window fired, null if the input ended
     first. Only one row per time slot of the window size is put in order."""
-    slot = F.floor(F.col("after_us") / F.lit(size))
-    steps = replayed.groupBy(slot.alias("slot")).agg(F.min("after_us").alias("after_us"))
-    ends = replayed.select("end_us").distinct().withColumn("slot", F.floor(F.col("end_us") / size))
-    return scan.first_at_or_after(ends, steps, [], "slot", "after_us", "closed_at", max_rows).drop(
-        "slot"
+    steps = replayed.groupBy(slot_start(F.col("after_us"), size).alias("end_us")).agg(
+        F.min("after_us").alias("after_us")
     )
+    ends = replayed.select("end_us").distinct()
+    return scan.first_at_or_after(ends, steps, [], "end_us", "after_us", "closed_at", max_rows)
 
 
 def lowest_firings(

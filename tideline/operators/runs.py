@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tideline.functions.time import slot_start
 from tideline.operators import scan
 
 
@@ -15,13 +16,13 @@ def gap_slots(
     max_rows: int = scan.MAX_ROWS, **aggregates: Column,
 ) -> DataFrame:
     """(*key, slot, first, last, *aggregates, run): the rows summed up per time slot of length
-    `gap`, and the run each slot belongs to, named by its first time.
+    `gap`, named by its start, and the run each slot belongs to, named by its first time.
 
     Two rows of one slot are always in the same run, so only one row per slot has to be put in
     order, however many rows a key has. A new run starts at a distance of `gap`, or above `gap`
     if `touching`.
     """
-    slots = df.groupBy(*key, F.floor(F.col(at) / F.lit(gap)).alias("slot")).agg(
+    slots = df.groupBy(*key, slot_start(F.col(at), gap).alias("slot")).agg(
         F.min(at).alias("first"),
         F.max(at).alias("last"),
         *[column.alias(name) for name, column in aggregates.items()],

@@ -17,9 +17,14 @@ from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tideline.functions.time import slot_start
 from tideline.session import stored
 
 MAX_ROWS = 2_000_000
+# beyond MAX_ROWS * MAX_SEGMENTS / 2 hot rows, segments grow instead of becoming more
+MAX_SEGMENTS = 50_000
+# rows per segment from which the cut points are estimated
+SAMPLED = 1_000
 
 SEGMENT = "_segment"
 _POSITION = "_position"
@@ -209,10 +214,10 @@ def _copied(
     if segmented is None:
         return None
     placed = _over_segments(segmented, key, order, [running_count(place)]).drop(SEGMENT)
-    block = lambda at: F.floor((at - 1) / max_rows)
-    last = block(F.col(place) + F.lit(preceding))
-    return placed.withColumn("home", block(F.col(place))).withColumn(
-        "block", F.explode(F.sequence(F.col("home"), last))
+    start = lambda at: slot_start(at - 1, max_rows)
+    last = start(F.col(place) + F.lit(preceding))
+    return placed.withColumn("home", start(F.col(place))).withColumn(
+        "block", F.explode(F.sequence(F.col("home"), last, F.lit(max_rows).cast("bigint")))
     )
 
 
@@ -228,7 +233,7 @@ def segment(
     if not hot_keys:
         return None
     hot_rows = sum(row["count"] for row in hot_keys)
-    wanted = math.ceil(2 * hot_rows / max_rows)
+    wanted = min(math.ceil(2 * hot_rows / max_rows), MAX_SEGMENTS)
     if key:
         named = [F.col(k).alias(f"_hot{i}") for i, k in enumerate(key)]
         hot = df.sparkSession.createDataFrame(hot_keys, sizes.schema).select(*named)
@@ -241,24 +246,27 @@ def segment(
         ).select(*df.columns, F.coalesce("_is_hot", F.lit(False)).alias("_is_hot"))
     else:
         marked = df.withColumn("_is_hot", F.lit(True))
-    numbered = _numbered(marked, order, wanted)
+    numbered = _numbered(marked, order, wanted, hot_rows)
     return numbered.withColumn(
         SEGMENT, F.when(F.col("_is_hot"), F.col(SEGMENT)).otherwise(F.lit(0).cast("bigint"))
     ).drop("_is_hot")
 
 
-def _numbered(marked: DataFrame, order: Sequence[str], wanted: int) -> DataFrame:
+def _numbered(
+    marked: DataFrame, order: Sequence[str], wanted: int, hot_rows: int
+) -> DataFrame:
     """Segment numbers from 1 up, cut at quantiles of the first order column; where one value of
     it fills several quantiles, its rows are cut again by the next order column."""
     first = _as_position(marked, order[0])
-    points = _quantiles(marked.filter("_is_hot"), first, wanted)
+    hot = marked.filter("_is_hot")
+    points = _quantiles(hot, first, wanted, hot_rows)
     repeated = sorted({p for p, q in zip(points, points[1:]) if p == q})
     numbered = _bucketed(marked.withColumn(_POSITION, first), points, SEGMENT)
     if not repeated or len(order) == 1:
         return numbered.drop(_POSITION).withColumn(SEGMENT, F.col(SEGMENT) + 1)
     tied = F.col(_POSITION).isin(repeated)
     second = _as_position(marked, order[1])
-    inner = _quantiles(numbered.filter("_is_hot").filter(tied), second, wanted)
+    inner = _quantiles(hot.filter(first.isin(repeated)), second, wanted, hot_rows)
     numbered = _bucketed(
         numbered.withColumn("_tied", tied).withColumn(_POSITION, second), inner, "_inner"
     )
@@ -280,12 +288,16 @@ def _as_position(df: DataFrame, name: str) -> Column:
     return F.coalesce(number.cast("double"), F.lit(float("-inf")))
 
 
-def _quantiles(df: DataFrame, position: Column, wanted: int) -> list[float]:
+def _quantiles(df: DataFrame, position: Column, wanted: int, rows: int) -> list[float]:
+    """Cut points into `wanted` parts of about equal size. They only steer the work: any cut points
+    give the same result, so an estimate from a sample will do for large inputs."""
     shares = [i / wanted for i in range(1, wanted)]
     if not shares:
         return []
+    needed = wanted * SAMPLED / rows
+    picked = df.sample(fraction=needed, seed=17) if needed < 1 else df
     accuracy = max(10_000, 10 * wanted)
-    return df.agg(F.percentile_approx(position, shares, accuracy)).first()[0]
+    return picked.agg(F.percentile_approx(position, shares, accuracy)).first()[0] or []
 
 
 def _bucketed(df: DataFrame, points: list[float], name: str) -> DataFrame:
