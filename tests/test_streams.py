@@ -241,9 +241,13 @@ def test_upserts_and_seen_keys_in_micro_batches(spark, tmp_path, rows):
     assert rows(later.first_seen(batches[1], 0)) == []
 
 
-def test_custom_source(spark, rows):
+def test_custom_source(spark, tmp_path, rows):
     spark.dataSource.register(custom.ReadingSource)
     path = "/root/testdata/sf0.001/events.parquet"
     batch = spark.read.format("readings").load(path)
     stream = spark.readStream.format("readings").load(path)
+    assert batch.count() == 1000
     assert rows(run_bounded(stream), *batch.columns) == rows(batch)
+    folder = str(tmp_path / "events")
+    spark.read.parquet(path).repartition(3).write.parquet(folder)
+    assert rows(spark.read.format("readings").load(folder)) == rows(batch)

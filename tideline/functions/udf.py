@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import re
-
 import pandas as pd
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
@@ -30,23 +28,18 @@ def register_string_hash(spark: SparkSession, name: str, factor: int) -> None:
 def register_split(spark: SparkSession, name: str, separator: str = ",") -> None:
     """SQL table function `name(text)` giving (word, length) rows, for LATERAL joins.
 
-    The rows are those of `split_line`; trailing empty parts are dropped.
+    The rows are those of `split_line` for the regular expression, as native expressions.
     """
-
-    @F.udtf(returnType="word string, length int")
-    class Split:
-        def eval(self, text: str):
-            if text is None:
-                return
-            parts = re.split(separator, text)
-            while len(parts) > 1 and parts[-1] == "":
-                parts.pop()
-            if parts == [""] and text != "":
-                return
-            for part in parts:
-                yield part, len(part.encode("utf-16-be")) // 2
-
-    spark.udtf.register(name, Split)
+    pattern = separator.replace("\\", "\\\\").replace("'", "\\'")
+    parts = f"split(text, '{pattern}')"
+    filled = f"array_max(transform({parts}, (x, i) -> case when x != '' then i + 1 else 0 end))"
+    kept = f"case when text = '' then array('') else slice({parts}, 1, {filled}) end"
+    spark.sql(
+        f"create or replace temporary function {name}(text string) "
+        "returns table(word string, length int) return "
+        "select part, cast(octet_length(encode(part, 'UTF-16BE')) / 2 as int) "
+        f"from explode({kept}) as words(part)"
+    )
 
 
 def register_average(spark: SparkSession, name: str) -> None:

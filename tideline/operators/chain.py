@@ -18,9 +18,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tideline.functions.records import first_record
 from tideline.functions.time import slot_start
 from tideline.operators import runs, scan
-from tideline.operators.windows import first_record
 from tideline.session import stored
 
 

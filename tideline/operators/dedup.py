@@ -7,10 +7,10 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tideline.functions.records import first_record
 from tideline.functions.time import epoch_us
 from tideline.operators.chain import greedy_chain
 from tideline.operators.scan import MAX_ROWS
-from tideline.operators.windows import first_record
 
 
 def dedup_forever(

@@ -19,6 +19,9 @@ from tideline.streaming.run import as_stream, final_rows, run_bounded
 
 FAR = "2100-01-01"
 
+ROLLING_MAX = """select user_id, event_id,
+  max(value) over (partition by user_id order by event_id) as value from events"""
+
 
 def event_rows(spark, folder):
     return events(spark, folder).select(
@@ -68,6 +71,25 @@ def stream_state_key_count(spark, folder):
     return run_bounded(counted).drop("batch")
 
 
+@query("stream_rolling_sum", ORACLES["rolling_sum"])
+def stream_rolling_sum(spark, folder):
+    rows = event_stream(spark, folder).withColumn("parity", F.col("event_id") % 2)
+    summed = p.keyed(
+        rows, ["parity"], p.Fold("event_id", "cents", "bigint", lambda a, b: a + b),
+        "parity bigint, event_id bigint, total bigint",
+    )
+    return run_bounded(summed).drop("batch")
+
+
+@query("stream_rolling_reduce", ROLLING_MAX)
+def stream_rolling_reduce(spark, folder):
+    highest = p.keyed(
+        event_stream(spark, folder), ["user_id"], p.Fold("event_id", "value", "double", max),
+        "user_id bigint, event_id bigint, value double",
+    )
+    return run_bounded(highest).drop("batch")
+
+
 @query("stream_temp_jump", batch.TEMP_JUMP)
 def stream_temp_jump(spark, folder):
     found = p.keyed(

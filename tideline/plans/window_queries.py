@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tideline.functions.records import first_record, last_record, lowest_record
 from tideline.functions.strings import label
 from tideline.functions.time import HOUR
 from tideline.operators import lateness, rolling, scan, windows
@@ -106,7 +107,7 @@ def win_sum_first(spark, folder):
         readings(spark, folder), ["id"], "ts", "3 hours",
         [
             F.sum("cents").alias("cents"),
-            windows.first_record(["event_id"], ["event_id", "ts"], "first"),
+            first_record(["event_id"], ["event_id", "ts"], "first"),
         ],
     )
     return summed.select(
@@ -123,7 +124,7 @@ def win_sum_first(spark, folder):
 def win_reduce_sum(spark, folder):
     summed = windows.tumbling(
         readings(spark, folder), ["id"], "ts", "1 hour",
-        [F.sum("cents").alias("cents"), windows.first_record(["event_id"], ["ts"], "first")],
+        [F.sum("cents").alias("cents"), first_record(["event_id"], ["ts"], "first")],
     )
     return summed.select("id", "first.ts", "cents")
 
@@ -179,7 +180,7 @@ def win_process_meta(spark, folder):
 def win_reduce_min(spark, folder):
     lowest = windows.tumbling(
         readings(spark, folder), ["id"], "ts", "1 hour",
-        [windows.lowest_record("value", ["event_id"], ["event_id", "value"], "lowest")],
+        [lowest_record("value", ["event_id"], ["event_id", "value"], "lowest")],
     )
     start, end = (
         F.unix_millis(F.col(f"window.{side}").cast("timestamp")) for side in ("start", "end")
@@ -270,7 +271,7 @@ def sql_over_rows(spark, folder):
 def agg_sum_last(spark, folder):
     summed = windows.tumbling(
         readings(spark, folder), ["id"], "ts", "1 hour",
-        [F.sum("cents").alias("cents"), windows.last_record(["event_id"], ["ts"], "last")],
+        [F.sum("cents").alias("cents"), last_record(["event_id"], ["ts"], "last")],
     )
     return summed.select("id", "last.ts", "cents")
 

@@ -10,12 +10,13 @@ from __future__ import annotations
 from collections.abc import Callable, Iterable, Sequence
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
+
+from tideline.functions.records import last_record
 
 
 def newest_per_key(batch: DataFrame, key: str, values: Sequence[str], order: Sequence[str]):
-    newest = F.max_by(F.struct(*values), F.struct(*order)).alias("_newest")
-    return batch.groupBy(key).agg(newest).select(key, "_newest.*")
+    newest = batch.groupBy(key).agg(last_record(order, values, "_newest"))
+    return newest.select(key, "_newest.*")
 
 
 def statements(table: str, key: str, values: Sequence[str], mark: str = "?") -> tuple[str, str]:

@@ -10,6 +10,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tideline.functions.records import first_record, last_record
+from tideline.operators.sizes import broadcast_if_small
+from tideline.session import stored
+
 
 def append_csv(df: DataFrame, path: str, names: Sequence[str]) -> None:
     """Append rows to CSV files; columns are matched by position, as `names`."""
@@ -65,8 +69,9 @@ class KeyValueTable:
         self.order = list(order)
 
     def _newest(self, df: DataFrame, by: Sequence[str], value: Sequence[str]) -> DataFrame:
-        newest = F.max_by(F.struct(*value), F.struct(*by)).alias("_newest")
-        return df.groupBy(*self.key).agg(newest).select(*self.key, "_newest.*")
+        return df.groupBy(*self.key).agg(last_record(by, value, "_newest")).select(
+            *self.key, "_newest.*"
+        )
 
     def upsert(self, batch: DataFrame, batch_id: int) -> None:
         value = [c for c in batch.columns if c not in self.key]
@@ -122,11 +127,16 @@ class SeenKeys:
         gives the same rows.
         """
         value = [c for c in batch.columns if c not in self.key]
-        earliest = F.min_by(F.struct(*value), F.struct(*self.order)).alias("_first")
-        first = batch.groupBy(*self.key).agg(earliest).select(*self.key, "_first.*")
+        first = batch.groupBy(*self.key).agg(first_record(self.order, value, "_first")).select(
+            *self.key, "_first.*"
+        )
         known = self._known(batch, batch_id)
         if known is not None:
-            first = first.join(known, self.key, "left_anti")
+            # a batch has few keys, the table many: look them up where the table's rows are
+            first = stored(first, "first")
+            asked = broadcast_if_small(first.select(*self.key))
+            repeated = known.join(asked, self.key, "left_semi").distinct()
+            first = first.join(repeated, self.key, "left_anti")
         here = f"{self.path}/run={self.run}/batch={batch_id}"
         first.write.mode("overwrite").parquet(here)
         return batch.sparkSession.read.schema(first.schema).parquet(here)

@@ -1,7 +1,8 @@
 """User-defined sources: a Python generator per partition, readable as a table or as a stream.
 
-`spark.dataSource.register(ReadingSource)` adds the format "readings". It turns the row groups of
-parquet event files into typed readings. A user's own source replaces `rows` and the partitions.
+`spark.dataSource.register(ReadingSource)` adds the format "readings". It turns parquet event files
+into typed readings: `path` is a folder, read file by file, or one file, read by row groups. A
+user's own source replaces `parts` and `rows`.
 """
 
 from __future__ import annotations
@@ -18,30 +19,46 @@ from pyspark.sql.datasource import (
 
 
 @dataclass
-class RowGroup(InputPartition):
+class Part(InputPartition):
+    """A whole file, or one of its row groups."""
+
     path: str
-    number: int
+    row_group: int | None = None
 
 
-def _open(path: str):
+def _filesystem(path: str):
     import pyarrow.fs as fs
+
+    return fs.FileSystem.from_uri(path)
+
+
+def _open(path: str):
     import pyarrow.parquet as pq
 
-    where, inner = fs.FileSystem.from_uri(path)
+    where, inner = _filesystem(path)
     return pq.ParquetFile(where.open_input_file(inner))
 
 
-def row_groups(path: str) -> int:
-    return _open(path).num_row_groups
+def parts(path: str) -> list[Part]:
+    """The units of work, in an order that only grows at its end; no data is read here."""
+    import pyarrow.fs as fs
+
+    where, inner = _filesystem(path)
+    if where.get_file_info(inner).type == fs.FileType.File:
+        return [Part(path, n) for n in range(_open(path).num_row_groups)]
+    scheme = path.split("://")[0] + "://" if "://" in path else ""
+    found = where.get_file_info(fs.FileSelector(inner))
+    files = sorted(f.path for f in found if f.is_file and f.extension == "parquet")
+    return [Part(scheme + f) for f in files]
 
 
-def rows(part: RowGroup) -> Iterator:
-    """Arrow batches of one row group, with the columns in the order of the schema."""
+def rows(part: Part) -> Iterator:
+    """Arrow batches of one part, with the columns in the order of the schema."""
     import pyarrow as pa
 
     wanted = ["event_id", "event_type", "ts", "value"]
-    file = _open(part.path)
-    for batch in file.iter_batches(row_groups=[part.number], columns=wanted):
+    groups = None if part.row_group is None else [part.row_group]
+    for batch in _open(part.path).iter_batches(row_groups=groups, columns=wanted):
         yield pa.RecordBatch.from_arrays(
             [
                 batch.column("event_id"),
@@ -57,29 +74,29 @@ class ReadingReader(DataSourceReader):
     def __init__(self, path: str):
         self.path = path
 
-    def partitions(self) -> list[RowGroup]:
-        return [RowGroup(self.path, n) for n in range(row_groups(self.path))]
+    def partitions(self) -> list[Part]:
+        return parts(self.path)
 
-    def read(self, partition: RowGroup) -> Iterator:
+    def read(self, partition: Part) -> Iterator:
         return rows(partition)
 
 
 class ReadingStreamReader(DataSourceStreamReader):
-    """Each micro-batch takes the row groups that were added since the last one."""
+    """Each micro-batch takes the parts that were added since the last one."""
 
     def __init__(self, path: str):
         self.path = path
 
     def initialOffset(self) -> dict:
-        return {"row_group": 0}
+        return {"parts": 0}
 
     def latestOffset(self) -> dict:
-        return {"row_group": row_groups(self.path)}
+        return {"parts": len(parts(self.path))}
 
-    def partitions(self, start: dict, end: dict) -> list[RowGroup]:
-        return [RowGroup(self.path, n) for n in range(start["row_group"], end["row_group"])]
+    def partitions(self, start: dict, end: dict) -> list[Part]:
+        return parts(self.path)[start["parts"] : end["parts"]]
 
-    def read(self, partition: RowGroup) -> Iterator:
+    def read(self, partition: Part) -> Iterator:
         return rows(partition)
 
     def commit(self, end: dict) -> None:
