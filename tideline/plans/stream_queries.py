@@ -23,28 +23,25 @@ ROLLING_MAX = """select user_id, event_id,
   max(value) over (partition by user_id order by event_id) as value from events"""
 
 
-def event_rows(spark, folder):
-    return events(spark, folder).select(
+def event_stream(spark, folder, *columns: str, closing: bool = False):
+    """The events as a stream; if `closing`, a row far in the future follows and ends all windows."""
+    rows = events(spark, folder).select(
         "event_id", F.col("ts").cast("timestamp").alias("ts"), "user_id", "event_type", "value",
         cents().alias("cents"), epoch_us(F.col("ts")).alias("us"),
     )
-
-
-def event_stream(spark, folder, closing: bool = False):
-    """The events as a stream; if `closing`, a row far in the future follows and ends all windows."""
-    rows = event_rows(spark, folder)
     last = None
     if closing:
         schema = "event_id bigint, user_id bigint, event_type string, value double, cents bigint"
         far = spark.createDataFrame([(-1, -1, "end", 0.0, 0)], schema)
         last = far.withColumn("ts", F.lit(FAR).cast("timestamp"))
-        last = last.withColumn("us", epoch_us(F.col("ts")))
-    return as_stream(rows, "event_id", last=last)
+        last = last.withColumn("us", epoch_us(F.col("ts"))).select("event_id", *columns)
+    return as_stream(rows.select("event_id", *columns), "event_id", last=last)
 
 
 @query("stream_hourly_tips_max", ORACLES["hourly_tips_max"])
 def stream_hourly_tips_max(spark, folder):
-    fares = event_stream(spark, folder, closing=True).withWatermark("ts", "1 hour")
+    fares = event_stream(spark, folder, "ts", "user_id", "cents", closing=True)
+    fares = fares.withWatermark("ts", "1 hour")
     totals = windows.window_total(
         fares.withColumnRenamed("user_id", "driver"), ["driver"], "ts", "1 hour", "cents"
     )
@@ -65,7 +62,7 @@ def stream_word_count(spark, folder):
 @query("stream_state_key_count", ORACLES["state_key_count"])
 def stream_state_key_count(spark, folder):
     counted = p.keyed(
-        event_stream(spark, folder), ["user_id"], p.RunningCount("event_id"),
+        event_stream(spark, folder, "user_id"), ["user_id"], p.RunningCount("event_id"),
         "user_id bigint, event_id bigint, n bigint",
     )
     return run_bounded(counted).drop("batch")
@@ -73,7 +70,7 @@ def stream_state_key_count(spark, folder):
 
 @query("stream_rolling_sum", ORACLES["rolling_sum"])
 def stream_rolling_sum(spark, folder):
-    rows = event_stream(spark, folder).withColumn("parity", F.col("event_id") % 2)
+    rows = event_stream(spark, folder, "cents").withColumn("parity", F.col("event_id") % 2)
     summed = p.keyed(
         rows, ["parity"], p.Fold("event_id", "cents", "bigint", lambda a, b: a + b),
         "parity bigint, event_id bigint, total bigint",
@@ -84,7 +81,7 @@ def stream_rolling_sum(spark, folder):
 @query("stream_rolling_reduce", ROLLING_MAX)
 def stream_rolling_reduce(spark, folder):
     highest = p.keyed(
-        event_stream(spark, folder), ["user_id"], p.Fold("event_id", "value", "double", max),
+        event_stream(spark, folder, "user_id", "value"), ["user_id"], p.Fold("event_id", "value", "double", max),
         "user_id bigint, event_id bigint, value double",
     )
     return run_bounded(highest).drop("batch")
@@ -93,7 +90,7 @@ def stream_rolling_reduce(spark, folder):
 @query("stream_temp_jump", batch.TEMP_JUMP)
 def stream_temp_jump(spark, folder):
     found = p.keyed(
-        event_stream(spark, folder), ["user_id"], p.Jump("event_id", "value", 50.0),
+        event_stream(spark, folder, "user_id", "value"), ["user_id"], p.Jump("event_id", "value", 50.0),
         "user_id bigint, event_id bigint, last double, current double",
     )
     return run_bounded(found).drop("batch")
@@ -101,7 +98,8 @@ def stream_temp_jump(spark, folder):
 
 @query("stream_rise_alert", batch.RISES)
 def stream_rise_alert(spark, folder):
-    rows = event_stream(spark, folder, closing=True).withWatermark("ts", "1 hour")
+    rows = event_stream(spark, folder, "ts", "us", "user_id", "value", closing=True)
+    rows = rows.withWatermark("ts", "1 hour")
     found = p.keyed(
         rows, ["user_id"], p.RiseAlert("us", "event_id", "value", 6 * HOUR),
         "user_id bigint, armed_at bigint, alert_at bigint", "eventTime",
@@ -115,7 +113,7 @@ def stream_rise_alert(spark, folder):
 @query("stream_dedup_ttl", batch.TTL)
 def stream_dedup_ttl(spark, folder):
     kept = p.keyed(
-        event_stream(spark, folder), ["user_id"], p.DedupTtl("event_id", "us", "event_type", DAY),
+        event_stream(spark, folder, "user_id", "us", "event_type"), ["user_id"], p.DedupTtl("event_id", "us", "event_type", DAY),
         "user_id bigint, event_type string, event_id bigint",
     )
     line = F.concat_ws("$$", F.col("user_id").cast("string"), "event_type")
@@ -124,7 +122,7 @@ def stream_dedup_ttl(spark, folder):
 
 @query("stream_dedup_forever", "select distinct user_id, event_type from events")
 def stream_dedup_forever(spark, folder):
-    keys = event_stream(spark, folder).select("user_id", "event_type")
+    keys = event_stream(spark, folder, "user_id", "event_type").select("user_id", "event_type")
     return run_bounded(keys.dropDuplicates(["user_id", "event_type"])).drop("batch")
 
 
@@ -142,7 +140,7 @@ def stream_control_filter(spark, folder):
 @query("stream_count_window", ORACLES["win_count_sliding"])
 def stream_count_window(spark, folder):
     fired = p.keyed(
-        event_stream(spark, folder), ["user_id"], p.CountWindow("event_id", "cents", 10, 2),
+        event_stream(spark, folder, "user_id", "cents"), ["user_id"], p.CountWindow("event_id", "cents", 10, 2),
         "user_id bigint, event_id bigint, total bigint, n bigint",
     )
     return run_bounded(fired).drop("batch")
@@ -152,7 +150,7 @@ def stream_count_window(spark, folder):
 def stream_over_rows(spark, folder):
     """A row frame over a stream is a count window that slides by one row."""
     framed = p.keyed(
-        event_stream(spark, folder), ["user_id"], p.CountWindow("event_id", "cents", 3, 1),
+        event_stream(spark, folder, "user_id", "cents"), ["user_id"], p.CountWindow("event_id", "cents", 3, 1),
         "id bigint, event_id bigint, total bigint, cnt bigint",
     )
     return run_bounded(framed).drop("batch")
@@ -161,7 +159,7 @@ def stream_over_rows(spark, folder):
 @query("stream_retract_changelog", ORACLES["retract_changelog"])
 def stream_retract_changelog(spark, folder):
     log = p.keyed(
-        event_stream(spark, folder), ["user_id"], p.Changelog("event_id", "cents"),
+        event_stream(spark, folder, "user_id", "cents"), ["user_id"], p.Changelog("event_id", "cents"),
         "user_id bigint, event_id bigint, op boolean, cnt bigint, total bigint",
     )
     return run_bounded(log).drop("batch")
@@ -171,7 +169,7 @@ def stream_retract_changelog(spark, folder):
 def stream_pattern_strict(spark, folder):
     """The user's state finds pairs of actions; the small rule table is joined to the stream."""
     pairs = p.keyed(
-        event_stream(spark, folder), ["user_id"], p.Previous("event_id", "event_type"),
+        event_stream(spark, folder, "user_id", "event_type"), ["user_id"], p.Previous("event_id", "event_type"),
         "user_id bigint, event_id bigint, last string, action string",
     )
     known = batch.rules(spark, folder).withColumnRenamed("event_id", "known_from")
@@ -185,6 +183,6 @@ def stream_pattern_strict(spark, folder):
 
 @query("stream_side_output", ORACLES["side_output_split"])
 def stream_side_output(spark, folder):
-    rows = event_stream(spark, folder).select("event_id", "value")
+    rows = event_stream(spark, folder, "value")
     name = F.when(F.col("value") > 30, "main").otherwise("lowTemp")
     return run_bounded(rows.withColumn("output", name)).drop("batch")

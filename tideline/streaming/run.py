@@ -12,19 +12,24 @@ from pyspark.sql.streaming import StreamingQuery
 from tideline.session import shared_path
 
 ROWS_PER_FILE = 1_000_000
+# a stateful operator puts a key's rows of one micro-batch in order in memory
+ROWS_PER_BATCH = 10_000_000
 
 
 def as_stream(
     df: DataFrame, order: str, batches: int = 3, last: DataFrame | None = None
 ) -> DataFrame:
-    """`df` as a stream of `batches` micro-batches that follow the number column `order`.
+    """`df` as a stream of at least `batches` micro-batches that follow the number column `order`.
 
-    The rows are written to the shared folder slice by slice; one micro-batch reads one slice.
-    `last` is sent after them, such as a row far in the future that closes all windows.
+    The rows are written to the shared folder slice by slice, each of a bounded size; one
+    micro-batch reads one slice. `last` is sent after them, such as a row far in the future that
+    closes all windows. For replaying tables; a live source bounds its batches itself, by files,
+    bytes or offsets per trigger.
     """
     spark = df.sparkSession
     low, high, rows = df.agg(F.min(order), F.max(order), F.count(F.lit(1))).first()
     path = shared_path(spark, "stream-in")
+    batches = max(batches, -(-rows // ROWS_PER_BATCH))
     per_batch = max(1, -(-rows // (batches * ROWS_PER_FILE)))
     step = (high - low) / batches + 1 if rows else 1
     number = F.floor((F.col(order) - F.lit(low)) / F.lit(step))
