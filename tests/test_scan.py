@@ -6,7 +6,17 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from tideline.operators import chain, changelog, dedup, detect, lateness, rolling, runs, scan, windows
+from tideline.operators import (
+    chain,
+    changelog,
+    dedup,
+    detect,
+    lateness,
+    rolling,
+    runs,
+    scan,
+    windows,
+)
 
 SMALL = 40
 

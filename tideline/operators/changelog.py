@@ -33,7 +33,9 @@ def retract_changelog(
         F.lit(False).alias("op"), (F.col("_cnt") - 1).alias("cnt"),
         F.col("_total_before").alias("total"),
     )
-    new = F.struct(F.lit(True).alias("op"), F.col("_cnt").alias("cnt"), F.col("_total").alias("total"))
+    new = F.struct(
+        F.lit(True).alias("op"), F.col("_cnt").alias("cnt"), F.col("_total").alias("total")
+    )
     change = F.explode(F.when(F.col("_cnt") == 1, F.array(new)).otherwise(F.array(old, new)))
     return both.select(*order, *key, change.alias("_change")).select(
         *order, *key, "_change.op", "_change.cnt", "_change.total"

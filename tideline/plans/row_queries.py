@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tideline.functions import udf
 from tideline.functions.strings import split_line, string_hash, utf16_length
-from tideline.functions.time import DAY, event_time, epoch_ms, from_epoch_us
+from tideline.functions.time import epoch_ms, event_time
 from tideline.operators import basic, parse
 from tideline.plans.inputs import (
     CENTS,

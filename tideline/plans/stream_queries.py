@@ -8,9 +8,8 @@ from tideline.functions.strings import split_line
 from tideline.functions.time import DAY, HOUR, epoch_us, from_epoch_us
 from tideline.operators import basic, windows
 from tideline.operators.sizes import broadcast_if_small
-from tideline.plans import row_queries  # noqa: F401  (its oracles are shared)
+from tideline.plans import row_queries, window_queries
 from tideline.plans import state_queries as batch
-from tideline.plans import window_queries
 from tideline.plans.inputs import cents, events
 from tideline.plans.registry import ORACLES, query
 from tideline.session import table
@@ -24,7 +23,7 @@ ROLLING_MAX = """select user_id, event_id,
 
 
 def event_stream(spark, folder, *columns: str, closing: bool = False):
-    """The events as a stream; if `closing`, a row far in the future follows and ends all windows."""
+    """The events as a stream; if `closing`, a row far in the future follows and ends windows."""
     rows = events(spark, folder).select(
         "event_id", F.col("ts").cast("timestamp").alias("ts"), "user_id", "event_type", "value",
         cents().alias("cents"), epoch_us(F.col("ts")).alias("us"),
@@ -51,7 +50,7 @@ def stream_hourly_tips_max(spark, folder):
     )
 
 
-@query("stream_word_count", ORACLES["word_count"])
+@query("stream_word_count", row_queries.WORDS)
 def stream_word_count(spark, folder):
     docs = table(spark, folder, "documents").select("doc_id", "text")
     words = as_stream(docs, "doc_id").select(F.explode(split_line(F.col("text"))).alias("word"))
@@ -61,8 +60,9 @@ def stream_word_count(spark, folder):
 
 @query("stream_state_key_count", ORACLES["state_key_count"])
 def stream_state_key_count(spark, folder):
+    rows = event_stream(spark, folder, "user_id")
     counted = p.keyed(
-        event_stream(spark, folder, "user_id"), ["user_id"], p.RunningCount("event_id"),
+        rows, ["user_id"], p.RunningCount("event_id"),
         "user_id bigint, event_id bigint, n bigint",
     )
     return run_bounded(counted).drop("batch")
@@ -80,8 +80,9 @@ def stream_rolling_sum(spark, folder):
 
 @query("stream_rolling_reduce", ROLLING_MAX)
 def stream_rolling_reduce(spark, folder):
+    rows = event_stream(spark, folder, "user_id", "value")
     highest = p.keyed(
-        event_stream(spark, folder, "user_id", "value"), ["user_id"], p.Fold("event_id", "value", "double", max),
+        rows, ["user_id"], p.Fold("event_id", "value", "double", max),
         "user_id bigint, event_id bigint, value double",
     )
     return run_bounded(highest).drop("batch")
@@ -89,8 +90,9 @@ def stream_rolling_reduce(spark, folder):
 
 @query("stream_temp_jump", batch.TEMP_JUMP)
 def stream_temp_jump(spark, folder):
+    rows = event_stream(spark, folder, "user_id", "value")
     found = p.keyed(
-        event_stream(spark, folder, "user_id", "value"), ["user_id"], p.Jump("event_id", "value", 50.0),
+        rows, ["user_id"], p.Jump("event_id", "value", 50.0),
         "user_id bigint, event_id bigint, last double, current double",
     )
     return run_bounded(found).drop("batch")
@@ -112,8 +114,9 @@ def stream_rise_alert(spark, folder):
 
 @query("stream_dedup_ttl", batch.TTL)
 def stream_dedup_ttl(spark, folder):
+    rows = event_stream(spark, folder, "user_id", "us", "event_type")
     kept = p.keyed(
-        event_stream(spark, folder, "user_id", "us", "event_type"), ["user_id"], p.DedupTtl("event_id", "us", "event_type", DAY),
+        rows, ["user_id"], p.DedupTtl("event_id", "us", "event_type", DAY),
         "user_id bigint, event_type string, event_id bigint",
     )
     line = F.concat_ws("$$", F.col("user_id").cast("string"), "event_type")
@@ -139,8 +142,9 @@ def stream_control_filter(spark, folder):
 
 @query("stream_count_window", ORACLES["win_count_sliding"])
 def stream_count_window(spark, folder):
+    rows = event_stream(spark, folder, "user_id", "cents")
     fired = p.keyed(
-        event_stream(spark, folder, "user_id", "cents"), ["user_id"], p.CountWindow("event_id", "cents", 10, 2),
+        rows, ["user_id"], p.CountWindow("event_id", "cents", 10, 2),
         "user_id bigint, event_id bigint, total bigint, n bigint",
     )
     return run_bounded(fired).drop("batch")
@@ -149,8 +153,9 @@ def stream_count_window(spark, folder):
 @query("stream_over_rows", window_queries.STREAM_OVER)
 def stream_over_rows(spark, folder):
     """A row frame over a stream is a count window that slides by one row."""
+    rows = event_stream(spark, folder, "user_id", "cents")
     framed = p.keyed(
-        event_stream(spark, folder, "user_id", "cents"), ["user_id"], p.CountWindow("event_id", "cents", 3, 1),
+        rows, ["user_id"], p.CountWindow("event_id", "cents", 3, 1),
         "id bigint, event_id bigint, total bigint, cnt bigint",
     )
     return run_bounded(framed).drop("batch")
@@ -158,8 +163,9 @@ def stream_over_rows(spark, folder):
 
 @query("stream_retract_changelog", ORACLES["retract_changelog"])
 def stream_retract_changelog(spark, folder):
+    rows = event_stream(spark, folder, "user_id", "cents")
     log = p.keyed(
-        event_stream(spark, folder, "user_id", "cents"), ["user_id"], p.Changelog("event_id", "cents"),
+        rows, ["user_id"], p.Changelog("event_id", "cents"),
         "user_id bigint, event_id bigint, op boolean, cnt bigint, total bigint",
     )
     return run_bounded(log).drop("batch")
@@ -168,8 +174,9 @@ def stream_retract_changelog(spark, folder):
 @query("stream_pattern_strict", batch.STRICT)
 def stream_pattern_strict(spark, folder):
     """The user's state finds pairs of actions; the small rule table is joined to the stream."""
+    rows = event_stream(spark, folder, "user_id", "event_type")
     pairs = p.keyed(
-        event_stream(spark, folder, "user_id", "event_type"), ["user_id"], p.Previous("event_id", "event_type"),
+        rows, ["user_id"], p.Previous("event_id", "event_type"),
         "user_id bigint, event_id bigint, last string, action string",
     )
     known = batch.rules(spark, folder).withColumnRenamed("event_id", "known_from")

@@ -27,13 +27,11 @@ def as_stream(
     bytes or offsets per trigger.
     """
     spark = df.sparkSession
-    low, high, rows = df.agg(F.min(order), F.max(order), F.count(F.lit(1))).first()
-    path = shared_path(spark, "stream-in")
+    rows = df.count()
     batches = max(batches, -(-rows // ROWS_PER_BATCH))
     per_batch = max(1, -(-rows // (batches * ROWS_PER_FILE)))
-    step = (high - low) / batches + 1 if rows else 1
-    number = F.floor((F.col(order) - F.lit(low)) / F.lit(step))
-    slices = [df.filter(number == i) for i in range(batches)]
+    path = shared_path(spark, "stream-in")
+    slices = _slices(df, order, batches)
     if last is not None:
         slices.append(last.select(*df.columns))
     for piece in slices:
@@ -43,6 +41,21 @@ def as_stream(
     )
 
 
+def _slices(df: DataFrame, order: str, batches: int) -> list[DataFrame]:
+    """About equal parts that follow each other in `order`, as filters that reach the scan."""
+    shares = [i / batches for i in range(1, batches)]
+    cuts = df.agg(F.percentile_approx(order, shares, 10 * batches + 10_000)).first()[0]
+    at = F.col(order)
+    bounds = [None, *sorted(set(cuts or [])), None]
+    return [
+        df.filter(
+            (F.lit(True) if low is None else at > low)
+            & (F.lit(True) if high is None else at <= high)
+        )
+        for low, high in zip(bounds, bounds[1:])
+    ]
+
+
 def batch_folder(path: str) -> Callable[[DataFrame, int], None]:
     """For `foreachBatch`: each batch replaces its own folder, so running it again adds nothing."""
 
