@@ -6,14 +6,15 @@ from pyspark.sql import functions as F
 
 from tideline.functions.strings import split_line
 from tideline.functions.time import DAY, HOUR, epoch_us, from_epoch_us
-from tideline.operators import basic, windows
+from tideline.operators import basic, scan, windows
 from tideline.operators.sizes import broadcast_if_small
 from tideline.plans import row_queries, window_queries
 from tideline.plans import state_queries as batch
 from tideline.plans.inputs import cents, events
 from tideline.plans.registry import ORACLES, query
-from tideline.session import table
+from tideline.session import shared_path, table
 from tideline.streaming import processors as p
+from tideline.streaming.batches import running_batches
 from tideline.streaming.run import as_stream, final_rows, run_bounded
 
 FAR = "2100-01-01"
@@ -70,12 +71,12 @@ def stream_state_key_count(spark, folder):
 
 @query("stream_rolling_sum", ORACLES["rolling_sum"])
 def stream_rolling_sum(spark, folder):
+    """Only two keys, both hot: each micro-batch is scanned in segments."""
     rows = event_stream(spark, folder, "cents").withColumn("parity", F.col("event_id") % 2)
-    summed = p.keyed(
-        rows, ["parity"], p.Fold("event_id", "cents", "bigint", lambda a, b: a + b),
-        "parity bigint, event_id bigint, total bigint",
-    )
-    return run_bounded(summed).drop("batch")
+    path, state = shared_path(spark, "stream-out"), shared_path(spark, "stream-state")
+    total = [scan.running_sum("total", F.col("cents"))]
+    write = running_batches(["parity"], ["event_id"], total, path, state)
+    return run_bounded(rows, path=path, write=write).drop("batch", "cents")
 
 
 @query("stream_rolling_reduce", ROLLING_MAX)

@@ -43,6 +43,8 @@ def as_stream(
 
 def _slices(df: DataFrame, order: str, batches: int) -> list[DataFrame]:
     """About equal parts that follow each other in `order`, as filters that reach the scan."""
+    if batches == 1:
+        return [df]
     shares = [i / batches for i in range(1, batches)]
     cuts = df.agg(F.percentile_approx(order, shares, 10 * batches + 10_000)).first()[0]
     at = F.col(order)
@@ -84,9 +86,12 @@ def settle(query: StreamingQuery, quiet: int = 3, timeout: float = 300.0) -> Non
 def run_bounded(
     stream: DataFrame, mode: str = "append", timers: bool = False, wait: float = 0.0,
     checkpoint: str | None = None, path: str | None = None,
+    write: Callable[[DataFrame, int], None] | None = None,
 ) -> DataFrame:
     """Run the stream to the end of its input; gives (*columns, batch).
 
+    `write` takes the place of the plain writer of batches; it writes below `path` as well.
+
     A query with processing-time timers (`timers`) never ends by itself: it is given `wait`
     seconds after the last input for timers to fire, and is then stopped.
     """
@@ -95,7 +100,7 @@ def run_bounded(
     writer = (
         stream.writeStream.outputMode(mode)
         .option("checkpointLocation", checkpoint or shared_path(spark, "stream-checkpoint"))
-        .foreachBatch(batch_folder(path))
+        .foreachBatch(write or batch_folder(path))
     )
     if timers:
         started = writer.start()
