@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tideline.llm import language, lengths, licenses, packing
+from tideline.llm import language, lengths, licenses, packing, rules
 from tideline.llm.common import documents, fold
 from tideline.session import prepare
 
@@ -45,6 +45,91 @@ def language_id(spark: SparkSession, folder: str) -> DataFrame:
     return language.predict(docs, model, held_out)
 
 
+RULES_SQL = r"""
+with words as (
+  select doc_id, lang, source, coalesce(text, '') as text,
+    list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') as w,
+    list_filter(string_split(coalesce(text, ''), chr(10)),
+                lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) as lines
+  from documents),
+windows as (
+  select doc_id, unnest(range(1, len(w) - 6)) as i, w from words where len(w) >= 8),
+grams as (select doc_id, i, array_to_string(w[i:i + 7], ' ') as gram from windows),
+twice as (
+  select doc_id, i from (select *, count(*) over (partition by doc_id, gram) as n from grams)
+  where n > 1),
+covered as (
+  select doc_id, count(distinct p) as n
+  from (select doc_id, unnest(range(i, i + 8)) as p from twice) group by doc_id),
+counts as (
+  select doc_id, lang, source, len(w) as n_words, length(array_to_string(w, '')) as word_chars,
+    length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')) as n_symbols,
+    length(text) - length(regexp_replace(text, '[A-Z]', '', 'g')) as n_upper,
+    len(lines) as n_lines, len(lines) - len(list_distinct(lines)) as n_dup_lines,
+    coalesce(c.n, 0) as n_repeat_words
+  from words left join covered c using (doc_id)),
+base as (
+  select *, n_words < 20 or 100 * n_repeat_words > 30 * n_words as base_failed,
+    1000 * n_symbols // greatest(n_words, 1) as symbols,
+    1000 * n_upper // greatest(word_chars, 1) as upper_case,
+    1000 * n_dup_lines // greatest(n_lines, 1) as dup_lines,
+    1000 * word_chars // greatest(n_words, 1) as word_length
+  from counts),
+vals as (
+  select lang, source, m.measure, m.v - m.v % (1::bigint << greatest(length(bin(m.v)) - 7, 0)) as cell
+  from (select lang, source, unnest([
+    {'measure': 'symbols', 'v': symbols}, {'measure': 'upper', 'v': upper_case},
+    {'measure': 'dup_lines', 'v': dup_lines}, {'measure': 'long_words', 'v': word_length},
+    {'measure': 'short_words', 'v': word_length}]) as m from base where not base_failed)),
+groups as (select distinct lang, source from vals),
+own as (
+  select lang, source, measure, count(*) as n, quantile_disc(cell, 0.25) as q25,
+    quantile_disc(cell, 0.5) as q50, quantile_disc(cell, 0.75) as q75
+  from vals group by all),
+by_lang as (
+  select lang, measure, count(*) as n, quantile_disc(cell, 0.25) as q25,
+    quantile_disc(cell, 0.5) as q50, quantile_disc(cell, 0.75) as q75
+  from vals group by all),
+every as (
+  select measure, count(*) as n, quantile_disc(cell, 0.25) as q25,
+    quantile_disc(cell, 0.5) as q50, quantile_disc(cell, 0.75) as q75
+  from vals group by all),
+chosen as (
+  select o.lang, o.source, o.measure,
+    case when o.n >= 50 then o.q25 when l.n >= 50 then l.q25 else e.q25 end as q25,
+    case when o.n >= 50 then o.q50 when l.n >= 50 then l.q50 else e.q50 end as q50,
+    case when o.n >= 50 then o.q75 when l.n >= 50 then l.q75 else e.q75 end as q75
+  from own o join by_lang l on o.lang is not distinct from l.lang and o.measure = l.measure
+  join every e on o.measure = e.measure),
+limits as (
+  select lang, source,
+    max(case measure when 'symbols' then q50 + greatest(8 * (q75 - q50), 100) end) as symbols_limit,
+    max(case measure when 'upper' then q50 + greatest(8 * (q75 - q50), 350) end) as upper_limit,
+    max(case measure when 'dup_lines' then q50 + greatest(8 * (q75 - q50), 400) end)
+      as dup_lines_limit,
+    max(case measure when 'long_words' then q50 + greatest(8 * (q75 - q50), 1000, q50 // 2) end)
+      as long_words_limit,
+    max(case measure when 'short_words' then q50 - greatest(8 * (q50 - q25), 1000, q50 // 2) end)
+      as short_words_limit
+  from chosen group by lang, source)
+select b.doc_id, b.lang, b.source, b.n_words, b.word_chars, b.n_symbols, b.n_upper, b.n_lines,
+  b.n_dup_lines, b.n_repeat_words, l.symbols_limit, l.upper_limit, l.dup_lines_limit,
+  l.long_words_limit, l.short_words_limit, b.base_failed,
+  not b.base_failed and not coalesce(b.symbols > l.symbols_limit, false)
+    and not coalesce(b.upper_case > l.upper_limit, false)
+    and not coalesce(b.dup_lines > l.dup_lines_limit, false)
+    and not coalesce(b.word_length > l.long_words_limit, false)
+    and not coalesce(b.word_length < l.short_words_limit, false) as kept
+from base b left join limits l
+  on b.lang is not distinct from l.lang and b.source is not distinct from l.source
+"""
+
+
+@query("op7_quality_rules", RULES_SQL)
+def quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    return rules.judged(documents(spark, folder))
+
+
 @query("op10_best_fit_packing")
 def best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.best_fit(documents(spark, folder))
