@@ -27,7 +27,7 @@ from tideline.llm.common import stored, texts
 PATTERN = (
     r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 )
-BLOCK = 1024
+BLOCK = 64
 
 
 @cache
@@ -79,7 +79,7 @@ def limits(hist: DataFrame, wanted: tuple[int, ...] = ()) -> DataFrame:
     blocks = hist.groupBy("block").agg(
         F.sum("n_docs").alias("block_docs"), F.sum(tokens).alias("block_tokens")
     )
-    # one row per 1024 lengths: the window has as many rows as the longest text has such blocks
+    # one row per 64 lengths: the window has as many rows as the longest text has such blocks
     after = Window.orderBy(F.desc("block")).rowsBetween(Window.unboundedPreceding, -1)
     later = blocks.select(
         "block",

@@ -100,6 +100,16 @@ def sequence(text: Column) -> Column:
     )
 
 
+def marked(seq: Column, pattern: str) -> Column:
+    """The sequence with every span of a rule blotted out at its full length."""
+    parts = F.split(F.regexp_replace(seq, f"({pattern})", "\n$1\n"), "\n")
+    blotted = F.transform(
+        parts,
+        lambda s: F.when(s.rlike(f"^{pattern}$"), F.repeat(F.lit(MARK), F.length(s))).otherwise(s),
+    )
+    return F.array_join(blotted, "")
+
+
 def scan(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
     """doc_id, rule, license, n_matches, n_sentences (of the rule's matches), n_known, first_sentence.
 
@@ -124,15 +134,7 @@ def scan(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
         if len(rule.sentences) == 1:
             left = F.translate(left, rule.sentences, MARK)
         else:
-            left = F.array_join(
-                F.transform(
-                    F.split(F.regexp_replace(left, f"({rule.pattern()})", "\n$1\n"), "\n"),
-                    lambda s, p=rule.pattern(): F.when(
-                        s.rlike(f"^{p}$"), F.repeat(F.lit(MARK), F.length(s))
-                    ).otherwise(s),
-                ),
-                "",
-            )
+            left = marked(left, rule.pattern())
     listed = found.select(
         "doc_id",
         F.length(F.translate("seq", ".", "")).cast("long").alias("n_known"),

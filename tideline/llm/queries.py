@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tideline.llm import language, lengths, licenses, packing, rules
-from tideline.llm.common import documents, fold
+from tideline.llm import language, lengths, licenses, packing, rules, templates
+from tideline.llm.common import documents, fold, table
 from tideline.session import prepare
 
 QUERIES = {}
@@ -130,6 +130,12 @@ def quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return rules.judged(documents(spark, folder))
 
 
+@query("op8_benchmark_decontamination")
+def benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    items = table(spark, folder, "benchmark")
+    return templates.leaks(documents(spark, folder), items).drop("text_key")
+
+
 @query("op10_best_fit_packing")
 def best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.best_fit(documents(spark, folder))
