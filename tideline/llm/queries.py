@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tideline.llm import language, lengths, licenses, packing, rules, templates
+from tideline.llm import language, lengths, licenses, packing, quality, rules, templates, toxicity
 from tideline.llm.common import documents, fold, table
 from tideline.session import prepare
 
@@ -125,6 +125,18 @@ from base b left join limits l
 """
 
 
+@query("op6_quality_classifier")
+def quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
+    held_out = fold(F.col("doc_id"), 4) == 2
+    found = quality.scored(documents(spark, folder), table(spark, folder, "labels"), ~held_out)
+    return found.select(
+        "doc_id",
+        held_out.alias("held_out"),
+        "score",
+        F.when(F.col("score") >= 0.7, 1).otherwise(0).alias("predicted"),
+    )
+
+
 @query("op7_quality_rules", RULES_SQL)
 def quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return rules.judged(documents(spark, folder))
@@ -136,6 +148,19 @@ def benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     return templates.leaks(documents(spark, folder), items).drop("text_key")
 
 
+@query("op9_toxicity")
+def toxic_documents(spark: SparkSession, folder: str) -> DataFrame:
+    held_out = fold(F.col("doc_id"), 5) == 0
+    labels = table(spark, folder, "labels")
+    found = toxicity.scored(documents(spark, folder), labels, ~held_out, ["doc_id"])
+    return found.select("row.doc_id", "score").select(
+        "doc_id",
+        held_out.alias("held_out"),
+        "score",
+        F.when(F.col("score") >= 0.5, 1).otherwise(0).alias("predicted"),
+    )
+
+
 @query("op10_best_fit_packing")
 def best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.best_fit(documents(spark, folder))
