@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tideline.llm import language, lengths, licenses, packing, quality, rules, templates, toxicity
+from tideline.llm import forest, language, lengths, licenses, packing, quality, rules, templates, toxicity
 from tideline.llm.common import documents, fold, table
 from tideline.session import prepare
 
@@ -31,6 +31,11 @@ def license_scan(spark: SparkSession, folder: str) -> DataFrame:
     return licenses.scan(documents(spark, folder))
 
 
+@query("op3_near_duplicates")
+def near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
+    return forest.near_duplicates(documents(spark, folder), width=2, percent=80)
+
+
 @query("op4_token_counts")
 def token_counts(spark: SparkSession, folder: str) -> DataFrame:
     vocabulary = f"{TOKENIZERS}/byte_bpe_50k.tiktoken"
