@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tideline.llm import forest, language, lengths, licenses, packing, quality, rules, templates, toxicity
+from tideline.llm import forest, language, lengths, licenses, packing, quality, rules, scoring, templates, toxicity
 from tideline.llm.common import documents, fold, table
 from tideline.session import prepare
 
@@ -26,6 +26,11 @@ def query(name: str, sql: str | None = None):
     return register
 
 
+@query("op1_lm_scoring")
+def lm_scoring(spark: SparkSession, folder: str) -> DataFrame:
+    return scoring.scored(documents(spark, folder), fold(F.col("doc_id"), 5) == 1)
+
+
 @query("op2_license_scan")
 def license_scan(spark: SparkSession, folder: str) -> DataFrame:
     return licenses.scan(documents(spark, folder))
