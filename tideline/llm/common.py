@@ -10,17 +10,23 @@ from pyspark.sql import functions as F
 
 from tideline.session import stored, table
 
-__all__ = ["ASCII_LOWER", "GAP", "arrow_rows", "documents", "fold", "lower_ascii", "size_hint",
-           "stored", "table", "texts", "words"]
+__all__ = ["GAP", "arrow_rows", "documents", "fold", "size_hint", "stored", "table", "text_key",
+           "texts", "without", "words"]
 
 #: what stands between words, as a Java regular expression
 GAP = "[\\x20\\x09-\\x0D]+"
-ASCII_LOWER = ("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
 
-def lower_ascii(text: Column) -> Column:
-    """A-Z in lower case, all else as it is."""
-    return F.translate(text, *ASCII_LOWER)
+def text_key(text: Column) -> Column:
+    """A 64-bit hash of a text; with the id it names a document whose id may be null or repeated."""
+    return F.xxhash64(F.coalesce(text, F.lit("")))
+
+
+def without(docs: DataFrame, gone: DataFrame) -> DataFrame:
+    """`docs` without the documents in `gone` (doc_id, text_key, each once)."""
+    gone = gone.select(F.col("doc_id").alias("gone_id"), F.col("text_key").alias("gone_key"))
+    same = docs["doc_id"].eqNullSafe(gone["gone_id"]) & (text_key(docs["text"]) == gone["gone_key"])
+    return docs.join(gone, same, "left_anti")
 
 
 def words(text: Column) -> Column:

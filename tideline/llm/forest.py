@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tideline.llm.common import arrow_rows, size_hint, stored, texts
+from tideline.llm.common import arrow_rows, size_hint, stored, text_key, texts, without
 from tideline.llm.components import components
 
 TREES, DEPTH, LEAST_DEPTH = 16, 6, 3
@@ -108,7 +108,7 @@ def matrix(column: pa.Array, width: int) -> np.ndarray:
 
 
 def digest(docs: DataFrame, width: int) -> DataFrame:
-    """doc_id, n_shingles, fp (of the set, null if empty), sig."""
+    """doc_id, text_key, n_shingles, fp (of the set, null if empty), sig."""
 
     def step(batch: pa.RecordBatch) -> pa.RecordBatch:
         sets = [shingles(t, width) for t in texts(batch)]
@@ -119,14 +119,15 @@ def digest(docs: DataFrame, width: int) -> DataFrame:
         return pa.RecordBatch.from_pydict(
             {
                 "doc_id": batch.column("doc_id"),
+                "text_key": batch.column("text_key"),
                 "n_shingles": pa.array([len(s) for s in sets], pa.int64()),
                 "fp": pa.array(fps, pa.binary()),
                 "sig": pa.array([next(sigs) if len(s) else None for s in sets], pa.binary()),
             }
         )
 
-    return docs.select("doc_id", "text").mapInArrow(
-        arrow_rows(step, 200), "doc_id long, n_shingles long, fp binary, sig binary"
+    return docs.select("doc_id", "text", text_key(F.col("text")).alias("text_key")).mapInArrow(
+        arrow_rows(step, 200), "doc_id long, text_key long, n_shingles long, fp binary, sig binary"
     )
 
 
@@ -382,7 +383,7 @@ def linked(docs: DataFrame, classes: DataFrame, width: int, percent: int) -> Dat
 
 
 def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
-    """doc_id, n_shingles, component_id, kept of each document.
+    """doc_id, text_key, n_shingles, component_id, kept of each document.
 
     Documents are linked if 100 times the intersection of their sets of `width`-word shingles is at
     least `percent` times the union. `component_id` is the smallest id that links lead to, and
@@ -405,13 +406,21 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     named = classes.select("fp", "rep").join(far, "fp", "left").select(
         F.col("fp").alias("class_fp"), F.coalesce("least", "rep").alias("least")
     )
-    joined = rows.select("doc_id", "n_shingles", "fp").join(
+    joined = rows.select("doc_id", "text_key", "n_shingles", "fp").join(
         named, F.col("fp") == F.col("class_fp"), "left"
     )
     component = F.when(F.col("fp").isNull(), F.col("doc_id")).otherwise(F.col("least"))
     return joined.select(
         "doc_id",
+        "text_key",
         "n_shingles",
         component.alias("component_id"),
         F.col("doc_id").eqNullSafe(component).alias("kept"),
     )
+
+
+def without_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
+    """The document of each component that is kept, with all columns."""
+    judged = near_duplicates(docs, width, percent).where(~F.col("kept"))
+    gone = stored(judged.select("doc_id", "text_key").distinct(), "gone")
+    return without(docs, gone)

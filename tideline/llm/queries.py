@@ -38,7 +38,7 @@ def license_scan(spark: SparkSession, folder: str) -> DataFrame:
 
 @query("op3_near_duplicates")
 def near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
-    return forest.near_duplicates(documents(spark, folder), width=2, percent=80)
+    return forest.near_duplicates(documents(spark, folder), width=2, percent=80).drop("text_key")
 
 
 @query("op4_token_counts")

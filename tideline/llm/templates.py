@@ -23,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tideline.llm.common import stored
+from tideline.llm.common import stored, text_key, without
 
 WIDTH = 8
 LITERALS = 5
@@ -81,10 +81,6 @@ def item_windows(items: DataFrame) -> DataFrame:
     return good.join(count, "item_id")
 
 
-def text_key(text: Column) -> Column:
-    return F.xxhash64(F.coalesce(text, F.lit("")))
-
-
 def matches(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     """doc_id, text_key, item_id, shift, n_windows, at: places in the item that match at this shift."""
     split = docs.select(
@@ -177,9 +173,4 @@ def leaks(docs: DataFrame, items: DataFrame, share_percent: int = SHARE_PERCENT)
 
 def clean(docs: DataFrame, items: DataFrame) -> DataFrame:
     """The documents in which no item has leaked, with all their columns."""
-    bad = stored(leaks(docs, items).select("doc_id", "text_key").distinct(), "leaked")
-    bad = bad.select(F.col("doc_id").alias("bad_id"), F.col("text_key").alias("bad_key"))
-    key = text_key(docs["text"])
-    return docs.join(
-        bad, docs["doc_id"].eqNullSafe(bad["bad_id"]) & (key == bad["bad_key"]), "left_anti"
-    )
+    return without(docs, stored(leaks(docs, items).select("doc_id", "text_key").distinct(), "leaked"))
