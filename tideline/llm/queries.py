@@ -31,7 +31,43 @@ def lm_scoring(spark: SparkSession, folder: str) -> DataFrame:
     return scoring.scored(documents(spark, folder), fold(F.col("doc_id"), 5) == 1)
 
 
-@query("op2_license_scan")
+def license_sql() -> str:
+    """The sentence table and the rules, one after the other, as DuckDB SQL."""
+    known = ", ".join(f"'{k}': '{v}'" for k, v in licenses.SENTENCES.items())
+    steps, hits, seq = [], [], "s0"
+    for i, rule in enumerate(licenses.RULES, 1):
+        pattern = rule.pattern()
+        steps.append(
+            f"s{i} as (select *, array_to_string(list_transform(string_split(regexp_replace({seq}, "
+            f"'({pattern})', chr(10) || '\\1' || chr(10), 'g'), chr(10)), lambda p: case when "
+            f"regexp_full_match(p, '{pattern}') then repeat('-', length(p)) else p end), '') as s{i} "
+            f"from {seq})"
+        )
+        hits.append(
+            f"select doc_id, '{rule.name}' as \"rule\", '{rule.license}' as license, "
+            f"len(regexp_extract_all({seq}, '{pattern}'))::bigint as n_matches, "
+            f"(len(regexp_extract_all({seq}, '{pattern}')) * {len(rule.sentences)})::bigint "
+            f"as n_sentences, (length(regexp_extract({seq}, '^(.*?){pattern}', 1)) + 1)::bigint "
+            f"as first_sentence, length(replace(s0, '.', ''))::bigint as n_known "
+            f"from {seq} where regexp_matches({seq}, '{pattern}')"
+        )
+        seq = f"s{i}"
+    return f"""
+with parts as (
+  select doc_id, list_filter(list_transform(
+    regexp_split_to_array(lower(coalesce(text, '')), '\\n|\\. +'),
+    lambda x: trim(regexp_replace(x, '[^\\p{{L}}\\p{{N}}]+', ' ', 'g'))), lambda x: x <> '') as parts
+  from documents),
+known as (select map {{{known}}} as ids),
+s0 as (
+  select doc_id, array_to_string(list_transform(parts, lambda x: coalesce(ids[x], '.')), '') as s0
+  from parts cross join known),
+{", ".join(steps)}
+{" union all ".join(hits)}
+"""
+
+
+@query("op2_license_scan", license_sql())
 def license_scan(spark: SparkSession, folder: str) -> DataFrame:
     return licenses.scan(documents(spark, folder))
 
