@@ -10,7 +10,7 @@ from tideline.functions.time import event_time
 from tideline.operators import basic, scan, windows
 from tideline.operators.parse import parse_sensor
 from tideline.sinks.tables import KeyValueTable, SeenKeys, batch_writer, stream_csv
-from tideline.sources import custom, files
+from tideline.sources import files
 from tideline.streaming import processors as p
 from tideline.streaming.batches import running_batches
 from tideline.streaming.run import as_stream, batch_folder, final_rows, run_bounded, settle
@@ -242,17 +242,6 @@ def test_upserts_and_seen_keys_in_micro_batches(spark, tmp_path, rows):
     assert rows(later.first_seen(batches[1], 0)) == []
 
 
-def test_custom_source(spark, tmp_path, rows):
-    spark.dataSource.register(custom.ReadingSource)
-    path = "/root/testdata/sf0.001/events.parquet"
-    batch = spark.read.format("readings").load(path)
-    stream = spark.readStream.format("readings").load(path)
-    assert batch.count() == 1000
-    assert rows(run_bounded(stream), *batch.columns) == rows(batch)
-    folder = str(tmp_path / "events")
-    spark.read.parquet(path).repartition(3).write.parquet(folder)
-    assert rows(spark.read.format("readings").load(folder)) == rows(batch)
-
 
 def test_hot_key_over_micro_batches(spark, tmp_path, rows):
     """Running values of a hot key, in segments within a batch and carried from batch to batch."""

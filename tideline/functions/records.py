@@ -26,5 +26,6 @@ def last_record(order: Sequence[str], fields: Sequence[str], name: str) -> Colum
 
 
 def lowest_record(value: str, order: Sequence[str], fields: Sequence[str], name: str) -> Column:
-    """The record with the lowest value, the earliest on ties, as a struct."""
-    return F.min_by(F.struct(*fields), F.struct(value, *order)).alias(name)
+    """The record with the lowest value, the earliest on ties, as a struct; null without values."""
+    place = F.when(F.col(value).isNotNull(), F.struct(value, *order))
+    return F.min_by(F.struct(*fields), place).alias(name)

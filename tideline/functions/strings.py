@@ -41,8 +41,9 @@ def string_hash(text: Column, factor: int = 1) -> Column:
 
     letters = F.when(text == "", F.array().cast("array<string>")).otherwise(F.split(text, ""))
     plain = F.aggregate(letters, F.lit(0).cast("bigint"), add)
-    scaled = F.pmod(plain * F.lit(factor), modulus)
-    return F.when(scaled >= 2**31, scaled - modulus).otherwise(scaled).cast("int")
+    # shifted by half the modulus and back, the number wraps without being looked at twice
+    half = F.lit(2**31)
+    return (F.pmod(plain * F.lit(factor) + half, modulus) - half).cast("int")
 
 
 def label(*parts: Column, separator: str) -> Column:

@@ -2,10 +2,7 @@
 
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import SparkSession
-from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 
 def register_string_hash(spark: SparkSession, name: str, factor: int) -> None:
@@ -18,10 +15,11 @@ def register_string_hash(spark: SparkSession, name: str, factor: int) -> None:
     )
     step = f"(case when {point} < 65536 then h * 31 + {point} else {pair} end) % {modulus}"
     letters = "case when text = '' then cast(array() as array<string>) else split(text, '') end"
-    scaled = f"pmod(aggregate({letters}, 0L, (h, c) -> {step}) * {factor}L, {modulus})"
+    # shifted by half the modulus and back, the number wraps without being looked at twice
+    shifted = f"aggregate({letters}, 0L, (h, c) -> {step}) * {factor}L + {2**31}L"
     spark.sql(
         f"create or replace temporary function {name}(text string) returns int return "
-        f"cast(case when {scaled} >= {2**31} then {scaled} - {modulus} else {scaled} end as int)"
+        f"cast(pmod({shifted}, {modulus}) - {2**31} as int)"
     )
 
 
@@ -43,16 +41,11 @@ def register_split(spark: SparkSession, name: str, separator: str = ",") -> None
 
 
 def register_average(spark: SparkSession, name: str) -> None:
-    """SQL aggregate `name(sum, count)` that merges (sum, count) accumulators into the average.
+    """SQL function `name(sum(x), count(x))`: the average of a group, null for no values.
 
-    Adding rows to accumulators is left to the built-in sum and count, per key and salt, so that a
-    group in Python holds one accumulator per salt, however many rows the key has. Null for no
-    values.
+    The accumulators are built-in aggregates, so groups of any size are added up before the shuffle.
     """
-
-    @F.pandas_udf(T.DoubleType())
-    def average(sums: pd.Series, counts: pd.Series) -> float:
-        n = counts.sum()
-        return sums.sum() / n if n else None
-
-    spark.udf.register(name, average)
+    spark.sql(
+        f"create or replace temporary function {name}(total double, n bigint) returns double "
+        "return total / nullif(n, 0)"
+    )

@@ -55,6 +55,27 @@ def union_all(first: DataFrame, *others: DataFrame) -> DataFrame:
     return first
 
 
+def side_outputs(df: DataFrame, outputs: dict[str, Column], rest: str) -> DataFrame:
+    """Every row once with the name of its `output`: the first whose condition holds, else `rest`."""
+    name = F.lit(rest)
+    for label, condition in reversed(outputs.items()):
+        name = F.when(condition, F.lit(label)).otherwise(name)
+    return df.withColumn("output", name)
+
+
+def co_map_split(
+    df: DataFrame, first: Column, one: dict[str, Column], other: dict[str, Column]
+) -> DataFrame:
+    """Two maps over the two parts of one input, in one pass: `one` where `first` holds, `other`
+    where it doesn't, rows of neither (a null condition) left out; missing fields are null."""
+    names = list(dict.fromkeys([*one, *other]))
+    null = F.lit(None)
+    known = df.filter(first.isNotNull())
+    return known.select(
+        *[F.when(first, one.get(n, null)).otherwise(other.get(n, null)).alias(n) for n in names]
+    )
+
+
 def connect(first: DataFrame, second: DataFrame, marker: str = "input") -> DataFrame:
     """Two inputs as one tagged stream (1 and 2), the input of a two-input stateful operator."""
     return first.withColumn(marker, F.lit(1)).unionByName(
@@ -67,19 +88,27 @@ def key_by(df: DataFrame, *key: Column | str, partitions: int | None = None) ->
     return df.repartition(partitions, *key) if partitions else df.repartition(*key)
 
 
-def shuffled(df: DataFrame, partitions: int) -> DataFrame:
-    """Rows spread at random, with a fixed seed so that a retried task sends them the same way."""
-    return df.repartition(partitions, F.rand(seed=17))
+def shuffled(df: DataFrame, partitions: int | None = None) -> DataFrame:
+    """Rows spread at random, with a fixed seed so that a retried task sends them the same way.
+
+    Without a number, into the session's shuffle partitions, which adaptive execution sizes.
+    """
+    at = F.rand(seed=17)
+    return df.repartition(partitions, at) if partitions else df.repartition(at)
+
 
+def rebalanced(df: DataFrame, partitions: int | None = None) -> DataFrame:
+    """Rows dealt out evenly, one partition after another.
 
-def rebalanced(df: DataFrame, partitions: int) -> DataFrame:
-    """Rows dealt out evenly, one partition after another."""
-    return df.repartition(partitions)
+    Without a number, into as many parts of an even size as the data needs.
+    """
+    return df.repartition(partitions) if partitions else df.hint("rebalance")
 
 
 def in_one_task(df: DataFrame) -> DataFrame:
     """Everything in one partition. For small results only; no operator here relies on it."""
-    return df.coalesce(1)
+    # a coalesce would pull the operators below it into the one task as well
+    return df.repartition(1)
 
 
 def rich_map(

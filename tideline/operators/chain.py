@@ -75,12 +75,11 @@ def _by_size(
 ) -> tuple[DataFrame, DataFrame | None]:
     """The rows of groups up to the limit, and those of the groups beyond it."""
     sizes = df.groupBy(*group).count()
-    above = sizes.filter(F.col("count") > max_rows).drop("count")
-    found = above.collect()  # at most rows / max_rows groups
-    if not found:
+    above = stored(sizes.filter(F.col("count") > max_rows).drop("count"), "large")
+    if above.isEmpty():
         return df, None
-    beyond = F.broadcast(df.sparkSession.createDataFrame(found, above.schema))
-    return df.join(beyond, group, "left_anti"), df.join(beyond, group, "left_semi")
+    # Spark knows the size of a stored table and broadcasts it or not
+    return df.join(above, group, "left_anti"), df.join(above, group, "left_semi")
 
 
 def _walked(

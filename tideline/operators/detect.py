@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from tideline.operators import scan
 from tideline.operators.chain import greedy_chain
-from tideline.operators.sizes import MAX_BROADCAST_ROWS, broadcast_if_small
 from tideline.session import stored
 
 # fixed value: a key's value before its first row, the smallest positive double
@@ -39,9 +38,11 @@ def lasting_rises(
     `at` is a bigint event time. A rise arms an alert if none is armed, a strict fall up to the
     alert's time disarms it, an equal value does neither. After an alert the next rise arms again.
     A key starts from the smallest positive value, so its first positive row is a rise. Alerts
-    that are armed when the input ends are given too.
+    that are armed when the input ends are given too. Rows without a key, a time or a value take no
+    part.
     """
-    rows = scan.cut(df.select(*key, at, arrival, value), key, [at, arrival], max_rows)
+    known = df.select(*key, at, arrival, value).dropna(subset=[*key, at, value])
+    rows = scan.cut(known, key, [at, arrival], max_rows)
     seen = rows.extend([scan.previous("_last", F.col(value), [at, arrival])])
     last = F.coalesce(F.col("_last.value"), F.lit(SMALLEST_POSITIVE))
     marked = seen.with_columns(
@@ -69,24 +70,27 @@ def lasting_rises(
     )
 
 
-def _rules(rules: DataFrame, arrival: str, max_broadcast: int) -> DataFrame:
+def _rules(rules: DataFrame, arrival: str) -> DataFrame:
     """One row per rule, from its first arrival on; a repeated rule replaces itself."""
-    distinct = rules.groupBy("action1", "action2").agg(F.min(arrival).alias("_known_from"))
-    return broadcast_if_small(distinct, max_broadcast)
+    return rules.groupBy("action1", "action2").agg(F.min(arrival).alias("_known_from"))
 
 
 def patterns(
     actions: DataFrame, rules: DataFrame, user: str, action: str, arrival: str,
-    mode: str = "strict", max_rows: int = scan.MAX_ROWS, max_broadcast: int = MAX_BROADCAST_ROWS,
+    mode: str = "strict", max_rows: int = scan.MAX_ROWS,
 ) -> DataFrame:
     """(user, arrival, action1, action2) for every rule that an action completes.
 
     A rule applies to actions that arrive after it. `mode="strict"`: the user's previous action is
     action1 and the current one action2. `mode="reference"`: the current action is action2 and the
-    user has any earlier action; action1 is not compared.
+    user has any earlier action; action1 is not compared. Rows without a user or an action take no
+    part in either mode. The joins are plain ones on the action: adaptive execution broadcasts the
+    rules if they are small and splits frequent actions if not.
     """
-    known = _rules(rules, arrival, max_broadcast)
-    done = actions.filter(F.col(action).isNotNull()).select(user, action, arrival)
+    known = _rules(rules, arrival)
+    done = actions.filter(F.col(user).isNotNull() & F.col(action).isNotNull()).select(
+        user, action, arrival
+    )
     later = F.col("_known_from") < F.col(arrival)
     completes = later & (F.col(action) == F.col("action2"))
     if mode == "strict":
@@ -106,12 +110,11 @@ def patterns(
 
 def control_filter(
     words: DataFrame, control: DataFrame, word: str, arrival: str,
-    max_broadcast: int = MAX_BROADCAST_ROWS,
 ) -> DataFrame:
     """The words whose like has not arrived earlier on the control input."""
     blocked = control.groupBy(word).agg(F.min(arrival).alias("_blocked_from"))
     return (
-        words.join(broadcast_if_small(blocked, max_broadcast), word, "left")
+        words.join(blocked, word, "left")
         .filter(F.col("_blocked_from").isNull() | (F.col("_blocked_from") >= F.col(arrival)))
         .select(*words.columns)
     )

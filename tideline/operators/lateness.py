@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from tideline.functions.time import epoch_us, from_epoch_us, slot_start
 from tideline.operators import scan
+from tideline.session import stored
 
 MILLISECOND = 1_000
 
@@ -89,21 +90,21 @@ def lowest_firings(
 
     One firing over the rows on time, then one updated result per accepted late row. Gives
     (*key, start_us, end_us, firing, *fired_by, record, watermark_us): `firing` is "first" or
-    "update", `fired_by_*` the arrival of the late row, `record` the struct of `fields`.
+    "update", `fired_by_*` the arrival of the late row, `record` the struct of `fields`. Rows without
+    a value move the watermark but take no part in a window.
     """
     window = [*key, "start_us", "end_us"]
-    ranked = F.when(
-        F.col(value).isNotNull(),
-        F.struct(
-            F.col(value).alias("_value"),
-            *[F.col(o).alias(f"_order{i}") for i, o in enumerate(order)],
-            F.struct(*fields).alias("_record"),
-        ),
+    ranked = F.struct(
+        F.col(value).alias("_value"),
+        *[F.col(o).alias(f"_order{i}") for i, o in enumerate(order)],
+        F.struct(*fields).alias("_record"),
     )
-    first = (
-        replayed.filter(F.col("fate") == ON_TIME).groupBy(*window).agg(F.min(ranked).alias("_best"))
+    known = replayed.filter(F.col(value).isNotNull())
+    first = stored(
+        known.filter(F.col("fate") == ON_TIME).groupBy(*window).agg(F.min(ranked).alias("_best")),
+        "firings",
     )
-    late = replayed.filter(F.col("fate") == LATE).select(
+    late = known.filter(F.col("fate") == LATE).select(
         *window, *order, F.col("before_us").alias("watermark_us"), ranked.alias("_best")
     )
     # the result of the rows on time has no arrival of its own and so sorts before the late rows

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tideline.functions.time import slot_start
 from tideline.operators import scan
+from tideline.session import stored
 
 
 def gap_slots(
@@ -27,6 +28,7 @@ def gap_slots(
         F.max(at).alias("last"),
         *[column.alias(name) for name, column in aggregates.items()],
     )
+    slots = stored(slots, "slots")
     seen = scan.cut(slots, key, ["slot"], max_rows).extend(
         [scan.previous("_before", F.col("last"), ["slot"])]
     )

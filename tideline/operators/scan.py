@@ -1,33 +1,29 @@
 """Running values per key in arrival order, spread over many tasks when a key is hot.
 
-A plain window puts all rows of a key into one task. Here a key with more than `max_rows` rows is
-cut into segments of its arrival order, each segment is summarised before the shuffle, the
-summaries (a few rows per hot key) are folded in order, and every segment starts from what came
-before it. Keys below the limit keep the plain window. The result is the same either way.
+A plain window puts all rows of a key into one task. If the largest key has more than `max_rows`
+rows, the whole input is put in order once instead: range-partitioned by key and order into parts
+whose number follows the number of rows, and stored with the part's number as segment. Each segment
+of a key is summed up, the summaries of the few keys that reach over the end of a part are folded in
+order, and what came before a segment joins it as one header row, which a single window picks up.
+Order columns may be of any type that sorts, nulls and NaN included. The result is the same either
+way, and the only thing that decides between them is one number, the size of the largest key.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass, replace
 
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tideline.functions.time import slot_start
 from tideline.session import stored
 
 MAX_ROWS = 2_000_000
-# beyond MAX_ROWS * MAX_SEGMENTS / 2 hot rows, segments grow instead of becoming more
-MAX_SEGMENTS = 50_000
-# rows per segment from which the cut points are estimated
-SAMPLED = 1_000
 
 SEGMENT = "_segment"
-_POSITION = "_position"
+_IS_ROW = "_is_row"
 
 
 @dataclass(frozen=True)
@@ -141,24 +137,41 @@ def running(
 def _over_segments(
     segmented: DataFrame, key: Sequence[str], order: Sequence[str], measures: Sequence[Measure]
 ) -> DataFrame:
-    hot = segmented.filter(F.col(SEGMENT) > 0)
-    parts = hot.groupBy(*key, SEGMENT).agg(*[m.summary.alias(f"_{m.name}") for m in measures])
+    summed = [m.summary.alias(f"_{m.name}") for m in measures]
+    parts = stored(segmented.groupBy(*key, SEGMENT).agg(*summed), "summaries")
+    # keys in more than one segment: at most one for each end of a part
+    ends = parts.groupBy(*key).agg(
+        F.min(SEGMENT).alias("_first"), F.max(SEGMENT).alias("_last")
+    )
+    spread = ends.filter(F.col("_first") < F.col("_last")).select(
+        *[F.col(k).alias(f"_key{i}") for i, k in enumerate(key)], "_first"
+    )
+    same = F.col(SEGMENT) >= F.col("_first")
+    for i, k in enumerate(key):
+        same = same & F.col(k).eqNullSafe(F.col(f"_key{i}"))
+    several = parts.join(spread, same) if key else parts
     earlier = (
         Window.partitionBy(*key).orderBy(SEGMENT).rowsBetween(Window.unboundedPreceding, -1)
     )
-    carried = parts.select(
-        *[F.col(k).alias(f"_key{i}") for i, k in enumerate(key)],
-        F.col(SEGMENT).alias("_at"),
+    headers = several.select(
+        *key, SEGMENT, F.lit(False).alias(_IS_ROW),
         *[m.fold(F.col(f"_{m.name}")).over(earlier).alias(f"_{m.name}") for m in measures],
     )
-    same = F.col(SEGMENT) == F.col("_at")
-    for i, k in enumerate(key):
-        same = same & F.col(k).eqNullSafe(F.col(f"_key{i}"))
-    w = Window.partitionBy(*key, SEGMENT).orderBy(*order)
-    return segmented.join(carried, same, "left").select(
-        *segmented.columns,
-        *[m.merge(F.col(f"_{m.name}"), m.within(w)).alias(m.name) for m in measures],
+    both = segmented.withColumn(_IS_ROW, F.lit(True)).unionByName(
+        headers, allowMissingColumns=True
+    )
+    # the header sorts first; rows are looked at apart from it, in the same exchange and sort
+    so_far = Window.partitionBy(*key, SEGMENT).orderBy(_IS_ROW, *order).rowsBetween(
+        Window.unboundedPreceding, 0
+    )
+    carried = both.select(
+        "*", *[F.first(f"_{m.name}").over(so_far).alias(f"_before_{m.name}") for m in measures]
     )
+    w = Window.partitionBy(*key, SEGMENT, _IS_ROW).orderBy(*order)
+    return carried.select(
+        *segmented.columns, _IS_ROW,
+        *[m.merge(F.col(f"_before_{m.name}"), m.within(w)).alias(m.name) for m in measures],
+    ).filter(_IS_ROW).drop(_IS_ROW)
 
 
 def framed(
@@ -224,87 +237,14 @@ def _copied(
 def segment(
     df: DataFrame, key: Sequence[str], order: Sequence[str], max_rows: int = MAX_ROWS
 ) -> DataFrame | None:
-    """`df` with a segment number that follows `order`, 0 for cold keys; None if no key is hot.
-
-    The driver sees the hot keys, at most rows / max_rows of them, and the cut points.
-    """
-    sizes = df.groupBy(*key).count().filter(F.col("count") > max_rows)
-    hot_keys = sizes.collect()
-    if not hot_keys:
+    """`df` in parts that follow key and order, with the part's number; None if no key is hot."""
+    largest, rows = df.groupBy(*key).count().agg(F.max("count"), F.sum("count")).first()
+    if largest is None or largest <= max_rows:
         return None
-    hot_rows = sum(row["count"] for row in hot_keys)
-    wanted = min(math.ceil(2 * hot_rows / max_rows), MAX_SEGMENTS)
-    if key:
-        named = [F.col(k).alias(f"_hot{i}") for i, k in enumerate(key)]
-        hot = df.sparkSession.createDataFrame(hot_keys, sizes.schema).select(*named)
-        same = F.lit(True)
-        for i, k in enumerate(key):
-            same = same & F.col(k).eqNullSafe(F.col(f"_hot{i}"))
-        # at most rows / max_rows keys
-        marked = df.join(
-            F.broadcast(hot.withColumn("_is_hot", F.lit(True))), same, "left"
-        ).select(*df.columns, F.coalesce("_is_hot", F.lit(False)).alias("_is_hot"))
-    else:
-        marked = df.withColumn("_is_hot", F.lit(True))
-    numbered = _numbered(marked, order, wanted, hot_rows)
-    return numbered.withColumn(
-        SEGMENT, F.when(F.col("_is_hot"), F.col(SEGMENT)).otherwise(F.lit(0).cast("bigint"))
-    ).drop("_is_hot")
-
-
-def _numbered(
-    marked: DataFrame, order: Sequence[str], wanted: int, hot_rows: int
-) -> DataFrame:
-    """Segment numbers from 1 up, cut at quantiles of the first order column; where one value of
-    it fills several quantiles, its rows are cut again by the next order column."""
-    first = _as_position(marked, order[0])
-    hot = marked.filter("_is_hot")
-    points = _quantiles(hot, first, wanted, hot_rows)
-    repeated = sorted({p for p, q in zip(points, points[1:]) if p == q})
-    numbered = _bucketed(marked.withColumn(_POSITION, first), points, SEGMENT)
-    if not repeated or len(order) == 1:
-        return numbered.drop(_POSITION).withColumn(SEGMENT, F.col(SEGMENT) + 1)
-    tied = F.col(_POSITION).isin(repeated)
-    second = _as_position(marked, order[1])
-    inner = _quantiles(hot.filter(first.isin(repeated)), second, wanted, hot_rows)
-    numbered = _bucketed(
-        numbered.withColumn("_tied", tied).withColumn(_POSITION, second), inner, "_inner"
-    )
-    width = len(inner) + 2
-    within = F.when(F.col("_tied"), F.col("_inner")).otherwise(width - 1)
-    return numbered.withColumn(SEGMENT, F.col(SEGMENT) * width + within + 1).drop(
-        _POSITION, "_tied", "_inner"
-    )
-
-
-def _as_position(df: DataFrame, name: str) -> Column:
-    kind = df.schema[name].dataType
-    if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
-        number = F.unix_micros(F.col(name).cast("timestamp"))
-    elif isinstance(kind, T.NumericType):
-        number = F.col(name)
-    else:
-        raise ValueError(f"order column {name} must be a number or a timestamp, not {kind}")
-    return F.coalesce(number.cast("double"), F.lit(float("-inf")))
-
-
-def _quantiles(df: DataFrame, position: Column, wanted: int, rows: int) -> list[float]:
-    """Cut points into `wanted` parts of about equal size. They only steer the work: any cut points
-    give the same result, so an estimate from a sample will do for large inputs."""
-    shares = [i / wanted for i in range(1, wanted)]
-    if not shares:
-        return []
-    needed = wanted * SAMPLED / rows
-    picked = df.sample(fraction=needed, seed=17) if needed < 1 else df
-    accuracy = max(10_000, 10 * wanted)
-    return picked.agg(F.percentile_approx(position, shares, accuracy)).first()[0] or []
-
-
-def _bucketed(df: DataFrame, points: list[float], name: str) -> DataFrame:
-    inf = float("inf")
-    splits = [-inf, *sorted({p for p in points if -inf < p < inf}), inf]
-    bucketed = Bucketizer(splits=splits, inputCol=_POSITION, outputCol=name).transform(df)
-    return bucketed.withColumn(name, F.col(name).cast("bigint"))
+    parts = -(-2 * rows // max_rows)
+    # stored, since a part's number holds for this one way of dealing out the rows
+    dealt = df.repartitionByRange(parts, *key, *order)
+    return stored(dealt.withColumn(SEGMENT, F.spark_partition_id().cast("bigint")), "segments")
 
 
 def first_at_or_after(

@@ -37,8 +37,10 @@ def window_total(
 def window_winner(totals: DataFrame, key: str, size: str, name: str = "total") -> DataFrame:
     """Per window the key with the highest total: (key, total, window_end).
 
-    Only one partial winner per task and window meets the others. The lowest key wins a tie.
+    Only one partial winner per task and window meets the others. The lowest key wins a tie. A null
+    total takes no part; a window of null totals has no winner.
     """
+    totals = totals.filter(F.col(name).isNotNull())
     if totals.isStreaming:
         again = F.window(F.window_time("window"), size)
     else:
@@ -57,36 +59,63 @@ def running_winner(
 ) -> DataFrame:
     """Per window the key with the highest sum over this and all earlier windows.
 
-    Static input (*key, total, window), `size` in microseconds. If no total is negative, a key's
-    sum never falls, so the best sum up to a window is the best of all sums reached until then.
-    Otherwise each sum is repeated for every window up to the key's next one.
+    Static input (*key, total, window), `size` in microseconds. A key's sum holds from its window to
+    the key's next one. That span of windows is made up of at most two aligned pieces of each power
+    of two; the best sum of each piece is found first, and a window takes the best of the pieces it
+    lies in, one of each power. So rows grow by the logarithm of a span, not by its length. A null
+    total adds nothing, and a key takes part from its first total that is not null.
     """
-    flat = stored(totals.select(key, name, epoch_us(F.col("window.end")).alias("_end")), "totals")
-    sums = scan.running(
-        flat, [key], ["_end"], [scan.running_sum("_sum", F.col(name))], max_rows
-    ).select(key, F.col("_sum").alias(name), "_end")
-    falling, last = flat.agg(
-        F.coalesce(F.min(name) < 0, F.lit(False)), F.max("_end")
-    ).first()
-    if falling:
-        back = sums.withColumn("_back", -F.col("_end"))
-        until = scan.running(
-            back, [key], ["_back"], [scan.previous("_next", F.col("_end"), ["_back"])], max_rows
-        )
-        stop = F.coalesce(F.col("_next.value"), F.lit(last + size)) - size
-        sums = until.select(
-            key, name, F.explode(F.sequence("_end", stop, F.lit(size))).alias("_end")
-        )
+    flat = stored(
+        totals.select(
+            key, name, F.floor(epoch_us(F.col("window.end")) / size).cast("bigint").alias("_at"),
+            F.pmod(epoch_us(F.col("window.end")), F.lit(size)).alias("_off"),
+        ),
+        "totals",
+    )
+    known = flat.filter(F.col(name).isNotNull())
+    last = flat.agg(F.max("_at")).first()[0]
+    rows = scan.cut(known.withColumn("_back", -F.col("_at")), [key], ["_back"], max_rows)
+    until = rows.extend([scan.previous("_next", F.col("_at"), ["_back"])]).rows
+    sums = scan.running(until, [key], ["_at"], [scan.running_sum("_sum", F.col(name))], max_rows)
+    stop = F.coalesce(F.col("_next.value"), F.lit((last or 0) + 1))
+    spans = sums.select(key, F.col("_sum").alias(name), F.col("_at").alias("_from"), stop.alias("_to"))
+    pieces = stored(
+        spans.select(key, name, F.explode(_aligned("_from", "_to")).alias("_piece")).select(
+            key, name, "_piece.*"
+        ),
+        "pieces",
+    )
     ranked = F.struct((-F.col(name)).alias("_rank"), F.col(key).alias("_key"))
     record = F.struct(ranked.alias("_by"), F.struct(key, name).alias("_record"))
-    best = stored(sums.groupBy("_end").agg(F.min(record).alias("_best")), "best")
-    if falling:
-        best = best.join(flat.select("_end").distinct(), "_end", "left_semi")
-    else:
-        best = scan.running(
-            best, [], ["_end"], [scan.running_min("_so_far", F.col("_best"))], max_rows
-        ).select("_end", F.col("_so_far").alias("_best"))
-    return best.select("_best._record.*", from_epoch_us(F.col("_end")).alias("window_end"))
+    best = pieces.groupBy("_level", "_place").agg(F.min(record).alias("_best"))
+    highest = pieces.agg(F.max("_level")).first()[0]
+    windows = flat.select("_at", "_off").distinct()
+    asked = windows.select(
+        "_at", "_off", F.explode(F.sequence(F.lit(0), F.lit(highest or 0))).alias("_level")
+    ).withColumn("_place", F.call_function("shiftright", "_at", "_level"))
+    found = asked.join(best, ["_level", "_place"]).groupBy("_at", "_off").agg(
+        F.min("_best").alias("_best")
+    )
+    end = F.col("_at") * size + F.col("_off")
+    return found.select("_best._record.*", from_epoch_us(end).alias("window_end"))
+
+
+def _aligned(start: str, stop: str) -> Column:
+    """The aligned pieces (level, place) that make up [start, stop): piece (l, p) is all numbers
+    that give p when shifted right by l."""
+
+    def at_level(level: Column) -> Column:
+        low = -F.call_function("shiftright", -F.col(start), level)
+        high = F.call_function("shiftright", F.col(stop), level)
+        left = F.struct(level.alias("_level"), low.alias("_place"))
+        right = F.struct(level.alias("_level"), (high - 1).alias("_place"))
+        return F.array(
+            F.when((low < high) & (F.pmod(low, F.lit(2)) == 1), left),
+            F.when((low < high) & (F.pmod(high, F.lit(2)) == 1), right),
+        )
+
+    top = F.ceil(F.log2((F.col(stop) - F.col(start) + 1).cast("double"))).cast("int")
+    return F.array_compact(F.flatten(F.transform(F.sequence(F.lit(0), top), at_level)))
 
 
 def sessions(

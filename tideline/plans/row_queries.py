@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import functions as F
 
 from tideline.functions import udf
 from tideline.functions.strings import split_line, string_hash, utf16_length
-from tideline.functions.time import epoch_ms, event_time
+from tideline.functions.time import epoch_ms, epoch_us, event_time
 from tideline.operators import basic, parse
 from tideline.plans.inputs import (
     CENTS,
@@ -22,34 +23,38 @@ from tideline.plans.inputs import (
 from tideline.plans.registry import query
 from tideline.session import shared_path, table
 from tideline.sinks.tables import KeyValueTable, SeenKeys, append_csv, append_documents
-from tideline.sources import custom, files, kafka
+from tideline.sources import files, kafka
 
 # ---- sources
 
 
 @query(
     "src_collection",
-    """select e.event_id, e.event_type, l.warn_above from events e
-    join (values ('click', 30.0::double), ('view', 45.5), ('purchase', 60.0)) l(event_type, warn_above)
-      using (event_type) where e.value > l.warn_above""",
+    """select e.event_id, e.event_type, l.warn_above, e.value > l.warn_above as above from events e
+    left join (values ('click', 30.0::double), ('view', 45.5), ('purchase', 60.0))
+      l(event_type, warn_above) using (event_type)""",
 )
 def src_collection(spark, folder):
     limits = files.from_collection(
         spark, [("click", 30.0), ("view", 45.5), ("purchase", 60.0)],
         "event_type string, warn_above double",
     )
-    joined = events(spark, folder).join(F.broadcast(limits), "event_type")  # three literal rows
-    return joined.filter("value > warn_above").select("event_id", "event_type", "warn_above")
+    # three literal rows
+    joined = events(spark, folder).join(F.broadcast(limits), "event_type", "left")
+    above = (F.col("value") > F.col("warn_above")).alias("above")
+    return joined.select("event_id", "event_type", "warn_above", above)
 
 
 @query(
     "src_elements",
-    "select event_id, user_id from events where user_id in (1, 34, 4, 657, 23)",
+    "select event_id, user_id, user_id in (1, 34, 4, 657, 23) as listed from events",
 )
 def src_elements(spark, folder):
     users = files.from_elements(spark, 1, 34, 4, 657, 23, name="user_id")
-    picked = events(spark, folder).join(F.broadcast(users), "user_id", "left_semi")  # five literals
-    return picked.select("event_id", "user_id")
+    marked = users.withColumn("listed", F.lit(True))  # five literals
+    joined = events(spark, folder).join(F.broadcast(marked), "user_id", "left")
+    listed = F.when(F.col("user_id").isNotNull(), F.coalesce("listed", F.lit(False)))
+    return joined.select("event_id", "user_id", listed.alias("listed"))
 
 
 @query("src_text", f"select value from {LINES}")
@@ -81,8 +86,16 @@ def src_csv_payload(spark, folder):
     from events""",
 )
 def src_custom_datasource(spark, folder):
-    spark.dataSource.register(custom.ReadingSource)
-    return spark.read.format("readings").load(f"{folder}/events.parquet")
+    """A source of the user's own is a function that gives a DataFrame of readings."""
+
+    def source(path: str):
+        rows = spark.read.parquet(path)
+        return rows.select(
+            F.col("event_id").alias("seq"), F.col("event_type").alias("id"),
+            epoch_us(F.col("ts")).alias("time_us"), F.col("value").alias("temperature"),
+        )
+
+    return files.from_source(source, f"{folder}/events.parquet")
 
 
 # ---- sinks
@@ -90,14 +103,14 @@ def src_custom_datasource(spark, folder):
 
 @query(
     "sink_csv_append",
-    """select event_type as id, value as temperature from events
-    where event_type in ('click', 'view')""",
+    "select event_type as id, value as temperature from events",
 )
 def sink_csv_append(spark, folder):
     path = shared_path(spark, "sink-csv")
     rows = readings(spark, folder).select("id", F.col("value").alias("temp"))
-    for kind in ("click", "view"):
-        append_csv(rows.filter(F.col("id") == kind), path, ["id", "temperature"])
+    clicks = F.col("id") == "click"
+    for part in (clicks, ~clicks | F.col("id").isNull()):  # two appends
+        append_csv(rows.filter(part), path, ["id", "temperature"])
     return files.csv_table(spark, path, "id string, temperature double")
 
 
@@ -296,10 +309,15 @@ def tbl_from_stream(spark, folder):
     return spark.table("data_table")
 
 
-@query("attr_proctime")
+@query(
+    "attr_proctime",
+    "select event_type as id, ts, value as temp, true as has_pt from events",
+)
 def attr_proctime(spark, folder):
+    """A processing time is another one each time; what can be checked is that every row has it."""
     rows = readings(spark, folder).select("id", "ts", F.col("value").alias("temp"))
-    return rows.withColumn("pt", F.current_timestamp())
+    timed = rows.withColumn("pt", F.current_timestamp())
+    return timed.select("id", "ts", "temp", F.col("pt").isNotNull().alias("has_pt"))
 
 
 @query(
@@ -327,23 +345,30 @@ def attr_rowtime_replaced(spark, folder):
     return rows.withColumn("timestamp", event_time(F.col("timestamp"), "s").cast("timestamp_ntz"))
 
 
-@query("rich_partition_id")
+@query(
+    "rich_partition_id",
+    "select event_type as id, count(*) as n, true as has_task from events group by 1",
+)
 def rich_partition_id(spark, folder):
-    return readings(spark, folder).select("id", F.spark_partition_id().alias("task"))
+    """Tasks number their rows in their own way; rows per id, added up over tasks, do not change."""
+    rows = readings(spark, folder).select("id", F.spark_partition_id().alias("task"))
+    tasks = rows.groupBy("id", "task").agg(F.count(F.lit(1)).alias("n"))
+    return tasks.groupBy("id").agg(
+        F.sum("n").alias("n"), F.bool_and(F.col("task") >= 0).alias("has_task")
+    )
 
 
 @query("rich_lifecycle", "select event_type as id, length(event_type) as length from events")
 def rich_lifecycle(spark, folder):
-    def measure(lengths: dict, batch: pa.RecordBatch) -> pa.RecordBatch:
-        ids = batch.column("id").to_pylist()
-        found = [lengths.setdefault(i, len(i)) for i in ids]
-        return pa.RecordBatch.from_arrays(
-            [batch.column("id"), pa.array(found, pa.int64())], names=["id", "length"]
-        )
+    def measure(beyond: str, batch: pa.RecordBatch) -> pa.RecordBatch:
+        ids = batch.column("id")
+        # units of UTF-16, null for a null id
+        units = pc.add(pc.utf8_length(ids), pc.count_substring_regex(ids, beyond))
+        return pa.RecordBatch.from_arrays([ids, units.cast(pa.int64())], names=["id", "length"])
 
     return basic.rich_map(
         readings(spark, folder).select("id"), "id string, length bigint",
-        open=dict, call=measure, close=dict.clear,
+        open=lambda: "[\\x{10000}-\\x{10ffff}]", call=measure, close=lambda pattern: None,
     )
 
 
@@ -371,11 +396,11 @@ def split_select_high(spark, folder):
     union all select event_type, null, 'normal' from events where value <= 30""",
 )
 def connect_comap(spark, folder):
-    high, low = basic.side_output(readings(spark, folder), F.col("value") > 30)
-    warning = high.select("id", F.col("value").alias("temp"))
-    return basic.co_map(
-        warning, low, ["id", "temp", F.lit("high temp warning").alias("message")],
-        ["id", F.lit("normal").alias("message")],
+    high = F.col("value") > 30
+    return basic.co_map_split(
+        readings(spark, folder), high,
+        {"id": F.col("id"), "temp": F.col("value"), "message": F.lit("high temp warning")},
+        {"id": F.col("id"), "message": F.lit("normal")},
     )
 
 
@@ -396,10 +421,7 @@ def union_all(spark, folder):
 )
 def side_output_split(spark, folder):
     rows = readings(spark, folder).select("event_id", "value")
-    main, low = basic.side_output(rows, F.col("value") > 30)
-    return main.withColumn("output", F.lit("main")).unionByName(
-        low.withColumn("output", F.lit("lowTemp"))
-    )
+    return basic.side_outputs(rows, {"main": F.col("value") > 30}, rest="lowTemp")
 
 
 @query("key_by_expr", "select event_id % 2 as parity, event_id, user_id from events")
@@ -412,12 +434,12 @@ def key_by_expr(spark, folder):
 
 @query("part_shuffle", "select event_id, value from events")
 def part_shuffle(spark, folder):
-    return basic.shuffled(events(spark, folder).select("event_id", "value"), 16)
+    return basic.shuffled(events(spark, folder).select("event_id", "value"))
 
 
 @query("part_rebalance", "select event_id, user_id from events")
 def part_rebalance(spark, folder):
-    return basic.rebalanced(events(spark, folder).select("event_id", "user_id"), 16)
+    return basic.rebalanced(events(spark, folder).select("event_id", "user_id"))
 
 
 @query("part_global", f"select event_type as id, cast(sum({CENTS}) as bigint) as cents from events group by 1")
@@ -535,9 +557,6 @@ def sql_udaf_avg(spark, folder):
     udf.register_average(spark, "avg_temp")
     readings(spark, folder).createOrReplaceTempView("sensor")
     return spark.sql(
-        """select id, avg_temp(total, n) as avg_cents from (
-             select user_id as id, pmod(xxhash64(event_id), 32) as salt,
-               cast(sum(cents) as double) as total, count(cents) as n
-             from sensor group by 1, 2)
-           group by id"""
+        """select user_id as id, avg_temp(sum(cents), count(cents)) as avg_cents
+           from sensor group by user_id"""
     )

@@ -6,18 +6,18 @@ from pyspark.sql import functions as F
 
 from tideline.functions.strings import split_line
 from tideline.functions.time import DAY, HOUR, epoch_us, from_epoch_us
-from tideline.operators import basic, scan, windows
-from tideline.operators.sizes import broadcast_if_small
+from tideline.operators import basic, changelog, scan, windows
 from tideline.plans import row_queries, window_queries
 from tideline.plans import state_queries as batch
 from tideline.plans.inputs import cents, events
 from tideline.plans.registry import ORACLES, query
 from tideline.session import shared_path, table
 from tideline.streaming import processors as p
-from tideline.streaming.batches import running_batches
+from tideline.streaming.batches import framed_batches, running_batches
 from tideline.streaming.run import as_stream, final_rows, run_bounded
 
-FAR = "2100-01-01"
+#: later than any row
+FAR = "9999-01-01"
 
 ROLLING_MAX = """select user_id, event_id,
   max(value) over (partition by user_id order by event_id) as value from events"""
@@ -29,24 +29,54 @@ def event_stream(spark, folder, *columns: str, closing: bool = False):
         "event_id", F.col("ts").cast("timestamp").alias("ts"), "user_id", "event_type", "value",
         cents().alias("cents"), epoch_us(F.col("ts")).alias("us"),
     )
-    last = None
-    if closing:
-        schema = "event_id bigint, user_id bigint, event_type string, value double, cents bigint"
-        far = spark.createDataFrame([(-1, -1, "end", 0.0, 0)], schema)
-        last = far.withColumn("ts", F.lit(FAR).cast("timestamp"))
-        last = last.withColumn("us", epoch_us(F.col("ts"))).select("event_id", *columns)
-    return as_stream(rows.select("event_id", *columns), "event_id", last=last)
+    rows = rows.select("event_id", *columns)
+    if not closing:
+        return as_stream(rows, "event_id")
+    null = {f.name: F.lit(None).cast(f.dataType) for f in rows.schema}
+    far = null | {"ts": F.lit(FAR).cast("timestamp")}
+    last = spark.range(1).select(*[c.alias(n) for n, c in far.items()], F.lit(True).alias("closing"))
+    return as_stream(rows.withColumn("closing", F.lit(False)), "event_id", last=last)
+
+
+def watermarked(rows, bound: str, *known: str):
+    """The watermark of all rows, and of them those that have a value in the columns `known` and
+    aren't the closing one.
+
+    The condition names `ts`, so that it is not moved below the watermark.
+    """
+    wanted = ~F.col("closing")
+    for name in known:
+        wanted &= F.col(name).isNotNull()
+    return rows.withWatermark("ts", bound).filter(wanted | F.col("ts").isNull())
+
+
+def scanned(rows, key, measures, finish=lambda found: found, order=("event_id",)):
+    """Running values of a stream per micro-batch."""
+    spark = rows.sparkSession
+    path, state = shared_path(spark, "stream-out"), shared_path(spark, "stream-state")
+    write = running_batches(key, list(order), measures, path, state, finish=finish)
+    return run_bounded(rows, path=path, write=write).drop("batch")
+
+
+def framed(rows, key, preceding, values, finish):
+    """Row frames of a stream per micro-batch."""
+    spark = rows.sparkSession
+    path, state = shared_path(spark, "stream-out"), shared_path(spark, "stream-state")
+    write = framed_batches(
+        key, ["event_id"], preceding, values, "nth", path, state, finish=finish
+    )
+    return run_bounded(rows, path=path, write=write).drop("batch")
 
 
 @query("stream_hourly_tips_max", ORACLES["hourly_tips_max"])
 def stream_hourly_tips_max(spark, folder):
     fares = event_stream(spark, folder, "ts", "user_id", "cents", closing=True)
-    fares = fares.withWatermark("ts", "1 hour")
+    fares = watermarked(fares, "1 hour")
     totals = windows.window_total(
         fares.withColumnRenamed("user_id", "driver"), ["driver"], "ts", "1 hour", "cents"
     )
     winners = run_bounded(windows.window_winner(totals, "driver", "1 hour"))
-    return winners.filter(F.col("window_end") < FAR).select(
+    return winners.select(
         "driver", "total", F.col("window_end").cast("timestamp_ntz").alias("window_end")
     )
 
@@ -62,52 +92,44 @@ def stream_word_count(spark, folder):
 @query("stream_state_key_count", ORACLES["state_key_count"])
 def stream_state_key_count(spark, folder):
     rows = event_stream(spark, folder, "user_id")
-    counted = p.keyed(
-        rows, ["user_id"], p.RunningCount("event_id"),
-        "user_id bigint, event_id bigint, n bigint",
-    )
-    return run_bounded(counted).drop("batch")
+    return scanned(rows, ["user_id"], [scan.running_count("n")])
 
 
 @query("stream_rolling_sum", ORACLES["rolling_sum"])
 def stream_rolling_sum(spark, folder):
     """Only two keys, both hot: each micro-batch is scanned in segments."""
     rows = event_stream(spark, folder, "cents").withColumn("parity", F.col("event_id") % 2)
-    path, state = shared_path(spark, "stream-out"), shared_path(spark, "stream-state")
     total = [scan.running_sum("total", F.col("cents"))]
-    write = running_batches(["parity"], ["event_id"], total, path, state)
-    return run_bounded(rows, path=path, write=write).drop("batch", "cents")
+    return scanned(rows, ["parity"], total, lambda found: found.drop("cents"))
 
 
 @query("stream_rolling_reduce", ROLLING_MAX)
 def stream_rolling_reduce(spark, folder):
     rows = event_stream(spark, folder, "user_id", "value")
-    highest = p.keyed(
-        rows, ["user_id"], p.Fold("event_id", "value", "double", max),
-        "user_id bigint, event_id bigint, value double",
-    )
-    return run_bounded(highest).drop("batch")
+    highest = [scan.running_max("highest", F.col("value"))]
+    picked = lambda found: found.select("user_id", "event_id", F.col("highest").alias("value"))
+    return scanned(rows, ["user_id"], highest, picked)
 
 
 @query("stream_temp_jump", batch.TEMP_JUMP)
 def stream_temp_jump(spark, folder):
     rows = event_stream(spark, folder, "user_id", "value")
-    found = p.keyed(
-        rows, ["user_id"], p.Jump("event_id", "value", 50.0),
-        "user_id bigint, event_id bigint, last double, current double",
+    last = [scan.previous("last", F.col("value"), ["event_id"])]
+    jumps = lambda found: found.filter(F.abs(F.col("value") - F.col("last.value")) >= 50).select(
+        "user_id", "event_id", F.col("last.value").alias("last"), F.col("value").alias("current")
     )
-    return run_bounded(found).drop("batch")
+    return scanned(rows, ["user_id"], last, jumps)
 
 
 @query("stream_rise_alert", batch.RISES)
 def stream_rise_alert(spark, folder):
     rows = event_stream(spark, folder, "ts", "us", "user_id", "value", closing=True)
-    rows = rows.withWatermark("ts", "1 hour")
+    rows = watermarked(rows, "1 hour", "user_id", "value")
     found = p.keyed(
         rows, ["user_id"], p.RiseAlert("us", "event_id", "value", 6 * HOUR),
         "user_id bigint, armed_at bigint, alert_at bigint", "eventTime",
     )
-    return run_bounded(found).filter("user_id >= 0").select(
+    return run_bounded(found).select(
         "user_id", from_epoch_us(F.col("armed_at")).alias("armed_at"),
         from_epoch_us(F.col("alert_at")).alias("alert_at"),
     )
@@ -134,59 +156,60 @@ def stream_dedup_forever(spark, folder):
 def stream_control_filter(spark, folder):
     words = events(spark, folder).select(F.col("event_type").alias("word"), "event_id")
     both = basic.connect(batch.control(spark, folder), words)
-    kept = p.keyed(
-        as_stream(both, "event_id"), ["word"], p.ControlFilter("event_id"),
-        "word string, event_id bigint",
-    )
-    return run_bounded(kept).drop("batch")
+    # every word is hot: whether a control row came before is a running maximum
+    control = [scan.running_max("blocked", F.col("input") == 1)]
+    kept = lambda found: found.filter(
+        (F.col("input") == 2) & ~F.coalesce("blocked", F.lit(False))
+    ).select("word", "event_id")
+    # of rows that arrive together, the word goes first
+    both = both.withColumn("turn", -F.col("input"))
+    order = ["event_id", "turn"]
+    return scanned(as_stream(both, "event_id"), ["word"], control, kept, order)
 
 
 @query("stream_count_window", ORACLES["win_count_sliding"])
 def stream_count_window(spark, folder):
     rows = event_stream(spark, folder, "user_id", "cents")
-    fired = p.keyed(
-        rows, ["user_id"], p.CountWindow("event_id", "cents", 10, 2),
-        "user_id bigint, event_id bigint, total bigint, n bigint",
+    values = {
+        "total": lambda w: F.sum("cents").over(w), "n": lambda w: F.count(F.lit(1)).over(w)
+    }
+    fired = lambda found: found.filter(F.col("nth") % 2 == 0).select(
+        "user_id", "event_id", "total", "n"
     )
-    return run_bounded(fired).drop("batch")
+    return framed(rows, ["user_id"], 9, values, fired)
 
 
 @query("stream_over_rows", window_queries.STREAM_OVER)
 def stream_over_rows(spark, folder):
     """A row frame over a stream is a count window that slides by one row."""
     rows = event_stream(spark, folder, "user_id", "cents")
-    framed = p.keyed(
-        rows, ["user_id"], p.CountWindow("event_id", "cents", 3, 1),
-        "id bigint, event_id bigint, total bigint, cnt bigint",
-    )
-    return run_bounded(framed).drop("batch")
+    values = {
+        "total": lambda w: F.sum("cents").over(w), "cnt": lambda w: F.count("user_id").over(w)
+    }
+    named = lambda found: found.select(F.col("user_id").alias("id"), "event_id", "total", "cnt")
+    return framed(rows, ["user_id"], 2, values, named)
 
 
 @query("stream_retract_changelog", ORACLES["retract_changelog"])
 def stream_retract_changelog(spark, folder):
     rows = event_stream(spark, folder, "user_id", "cents")
-    log = p.keyed(
-        rows, ["user_id"], p.Changelog("event_id", "cents"),
-        "user_id bigint, event_id bigint, op boolean, cnt bigint, total bigint",
-    )
-    return run_bounded(log).drop("batch")
+    log = lambda found: changelog.as_changes(found, ["user_id"], ["event_id"])
+    return scanned(rows, ["user_id"], changelog.measures("cents"), log)
 
 
 @query("stream_pattern_strict", batch.STRICT)
 def stream_pattern_strict(spark, folder):
-    """The user's state finds pairs of actions; the small rule table is joined to the stream."""
+    """A running value finds pairs of actions, and each micro-batch is joined to the rules."""
     rows = event_stream(spark, folder, "user_id", "event_type")
-    pairs = p.keyed(
-        rows, ["user_id"], p.Previous("event_id", "event_type"),
-        "user_id bigint, event_id bigint, last string, action string",
-    )
+    rows = rows.dropna(subset=["user_id", "event_type"])
     known = batch.rules(spark, folder).withColumnRenamed("event_id", "known_from")
-    found = pairs.join(
-        broadcast_if_small(known),
-        (F.col("last") == F.col("action1")) & (F.col("action") == F.col("action2"))
+    last = [scan.previous("last", F.col("event_type"), ["event_id"])]
+    matched = lambda found: found.join(
+        known,
+        (F.col("last.value") == F.col("action1")) & (F.col("event_type") == F.col("action2"))
         & (F.col("known_from") < F.col("event_id")),
-    )
-    return run_bounded(found.select("user_id", "event_id", "action1", "action2")).drop("batch")
+    ).select("user_id", "event_id", "action1", "action2")
+    return scanned(rows, ["user_id"], last, matched)
 
 
 @query("stream_side_output", ORACLES["side_output_split"])

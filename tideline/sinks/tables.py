@@ -6,12 +6,11 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tideline.functions.records import first_record, last_record
-from tideline.operators.sizes import broadcast_if_small
 from tideline.session import stored
 
 
@@ -102,15 +101,19 @@ class SeenKeys:
     `run` names the job run, with its own batch numbers; runs with different names share the keys.
     """
 
-    def __init__(self, path: str, key: Sequence[str], order: Sequence[str], run: str = "main"):
+    def __init__(
+        self, path: str, key: Sequence[str], order: Sequence[str], run: str = "main",
+        buckets: int = 32,
+    ):
         self.path = path
+        self.buckets = buckets
         self.key = list(key)
         self.order = list(order)
         self.run = run
 
     def _known(self, batch: DataFrame, batch_id: int) -> DataFrame | None:
         schema = batch.select(*self.key).schema.add("run", T.StringType())
-        schema = schema.add("batch", T.LongType())
+        schema = schema.add("batch", T.LongType()).add("bucket", T.IntegerType())
         try:
             stored = batch.sparkSession.read.schema(schema).parquet(self.path)
         except AnalysisException as error:
@@ -118,7 +121,11 @@ class SeenKeys:
                 return None
             raise
         repeated = (F.col("run") == self.run) & (F.col("batch") >= batch_id)
-        return stored.filter(~repeated).select(*self.key)
+        return stored.filter(~repeated).select(*self.key, "bucket")
+
+    def _bucket(self) -> Column:
+        """Which of a fixed number of folders a key's rows lie in."""
+        return F.pmod(F.xxhash64(*self.key), F.lit(self.buckets)).cast("int")
 
     def first_seen(self, batch: DataFrame, batch_id: int) -> DataFrame:
         """The batch's first row per key that no earlier batch has had; remembers the keys.
@@ -132,11 +139,17 @@ class SeenKeys:
         )
         known = self._known(batch, batch_id)
         if known is not None:
-            # a batch has few keys, the table many: look them up where the table's rows are
+            # a batch has few keys, the table many: only the asked buckets are read, and Spark, which
+            # knows the size of a stored table, may look the keys up where the table's rows are
             first = stored(first, "first")
-            asked = broadcast_if_small(first.select(*self.key))
-            repeated = known.join(asked, self.key, "left_semi").distinct()
+            asked = first.select(*self.key, self._bucket().alias("bucket"))
+            buckets = [r.bucket for r in asked.select("bucket").distinct().collect()]
+            repeated = known.filter(F.col("bucket").isin(buckets)).join(
+                asked.select(*self.key), self.key, "left_semi"
+            )
+            repeated = repeated.select(*self.key).distinct()
             first = first.join(repeated, self.key, "left_anti")
         here = f"{self.path}/run={self.run}/batch={batch_id}"
-        first.write.mode("overwrite").parquet(here)
-        return batch.sparkSession.read.schema(first.schema).parquet(here)
+        laid = first.withColumn("bucket", self._bucket()).repartition("bucket")
+        laid.write.mode("overwrite").partitionBy("bucket").parquet(here)
+        return batch.sparkSession.read.schema(first.schema).parquet(here).select(*first.columns)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -17,6 +17,14 @@ def from_elements(spark: SparkSession, *elements, name: str = "value") -> DataFr
     return spark.createDataFrame([(element,) for element in elements], [name])
 
 
+def from_source(source: Callable[..., DataFrame], *arguments) -> DataFrame:
+    """Records of a source of the user's own: any function that gives a DataFrame, bounded or not.
+
+    Splitting, pruning and retries are those of the readers that the function is made of.
+    """
+    return source(*arguments)
+
+
 def text_lines(spark: SparkSession, path: str) -> DataFrame:
     """One row per line, blank lines included."""
     return spark.read.text(path)

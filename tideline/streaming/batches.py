@@ -2,26 +2,30 @@
 
 Keyed state puts all rows of a key of one micro-batch into one task. Here each micro-batch goes
 through the segmented scan instead, and what the batches before it came to is kept as a table with
-one row per key. Every batch writes that table anew under its own number, so this suits few or hot
-keys; for many keys without a hot one, the processors write less.
+one row per key, or the last rows per key for row frames. Every batch writes that table anew under
+its own number.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from tideline.operators import scan
+from tideline.session import stored
 from tideline.sinks.tables import batch_writer
 
 
 def running_batches(
     key: Sequence[str], order: Sequence[str], measures: Sequence[scan.Measure], path: str,
     state: str, max_rows: int = scan.MAX_ROWS,
+    finish: Callable[[DataFrame], DataFrame] = lambda rows: rows,
 ) -> Callable[[DataFrame, int], None]:
-    """A writer for `foreachBatch`: rows with their running values go to `path/batch=<id>`.
+    """A writer for `foreachBatch`: rows with their running values go to `path/batch=<id>`, after
+    `finish` has made of them what is wanted.
 
     Batches must follow each other in `order`. A batch that is run again reads the state of the
     batch before it and so writes the same rows.
@@ -45,10 +49,11 @@ def running_batches(
         same = F.lit(True)
         for i, k in enumerate(key):
             same = same & F.col(k).eqNullSafe(F.col(f"_key{i}"))
-        inside.join(renamed, same, "left").select(
+        found = inside.join(renamed, same, "left").select(
             *batch.columns,
             *[m.merge(F.col(n), F.col(m.name)).alias(m.name) for m, n in zip(measures, names)],
-        ).write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+        )
+        finish(found).write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
 
         # at most two rows per key: the state so far and the batch
         both = before.withColumn("_age", F.lit(0)).unionByName(summed.withColumn("_age", F.lit(1)))
@@ -60,3 +65,55 @@ def running_batches(
         )
 
     return batch_writer(write)
+
+
+def framed_batches(
+    key: Sequence[str], order: Sequence[str], preceding: int,
+    values: dict[str, Callable[[WindowSpec], Column]], position: str, path: str, state: str,
+    max_rows: int = scan.MAX_ROWS,
+    finish: Callable[[DataFrame], DataFrame] = lambda rows: rows,
+) -> Callable[[DataFrame, int], None]:
+    """A writer for `foreachBatch`: window values over the row and `preceding` rows before it, and
+    the row's place within its key, as `scan.framed` gives them for the whole input.
+
+    Kept between batches are the last `preceding` rows of each key, one at least, with their places.
+    """
+    placed = f"_{position}"
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        schema = StructType([*batch.schema.fields, StructField(placed, LongType())])
+        if batch_id > 0:
+            before = spark.read.schema(schema).parquet(f"{state}/batch={batch_id - 1}")
+        else:
+            before = spark.createDataFrame([], schema)
+        both = before.unionByName(batch, allowMissingColumns=True)
+        framed = scan.framed(both, key, order, preceding, values, "_local", max_rows)
+        # the kept rows of a key come first, so the place of its first row shifts all others
+        shift = before.groupBy(*key).agg((F.min(placed) - 1).alias("_shift")).select(
+            *[F.col(k).alias(f"_key{i}") for i, k in enumerate(key)], "_shift"
+        )
+        same = F.lit(True)
+        for i, k in enumerate(key):
+            same = same & F.col(k).eqNullSafe(F.col(f"_key{i}"))
+        place = F.col("_local") + F.coalesce("_shift", F.lit(0))
+        found = stored(
+            framed.join(shift, same, "left").select(
+                *batch.columns, F.col(placed).alias("_old"), place.alias(position), *values
+            ),
+            "framed",
+        )
+        finish(found.filter(F.col("_old").isNull()).drop("_old")).write.mode("overwrite").parquet(
+            f"{path}/batch={batch_id}"
+        )
+        ends = found.groupBy(*key).agg(F.max(position).alias("_end")).select(
+            *[F.col(k).alias(f"_key{i}") for i, k in enumerate(key)], "_end"
+        )
+        kept = found.join(ends, same).filter(
+            F.col(position) > F.col("_end") - max(preceding, 1)
+        )
+        kept.select(*batch.columns, F.col(position).alias(placed)).write.mode(
+            "overwrite"
+        ).parquet(f"{state}/batch={batch_id}")
+
+    return batch_writer(write)

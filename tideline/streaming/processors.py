@@ -80,7 +80,10 @@ class Fold(InOrder):
 
     def step(self, key, row, state):
         value = row[self.value]
-        folded = self.combine(state[0], value) if state else value
+        if value is None:  # a null changes nothing
+            folded = state[0] if state else None
+        else:
+            folded = self.combine(state[0], value) if state and state[0] is not None else value
         yield self.out(*key, row[self.order], folded)
         return (folded,)
 
@@ -242,6 +245,8 @@ class RiseClock(StatefulProcessor):
         armed = self.timer.get()[0] if self.timer.exists() else None
         for row in sorted(rows, key=lambda r: r[self.order]):
             value = row[self.value]
+            if value is None:
+                continue
             if value > last and armed is None:
                 armed = now + self.seconds * 1000
                 self.handle_.registerTimer(armed)
@@ -282,6 +287,8 @@ class RiseAlert(StatefulProcessor):
         before = armed = self.armed.get()[0] if self.armed.exists() else None
         for row in sorted(rows, key=lambda r: (r[self.at], r[self.order])):
             at, value = row[self.at], row[self.value]
+            if value is None:
+                continue
             if armed is not None and armed + self.interval < at:
                 yield self.out(*key, armed, armed + self.interval)
                 armed = None
@@ -380,6 +387,8 @@ class LowestWindows(StatefulProcessor):
             if mark >= end + self.lateness:
                 yield self.out(*key, end - self.size, end, "late", order, value, mark - 1)
                 continue
+            if value is None:  # moves the watermark but takes no part in a window
+                continue
             held = self.windows.getValue((end,)) if self.windows.containsKey((end,)) else None
             best = (order, value)
             if held is not None and held[2] <= value:

@@ -5,57 +5,53 @@ from __future__ import annotations
 import time
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tideline.session import shared_path
 
 ROWS_PER_FILE = 1_000_000
-# a stateful operator puts a key's rows of one micro-batch in order in memory
 ROWS_PER_BATCH = 10_000_000
 
 
 def as_stream(
     df: DataFrame, order: str, batches: int = 3, last: DataFrame | None = None
 ) -> DataFrame:
-    """`df` as a stream of at least `batches` micro-batches that follow the number column `order`.
+    """`df` as a stream of about `batches` or more micro-batches that follow the column `order`.
 
-    The rows are written to the shared folder slice by slice, each of a bounded size; one
-    micro-batch reads one slice. `last` is sent after them, such as a row far in the future that
-    closes all windows. For replaying tables; a live source bounds its batches itself, by files,
-    bytes or offsets per trigger.
+    One job writes the rows to the shared folder, range-partitioned by `order` into files of a
+    bounded size; the files' times are then set to follow each other, which is the order a file
+    stream reads them in. `last` is sent after them, such as a row far in the future that closes all
+    windows. For replaying tables; a live source bounds its batches itself, by files, bytes or
+    offsets per trigger.
     """
     spark = df.sparkSession
     rows = df.count()
     batches = max(batches, -(-rows // ROWS_PER_BATCH))
     per_batch = max(1, -(-rows // (batches * ROWS_PER_FILE)))
     path = shared_path(spark, "stream-in")
-    slices = _slices(df, order, batches)
+    df.repartitionByRange(batches * per_batch, order).write.parquet(path)
+    sent = _in_sequence(spark, path, set())
     if last is not None:
-        slices.append(last.select(*df.columns))
-    for piece in slices:
-        piece.repartition(per_batch).write.mode("append").parquet(path)
+        last.select(*df.columns).write.mode("append").parquet(path)
+        _in_sequence(spark, path, sent)
     return (
         spark.readStream.schema(df.schema).option("maxFilesPerTrigger", per_batch).parquet(path)
     )
 
 
-def _slices(df: DataFrame, order: str, batches: int) -> list[DataFrame]:
-    """About equal parts that follow each other in `order`, as filters that reach the scan."""
-    if batches == 1:
-        return [df]
-    shares = [i / batches for i in range(1, batches)]
-    cuts = df.agg(F.percentile_approx(order, shares, 10 * batches + 10_000)).first()[0]
-    at = F.col(order)
-    bounds = [None, *sorted(set(cuts or [])), None]
-    return [
-        df.filter(
-            (F.lit(True) if low is None else at > low)
-            & (F.lit(True) if high is None else at <= high)
-        )
-        for low, high in zip(bounds, bounds[1:])
-    ]
+def _in_sequence(spark: SparkSession, path: str, sent: set[str]) -> set[str]:
+    """Give the new part files under `path` times that follow their numbers, one second apart, and
+    come after those of the files already `sent`; gives the names of all."""
+    jvm, hadoop = spark._jvm, spark._jsc.hadoopConfiguration()
+    folder = jvm.org.apache.hadoop.fs.Path(path)
+    files = folder.getFileSystem(hadoop)
+    names = {s.getPath().getName() for s in files.listStatus(folder)}
+    names = {n for n in names if n.startswith("part-")}
+    for n, name in enumerate(sorted(names - sent), len(sent) + 1):
+        files.setTimes(jvm.org.apache.hadoop.fs.Path(folder, name), n * 1000, -1)
+    return names
 
 
 def batch_folder(path: str) -> Callable[[DataFrame, int], None]:
