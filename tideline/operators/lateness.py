@@ -19,6 +19,7 @@ from tideline.session import stored
 MILLISECOND = 1_000
 
 ON_TIME, LATE, TOO_LATE = "on time", "late", "too late"
+NO_PART = "no part"
 
 
 def watermarks(
@@ -82,46 +83,59 @@ def closing_watermarks(
     return scan.first_at_or_after(ends, steps, [], "end_us", "after_us", "closed_at", max_rows)
 
 
-def lowest_firings(
-    replayed: DataFrame, key: Sequence[str], order: Sequence[str], value: str, size: int,
-    fields: Sequence[str], max_rows: int = scan.MAX_ROWS,
+def firings(
+    replayed: DataFrame, key: Sequence[str], order: Sequence[str], size: int,
+    measures: Sequence[scan.Measure], max_rows: int = scan.MAX_ROWS,
 ) -> DataFrame:
-    """Every result of a keyed window that keeps the record with the lowest value.
+    """Every result of a keyed window for any measures that can be folded.
 
     One firing over the rows on time, then one updated result per accepted late row. Gives
-    (*key, start_us, end_us, firing, *fired_by, record, watermark_us): `firing` is "first" or
-    "update", `fired_by_*` the arrival of the late row, `record` the struct of `fields`. Rows without
-    a value move the watermark but take no part in a window.
+    (*key, start_us, end_us, firing, *fired_by, *measures, watermark_us): `firing` is "first" or
+    "update" and `fired_by_*` the arrival of the late row. `late_rows` gives the side output.
     """
     window = [*key, "start_us", "end_us"]
-    ranked = F.struct(
-        F.col(value).alias("_value"),
-        *[F.col(o).alias(f"_order{i}") for i, o in enumerate(order)],
-        F.struct(*fields).alias("_record"),
-    )
-    known = replayed.filter(F.col(value).isNotNull())
+    names = [m.name for m in measures]
     first = stored(
-        known.filter(F.col("fate") == ON_TIME).groupBy(*window).agg(F.min(ranked).alias("_best")),
+        replayed.filter(F.col("fate") == ON_TIME)
+        .groupBy(*window).agg(*[m.summary.alias(m.name) for m in measures]),
         "firings",
     )
-    late = known.filter(F.col("fate") == LATE).select(
-        *window, *order, F.col("before_us").alias("watermark_us"), ranked.alias("_best")
+    late = replayed.filter(F.col("fate") == LATE)
+    inside = scan.running(late, window, order, measures, max_rows)
+    before = first.select(
+        *[F.col(c).alias(f"_window{i}") for i, c in enumerate(window)],
+        *[F.col(n).alias(f"_first_{n}") for n in names],
     )
-    # the result of the rows on time has no arrival of its own and so sorts before the late rows
-    updated = scan.running(
-        first.unionByName(late, allowMissingColumns=True), window, order,
-        [scan.running_min("_lowest", F.col("_best"))], max_rows,
-    ).filter(F.col("watermark_us").isNotNull())
-
-    fired_by = [F.col(o).alias(f"fired_by_{o}") for o in order]
-    updates = updated.select(
-        *window, F.lit("update").alias("firing"), *fired_by,
-        F.col("_lowest._record").alias("record"),
-        (F.col("watermark_us") - MILLISECOND).alias("watermark_us"),
+    same = F.lit(True)
+    for i, c in enumerate(window):
+        same = same & F.col(c).eqNullSafe(F.col(f"_window{i}"))
+    updates = inside.join(before, same, "left").select(
+        *window, F.lit("update").alias("firing"),
+        *[F.col(o).alias(f"fired_by_{o}") for o in order],
+        *[m.merge(F.col(f"_first_{m.name}"), F.col(m.name)).alias(m.name) for m in measures],
+        (F.col("before_us") - MILLISECOND).alias("watermark_us"),
     )
     closed = closing_watermarks(replayed, size, max_rows)
     firsts = first.join(closed, "end_us").select(
-        *window, F.lit("first").alias("firing"), F.col("_best._record").alias("record"),
+        *window, F.lit("first").alias("firing"), *names,
         (F.col("closed_at") - MILLISECOND).alias("watermark_us"),
     )
     return updates.unionByName(firsts, allowMissingColumns=True)
+
+
+def lowest_firings(
+    replayed: DataFrame, key: Sequence[str], order: Sequence[str], value: str, size: int,
+    fields: Sequence[str], max_rows: int = scan.MAX_ROWS,
+) -> DataFrame:
+    """The firings of a keyed window that keeps the record with the lowest value, the struct of
+    `fields`, as `record`. Rows without a value move the watermark but take no part in a window."""
+    ranked = F.struct(
+        F.col(value).alias("_value"),
+        *[F.col(o).alias(f"_order{i}") for i, o in enumerate(order)],
+        F.struct(*fields).alias("_record"),
+    )
+    fate = F.when(F.col(value).isNull() & (F.col("fate") != TOO_LATE), NO_PART)
+    known = replayed.withColumn("fate", fate.otherwise(F.col("fate")))
+    lowest = [scan.running_min("_lowest", ranked)]
+    fired = firings(known, key, order, size, lowest, max_rows)
+    return fired.withColumn("record", F.col("_lowest._record")).drop("_lowest")

@@ -4,9 +4,19 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from tideline.functions.records import lowest_record
 from tideline.functions.time import DAY, HOUR, from_epoch_us
-from tideline.operators import changelog, dedup, detect, lateness, rolling
-from tideline.plans.inputs import BOUND, CENTS, LATENESS, WINDOW, disordered, events, readings
+from tideline.operators import changelog, dedup, detect, lateness, rolling, scan, windows
+from tideline.plans.inputs import (
+    BOUND,
+    CENTS,
+    LATENESS,
+    WINDOW,
+    cents,
+    disordered,
+    events,
+    readings,
+)
 from tideline.plans.registry import query
 from tideline.plans.window_queries import REPLAY
 from tideline.session import stored
@@ -286,3 +296,78 @@ def allowed_lateness_firings(spark, folder):
         F.col("fired_by_event_id").alias("fired_by"), F.col("record.event_id").alias("event_id"),
         from_epoch_us(F.col("watermark_us")).alias("watermark"),
     )
+
+
+@query(
+    "win_sum_lateness",
+    f"""with r as materialized (select * from {REPLAY}),
+    ends as (select distinct window_end from r),
+    closed as (select e.window_end, min(r.after) - interval 1 millisecond as watermark
+      from ends e left join r on r.after >= e.window_end group by 1),
+    firsts as (select event_type, window_end, sum(cents) as cents, count(*) as n
+      from r where fate = 'on time' group by 1, 2),
+    updates as (select l.event_type, l.window_end, l.event_id as fired_by,
+        l.before - interval 1 millisecond as watermark, sum(p.cents) as cents, count(*) as n
+      from r l join r p on p.event_type = l.event_type and p.window_end = l.window_end
+        and p.fate <> 'too late' and (p.arrived, p.event_id) <= (l.arrived, l.event_id)
+      where l.fate = 'late' group by all)
+    select event_type as id, window_end, 'first' as firing, cast(null as bigint) as fired_by,
+      cast(cents as bigint) as cents, n, watermark from firsts join closed using (window_end)
+    union all
+    select event_type, window_end, 'update', fired_by, cast(cents as bigint), n, watermark
+    from updates""",
+)
+def win_sum_lateness(spark, folder):
+    """A keyed window that sums, with allowed lateness; `late_side_output` has what came too late."""
+    rows = disordered(spark, folder).select("event_id", "arrived", "id", "ts", "cents")
+    replayed = stored(
+        lateness.replay(rows, ARRIVAL, "ts", WINDOW, BOUND, LATENESS), "replayed"
+    )
+    measures = [scan.running_sum("cents_so_far", F.col("cents")), scan.running_count("n")]
+    fired = lateness.firings(replayed, ["id"], ARRIVAL, WINDOW, measures)
+    return fired.select(
+        "id", from_epoch_us(F.col("end_us")).alias("window_end"), "firing",
+        F.col("fired_by_event_id").alias("fired_by"), F.col("cents_so_far").alias("cents"), "n",
+        from_epoch_us(F.col("watermark_us")).alias("watermark"),
+    )
+
+
+NO_VALUE = "case when event_type <> 'error' then value end"
+
+
+@query(
+    "win_reduce_nulls",
+    f"""select event_type as id, date_trunc('hour', ts) as window_start,
+      arg_min(event_id, (value, event_id)) filter (value is not null) as event_id
+    from (select event_id, event_type, ts, {NO_VALUE} as value from events) group by 1, 2""",
+)
+def win_reduce_nulls(spark, folder):
+    """Error events have no value: a window of them has no lowest record."""
+    rows = readings(spark, folder).withColumn("value", F.expr(NO_VALUE.replace("event_type", "id")))
+    lowest = windows.tumbling(
+        rows, ["id"], "ts", "1 hour", [lowest_record("value", ["event_id"], ["event_id"], "lowest")]
+    )
+    return lowest.select("id", F.col("window.start").alias("window_start"), "lowest.event_id")
+
+
+@query(
+    "hourly_tips_all_signed",
+    f"""with t as (select user_id, date_trunc('hour', ts) + interval 1 hour as window_end,
+        cast(sum(case when event_type <> 'view' then 2000 - {CENTS} end) as bigint) as cents
+      from events group by 1, 2),
+    w as (select distinct window_end from t),
+    s as (select w.window_end, t.user_id, cast(sum(t.cents) as bigint) as total
+      from w join t on t.window_end <= w.window_end and t.cents is not null group by 1, 2)
+    select user_id as driver, total, window_end from s
+    qualify row_number() over (partition by window_end order by total desc, user_id) = 1""",
+)
+def hourly_tips_all_signed(spark, folder):
+    """Totals of both signs, and null for a driver who only has views: sums also fall."""
+    signed = F.expr("case when event_type <> 'view' then 2000 - cents end")
+    rows = events(spark, folder).select(
+        F.col("user_id").alias("driver"), "ts", "event_type", cents().alias("cents")
+    )
+    totals = windows.window_total(rows.withColumn("cents", signed), ["driver"], "ts", "1 hour", "cents")
+    return windows.running_winner(totals, "driver", HOUR).select(
+        "driver", "total", F.col("window_end").cast("timestamp_ntz").alias("window_end")
+    )

@@ -216,4 +216,11 @@ def stream_pattern_strict(spark, folder):
 def stream_side_output(spark, folder):
     rows = event_stream(spark, folder, "value")
     name = F.when(F.col("value") > 30, "main").otherwise("lowTemp")
-    return run_bounded(rows.withColumn("output", name)).drop("batch")
+    path = shared_path(spark, "stream-out")
+
+    def write(rows_of_batch, number: int) -> None:
+        """Both outputs in one pass, each in a folder of its own."""
+        laid = rows_of_batch.write.mode("overwrite").partitionBy("output")
+        laid.parquet(f"{path}/batch={number}")
+
+    return run_bounded(rows.withColumn("output", name), path=path, write=write).drop("batch")

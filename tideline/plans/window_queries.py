@@ -188,6 +188,28 @@ def win_reduce_min(spark, folder):
     return lowest.select("id", "lowest.*", label(start, end, separator="$$$").alias("span"))
 
 
+@query(
+    "win_reduce_process",
+    f"""select event_type as id, event_id, value, concat(epoch_ms(window_start), '$$$',
+      epoch_ms(window_end)) as span, watermark
+    from (select event_type, window_start, window_end,
+        arg_min(event_id, (value, arrived, event_id)) as event_id, min(value) as value
+      from {REPLAY} where fate = 'on time' group by all) join {CLOSED} using (window_end)""",
+)
+def win_reduce_process(spark, folder):
+    """The reduced record of a window with its span and the watermark at which it fired."""
+    order = ["arrived", "event_id"]
+    rows = disordered(spark, folder).select("event_id", "arrived", "id", "ts", "value")
+    replayed = stored(lateness.replay(rows, order, "ts", WINDOW, BOUND), "replayed")
+    fired = lateness.lowest_firings(
+        replayed, ["id"], order, "value", WINDOW, ["event_id", "value"]
+    )
+    start, end = (F.floor(F.col(c) / 1000) for c in ("start_us", "end_us"))
+    span = label(start, end, separator="$$$")
+    watermark = lateness.from_epoch_us(F.col("watermark_us")).alias("watermark")
+    return fired.select("id", "record.event_id", "record.value", span.alias("span"), watermark)
+
+
 @query(
     "win_session",
     f"""with g as (select user_id, ts, {CENTS} as cents,
