@@ -51,43 +51,52 @@ def test_documents_are_kept_twice(spark, tmp_path):
     assert found == ['{"id":"a","temp":"1.5"}'] * 4
 
 
-class FakeTable:
-    """A DB-API connection over a dict that knows the two statements of an upsert."""
-
-    def __init__(self, held):
-        self.held, self.rowcount, self.closed, self.committed = held, 0, False, False
-
-    def cursor(self):
-        return self
-
-    def execute(self, sql, fields):
-        if sql.startswith("update"):
-            value, key = fields
-            self.rowcount = int(key in self.held)
-            if self.rowcount:
-                self.held[key] = value
-        else:
-            self.held[fields[0]] = fields[1]
-
-    def commit(self):
-        self.committed = True
-
-    def close(self):
-        self.closed = True
-
-
-def test_upsert_statements():
-    held = {"b": 0.0}
-    connection = FakeTable(held)
-    rows = [{"id": "a", "temp": 1.0}, {"id": "b", "temp": 2.0}, {"id": "a", "temp": 3.0}]
-    jdbc.upsert_rows(rows, lambda: connection, "sensor_temp", "id", ["temp"])
-    assert held == {"a": 3.0, "b": 2.0} and connection.committed and connection.closed
+def test_upsert_by_chunks():
+    held = {"a": 1.0}
+
+    class Connection:
+        committed = closed = False
+        asked = []
+
+        def cursor(self):
+            return self
+
+        def execute(self, sql, keys):
+            self.asked.append((sql, list(keys)))
+
+        def fetchall(self):
+            return [(k,) for k in self.asked[-1][1] if k in held]
+
+        def executemany(self, sql, rows):
+            for row in rows:
+                if sql.startswith("update"):
+                    assert row[1] in held
+                    held[row[1]] = row[0]
+                else:
+                    assert row[0] not in held
+                    held[row[0]] = row[1]
+
+        def commit(self):
+            self.committed = True
+
+        def close(self):
+            self.closed = True
+
+    connection = Connection()
+    rows = [{"id": k, "temp": v} for k, v in (("b", 2.0), ("a", 3.0), ("c", 4.0))]
+    jdbc.upsert_rows(rows, lambda: connection, "sensor_temp", "id", ["temp"], chunk=2)
+    assert held == {"a": 3.0, "b": 2.0, "c": 4.0} and connection.committed and connection.closed
+    assert connection.asked == [
+        ("select id from sensor_temp where id in (?, ?)", ["b", "a"]),
+        ("select id from sensor_temp where id in (?)", ["c"]),
+    ]
     assert jdbc.statements("sensor_temp", "id", ["temp"], "%s") == (
         "update sensor_temp set temp = %s where id = %s",
         "insert into sensor_temp (id, temp) values (%s, %s)",
     )
 
 
+
 def test_upsert_of_a_batch_writes_each_key_once(spark, tmp_path):
     df = spark.createDataFrame([("a", 0, 1.0), ("a", 1, 2.0), ("b", 2, 3.0)],
                                "id string, seq bigint, temp double")
@@ -98,13 +107,18 @@ def test_upsert_of_a_batch_writes_each_key_once(spark, tmp_path):
         import uuid
 
         class Recorder:
-            rowcount = 0
-
             def cursor(self):
                 return self
 
             def execute(self, sql, fields):
-                if sql.startswith("insert"):
+                assert sql.startswith("select")
+
+            def fetchall(self):
+                return []
+
+            def executemany(self, sql, rows):
+                assert sql.startswith("insert")
+                for fields in rows:
                     with open(os.path.join(folder, uuid.uuid4().hex), "w") as f:
                         f.write(repr(list(fields)))
 

@@ -7,7 +7,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from tideline.functions.time import event_time
-from tideline.operators import basic, scan, windows
+from tideline.operators import basic, changelog, detect, rolling, scan, windows
 from tideline.operators.parse import parse_sensor
 from tideline.sinks.tables import KeyValueTable, SeenKeys, batch_writer, stream_csv
 from tideline.sources import files
@@ -267,3 +267,42 @@ def test_hot_key_over_micro_batches(spark, tmp_path, rows):
     last = {r.seq for r in out.filter("batch = 2").select("seq").collect()}
     write(spark.createDataFrame([m for m in made if m[0] in last], df.schema), 2)
     assert rows(spark.read.parquet(path).filter("batch = 2"), *expected.columns) == before
+
+
+def test_keyed_state_equals_the_scans(spark, rows):
+    """Processors for keys that are not hot, against the operators over tables."""
+    made = [(i, f"k{i % 4}", (i * 37) % 50) for i in range(60)]
+    df = spark.createDataFrame(made, "seq bigint, k string, v bigint").withColumn(
+        "x", F.col("v").cast("double")
+    )
+    run = lambda processor, schema: run_bounded(
+        p.keyed(as_stream(df, "seq"), ["k"], processor, schema)
+    ).drop("batch")
+    jumps = run(p.Jump("seq", "x", 20.0), "k string, seq bigint, last double, current double")
+    assert rows(jumps, "k", "seq", "last", "current") == rows(
+        detect.jumps(df, ["k"], ["seq"], "x", 20.0), "k", "seq", "last", "current"
+    )
+    log = run(
+        p.Changelog("seq", "v"), "k string, seq bigint, op boolean, cnt bigint, total bigint"
+    )
+    names = ["seq", "op", "k", "cnt", "total"]
+    assert rows(log, *names) == rows(
+        changelog.retract_changelog(df, ["k"], ["seq"], "v"), *names
+    )
+    fired = run(p.CountWindow("seq", "v", 10, 2), "k string, seq bigint, total bigint, n bigint")
+    names = ["k", "seq", "total", "n"]
+    assert rows(fired, *names) == rows(
+        rolling.count_window(df, ["k"], ["seq"], 10, 2, "v"), *names
+    )
+    text = df.select("seq", "k", F.col("v").cast("string").alias("v"))
+    pairs = p.keyed(
+        as_stream(text, "seq"), ["k"], p.Previous("seq", "v"),
+        "k string, seq bigint, last string, current string",
+    )
+    last = {}
+    expected = []
+    for seq, k, v in made:
+        if k in last:
+            expected.append((k, seq, last[k], str(v)))
+        last[k] = str(v)
+    assert sorted(map(tuple, run_bounded(pairs).drop("batch").collect())) == sorted(expected)
