@@ -14,7 +14,7 @@ from pathlib import Path
 sys.path.insert(0, str(Path(__file__).resolve().parent))
 
 from tideline.plans import catalogue  # noqa: E402
-from tideline.session import build_session  # noqa: E402
+from tideline.session import build_session, discard  # noqa: E402
 
 HEADLINES = [
     "hourly_tips", "hourly_tips_max", "hourly_tips_all_cumulative", "word_count", "rolling_maxby",
@@ -48,6 +48,7 @@ def main() -> None:
             start = time.perf_counter()
             catalogue.QUERIES[name](spark, folder).write.format("noop").mode("overwrite").save()
             seconds[name] = round(time.perf_counter() - start, 3)
+            discard(spark)
     spark.stop()
     print(
         json.dumps(

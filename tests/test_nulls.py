@@ -2,10 +2,10 @@
 
 from pyspark.sql import functions as F
 
+from tideline import session
 from tideline.functions.records import lowest_record
-from tideline.operators import basic, changelog, detect, lateness, rolling, windows
+from tideline.operators import basic, changelog, detect, lateness, rolling, scan, windows
 from tideline.session import shared_path
-from tideline.operators import scan
 from tideline.streaming.batches import framed_batches, running_batches
 from tideline.streaming.run import as_stream, run_bounded
 
@@ -128,3 +128,16 @@ def test_frames_of_streams_with_hot_and_null_keys(spark, rows):
     table = scan.framed(df, ["k"], ["seq"], 4, values, "nth")
     names = ["seq", "k", "v", "nth", "s", "c"]
     assert rows(streamed, *names) == rows(table, *names)
+
+
+def test_stored_tables_can_be_discarded(spark):
+    kept = session.stored(spark.range(3).toDF("x"), "kept")
+    path = session._made[-1]
+    assert kept.count() == 3 and spark.read.parquet(path).count() == 3
+    before, session._made[:] = list(session._made), [path]
+    try:
+        assert session.discard(spark) == 1
+        hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+        assert not hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop)
+    finally:
+        session._made[:] = before[:-1]

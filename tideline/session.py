@@ -59,9 +59,26 @@ def shared_root(spark: SparkSession) -> str:
     return spark.sparkContext.getCheckpointDir().rstrip("/")
 
 
+_made: list[str] = []
+
+
 def shared_path(spark: SparkSession, name: str) -> str:
-    """A path below the shared folder that no other run uses."""
-    return f"{shared_root(spark)}/{name}-{uuid.uuid4().hex}"
+    """A path below the shared folder that no other run uses; `discard` removes it."""
+    _made.append(f"{shared_root(spark)}/{name}-{uuid.uuid4().hex}")
+    return _made[-1]
+
+
+def discard(spark: SparkSession) -> int:
+    """Remove everything that this process has put into the shared folder so far.
+
+    For when the results of the queries until now have been written or are no longer needed; a
+    DataFrame made before must not be used after. Gives the number of paths removed.
+    """
+    gone = 0
+    while _made:
+        path = spark._jvm.org.apache.hadoop.fs.Path(_made.pop())
+        gone += path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    return gone
 
 
 def stored(df: DataFrame, name: str = "table") -> DataFrame:
