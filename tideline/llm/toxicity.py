@@ -37,7 +37,7 @@ from tideline.llm.common import arrow_rows, stored
 MAX_TERMS = 20_000
 MAX_LABELS = 60_000
 MIN_TEXTS = 2
-MIN_RATIO = 5.0
+MIN_RATIO = 20.0
 SHORTEST_FUZZY = 5
 CONTEXT = 6
 WORD = regex.compile(r"[\p{L}\p{N}]+")
@@ -227,7 +227,10 @@ def quoted(tokens: list[str], at: int, marks: list[int]) -> bool:
 
 
 def features(text: str, automaton: Automaton) -> tuple[float, float, float, float]:
-    """Sums of weights of plain, quoted and misspelled hits, and plain hits per hundred words."""
+    """Sums of weights of plain, quoted and misspelled hits, and of those not quoted per hundred words.
+
+    A repeated word counts once: junk that repeats one doubtful word is not abuse.
+    """
     lowered = text.lower()
     found = automaton.known(set(WORD.findall(lowered)))
     if not found:
@@ -239,12 +242,15 @@ def features(text: str, automaton: Automaton) -> tuple[float, float, float, floa
         marks.append(sum(c in QUOTES for c in lowered[last : m.start()]))
         last = m.end()
     marks.append(sum(c in QUOTES for c in lowered[last:]))
-    plain = inside = fuzzy = 0.0
+    # a word counts once, and as plain if it is ever not quoted
+    seen: dict[str, bool] = {}
     for i, token in enumerate(tokens):
-        if token not in found:
-            continue
+        if token in found and seen.get(token, True):
+            seen[token] = quoted(tokens, i, marks)
+    plain = inside = fuzzy = 0.0
+    for token, in_quotes in seen.items():
         weight, edits = automaton.hits[token]
-        if quoted(tokens, i, marks):
+        if in_quotes:
             inside += weight
         elif edits:
             fuzzy += weight
