@@ -76,6 +76,7 @@ def test_crowds_are_searched_again(make, prose, monkeypatch):
     monkeypatch.setattr(forest, "WINDOW", 2)
     monkeypatch.setattr(forest, "BEST", 1)
     monkeypatch.setattr(forest, "ROWS_PER_PART", 160)  # ten classes to a partition
+    monkeypatch.setattr(forest, "WIDE_ROWS_PER_PART", 160)
     assert run(make(texts, ids), 2) == brute(texts, ids, 2, 80)
 
 

@@ -10,10 +10,12 @@ Candidates are neighbours in an order whose labels share a prefix of three value
 makes depth adaptive: where few classes share three values, all of them are compared; in a crowded
 region the window takes those that share the longest prefix. Pairs are compared by sketch first
 (four bits of each MinHash value) and those that cannot reach the similarity are dropped. In the
-first round a class keeps its few best pairs in each tree; these are confirmed on full sets. In the
-second round the classes that had more pairs than they kept are sorted again, and every pair between
-different components is confirmed, in a wider window. What is left out in the first round can
-therefore only be a pair inside a component, which changes nothing.
+first round a class keeps its few best pairs in each tree; these are confirmed on full sets in joins.
+In the second round the classes that had more pairs than they kept are sorted again, at less depth
+and in a wider window, and this time their sets travel with them: pairs between different components
+are confirmed where they meet, and a task passes on the links that connect something new, of which it
+has fewer than rows. What is left out is therefore only a pair inside a component, which changes
+nothing, and pairs that are no links are never written.
 
 MinHash misses a pair at the threshold itself in about one of 100,000 cases with 16 trees of depth
 three, and a crowded region of unrelated texts can hide a pair in a tree; tests compare with all pairs.
@@ -43,8 +45,9 @@ VALUES = TREES * DEPTH
 BYTES = 3  # of each MinHash value in a label
 BEST = 4
 WINDOW, WIDE_WINDOW = 48, 1024
+WIDE_TREES, WIDE_DEPTH = 6, 1
 SLACK = 0.15  # 3.5 standard deviations of a sketch's estimate at a similarity of 0.8
-ROWS_PER_PART = 20_000
+ROWS_PER_PART, WIDE_ROWS_PER_PART = 20_000, 8_000
 FILTER_BITS = 23
 
 MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -139,15 +142,15 @@ def digest(docs: DataFrame, width: int) -> DataFrame:
 ROW = "label binary, fp binary, n int, sketch binary"
 
 
-def planted(classes: DataFrame) -> DataFrame:
-    """label, fp, n, sketch and, if there is one, root: a row for each class and tree."""
-    keep = [c for c in ("root",) if c in classes.columns]
+def planted(classes: DataFrame, trees: int) -> DataFrame:
+    """label, fp, n, sketch and, if there are such, root and members: a row for each class and tree."""
+    keep = [c for c in ("root", "members") if c in classes.columns]
 
     def step(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         sig = matrix(batch.column("sig"), VALUES * BYTES).reshape(-1, VALUES, BYTES)
         low = sig[:, :, 0] & 15
         sketch = fixed_binary(low[:, ::2] | (low[:, 1::2] << 4))
-        for tree in range(TREES):
+        for tree in range(trees):
             run = sig[:, tree * DEPTH : (tree + 1) * DEPTH].reshape(len(sig), -1)
             label = np.column_stack([np.full(len(sig), tree, np.uint8), run])
             yield pa.RecordBatch.from_arrays(
@@ -160,13 +163,51 @@ def planted(classes: DataFrame) -> DataFrame:
     return rows.mapInArrow(arrow_rows(step), ROW + "".join(f", {c} binary" for c in keep))
 
 
+class Confirm:
+    """Links between rows of different roots, those only that connect something new."""
+
+    def __init__(self, rows: pa.Table, percent: int) -> None:
+        _, self.start = np.unique(matrix(rows["root"], 16), axis=0, return_inverse=True)
+        self.parent = list(range(int(self.start.max()) + 1))
+        self.members, self.percent = rows["members"], percent
+
+    def find(self, a: int) -> int:
+        while self.parent[a] != a:
+            self.parent[a] = self.parent[self.parent[a]]
+            a = self.parent[a]
+        return a
+
+    def links(self, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        found = []
+        for i, j in zip(left.tolist(), right.tolist(), strict=True):
+            a, b = self.find(int(self.start[i])), self.find(int(self.start[j]))
+            if a != b and similar(self.members[i].as_py(), self.members[j].as_py(), self.percent):
+                self.parent[a] = b
+                found.append((i, j))
+        both = np.array(found, np.int32).reshape(-1, 2)
+        return both[:, 0], both[:, 1]
+
+
+def similar(x: bytes, y: bytes, percent: int) -> bool:
+    """Whether two sets of 64-bit hashes, sorted and without repeats, are similar enough."""
+    x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
+    both = np.sort(np.concatenate([x, y]), kind="stable")
+    common = int((both[1:] == both[:-1]).sum())
+    return 100 * common >= percent * (len(x) + len(y) - common)
+
+
 @dataclass(frozen=True)
 class Search:
-    """Neighbours of one sorted order. `best` 0 keeps all pairs, of different roots only."""
+    """Neighbours of one sorted order that share `depth` values, `window` rows apart at the most.
+
+    With `best`, the best pairs of each row are candidates. Without, rows bring their roots and their
+    sets, and links between different roots are confirmed at once.
+    """
 
     percent: int
     window: int
-    best: int
+    depth: int
+    best: int = 0
 
     def pairs(self, rows: pa.Table) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
         """Numbers of rows that are candidates, and of rows that may have more, in bounded portions.
@@ -179,7 +220,7 @@ class Search:
             return
         label = matrix(rows["label"], 1 + DEPTH * BYTES)
         prefix = np.zeros((n, 16), np.uint8)
-        prefix[:, : 1 + LEAST_DEPTH * BYTES] = label[:, : 1 + LEAST_DEPTH * BYTES]
+        prefix[:, : 1 + self.depth * BYTES] = label[:, : 1 + self.depth * BYTES]
         prefix = prefix.view(np.uint64)
         packed = matrix(rows["sketch"], VALUES // 2)
         sketch = np.empty((n, VALUES), np.uint8)
@@ -187,7 +228,7 @@ class Search:
         size = rows["n"].to_numpy().astype(np.int64)
         side = rows["side"].to_numpy() if "side" in rows.column_names else None
         bound = rows["bound"].to_numpy() if "bound" in rows.column_names else None
-        root = matrix(rows["root"], 16).copy().view(np.uint64) if "root" in rows.column_names else None
+        confirm = None if self.best else Confirm(rows, self.percent)
         # two sketches agree in 1 of 16 values by chance
         need = VALUES * ((self.percent / 100 - SLACK) * 15 / 16 + 1 / 16)
         idx, left, right, alike, held = np.arange(n, dtype=np.int32), [], [], [], 0
@@ -202,8 +243,8 @@ class Search:
             ok = 100 * np.minimum(size[i], size[j]) >= self.percent * np.maximum(size[i], size[j])
             if side is not None:
                 ok &= side[i] != side[j]
-            if root is not None:
-                ok &= (root[i] != root[j]).any(1)
+            if confirm:
+                ok &= confirm.start[i] != confirm.start[j]
             i, j = i[ok], j[ok]
             if not len(i):
                 continue
@@ -212,13 +253,15 @@ class Search:
                  for s in range(0, len(i), 10_000)]
             )
             good = same >= need
+            if confirm:
+                i, j = confirm.links(i[good], j[good])
+                if len(i):
+                    yield i, j, none
+                continue
             left.append(i[good])
             right.append(j[good])
             alike.append(same[good])
             held += len(left[-1])
-            if not self.best and held > 200_000:
-                yield np.concatenate(left), np.concatenate(right), none
-                left, right, held = [], [], 0
         else:
             # regions that go on beyond the window
             if self.best:
@@ -226,9 +269,6 @@ class Search:
         if not held:
             return
         left, right = np.concatenate(left), np.concatenate(right)
-        if not self.best:
-            yield left, right, none
-            return
         # a pair stays if it is among the best of either end
         end = np.concatenate([left, right])
         key = (end.astype(np.int64) << 8) | (VALUES - np.tile(np.concatenate(alike), 2).astype(np.int64))
@@ -282,20 +322,23 @@ class Search:
 FOUND = [
     ("a", pa.binary()), ("b", pa.binary()), ("bound", pa.int32()), ("side", pa.int32()),
     ("label", pa.binary()), ("fp", pa.binary()), ("n", pa.int32()), ("sketch", pa.binary()),
-    ("root", pa.binary()),
+    ("root", pa.binary()), ("members", pa.binary()),
 ]
 FOUND_SCHEMA = (
     "kind int, a binary, b binary, bound int, side int, label binary, fp binary, n int, "
-    "sketch binary, root binary"
+    "sketch binary, root binary, members binary"
 )
 
 
-def candidates(classes: DataFrame, search: Search) -> tuple[DataFrame, DataFrame]:
+def candidates(
+    classes: DataFrame, search: Search, trees: int, rows_per_part: int
+) -> tuple[DataFrame, DataFrame]:
     """Pairs (a, b) and classes in a crowd (a); each may stand there more than once."""
-    parts = size_hint(classes, max(1, ROWS_PER_PART // TREES))
-    rows = planted(classes).repartitionByRange(parts, "label", "fp").sortWithinPartitions("label", "fp")
+    parts = size_hint(classes, max(1, rows_per_part // trees))
+    rows = planted(classes, trees).repartitionByRange(parts, "label", "fp").sortWithinPartitions("label", "fp")
     inner = stored(rows.mapInArrow(lambda b: search.run(b, True), FOUND_SCHEMA), "neighbours")
-    columns = ["bound", "side", "label", "fp", "n", "sketch"] + [c for c in ("root",) if c in classes.columns]
+    columns = ["bound", "side", "label", "fp", "n", "sketch"]
+    columns += [c for c in ("root", "members") if c in classes.columns]
     ends = inner.where("kind = 2").select(*columns)
     ends = ends.repartition("bound").sortWithinPartitions("bound", "label", "fp")
     over = ends.mapInArrow(lambda b: search.run(b, False), FOUND_SCHEMA)
@@ -357,11 +400,8 @@ def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) whose sets are similar."""
 
     def step(batch: pa.RecordBatch) -> pa.RecordBatch:
-        keep = []
-        for x, y in zip(batch.column("x").to_pylist(), batch.column("y").to_pylist(), strict=True):
-            x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-            common = len(x) + len(y) - len(np.union1d(x, y))
-            keep.append(100 * common >= percent * (len(x) + len(y) - common))
+        both = zip(batch.column("x").to_pylist(), batch.column("y").to_pylist(), strict=True)
+        keep = [similar(x, y, percent) for x, y in both]
         return batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     left = sets.select(F.col("fp").alias("a"), F.col("members").alias("x"))
@@ -376,7 +416,8 @@ def ends_of(pairs: DataFrame) -> DataFrame:
 
 def linked(docs: DataFrame, classes: DataFrame, width: int, percent: int) -> DataFrame:
     """a, b: confirmed links that connect all classes that belong together."""
-    pairs, crowd = candidates(classes, Search(percent, WINDOW, BEST))
+    near = Search(percent, WINDOW, LEAST_DEPTH, BEST)
+    pairs, crowd = candidates(classes, near, TREES, ROWS_PER_PART)
     pairs = stored(pairs, "pairs")
     first = stored(
         confirmed(pairs, stored(full_sets(docs, classes, ends_of(pairs), width), "sets"), percent), "links"
@@ -384,17 +425,13 @@ def linked(docs: DataFrame, classes: DataFrame, width: int, percent: int) -> Dat
     crowd = stored(crowd.distinct().withColumnRenamed("a", "fp"), "crowd")
     if crowd.isEmpty():
         return first
-    roots = components(first)
-    again = classes.join(crowd, "fp", "left_semi").join(
-        roots.withColumnRenamed("node", "fp"), "fp", "left"
-    )
-    again = stored(again.withColumn("root", F.coalesce("root", "fp")), "crowded")
-    wide, _ = candidates(again, Search(percent, WIDE_WINDOW, 0))
-    wide = stored(wide.join(pairs, ["a", "b"], "left_anti"), "pairs")
-    if wide.isEmpty():
-        return first
-    sets = stored(full_sets(docs, classes, ends_of(wide), width), "sets")
-    return first.unionByName(confirmed(wide, sets, percent))
+    roots = components(first).withColumnRenamed("node", "fp")
+    again = classes.join(crowd, "fp", "left_semi").join(roots, "fp", "left")
+    again = again.withColumn("root", F.coalesce("root", "fp"))
+    again = stored(again.join(full_sets(docs, classes, crowd, width), "fp"), "crowded")
+    wide = Search(percent, WIDE_WINDOW, WIDE_DEPTH)
+    links, _ = candidates(again, wide, WIDE_TREES, WIDE_ROWS_PER_PART)
+    return first.unionByName(links)
 
 
 def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
