@@ -103,3 +103,33 @@ def test_components(spark):
     got = components(spark.createDataFrame(chain, "a long, b long")).collect()
     assert {r.node: r.root for r in got} == {**{i: 0 for i in range(1, 41)}, 101: 100}
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def template_texts(prose, n=240):
+    """Texts of one template, less alike than the limit, some of them with a partner just above it."""
+    draw, words, texts = random.Random(7), prose(77, 120).split(), []
+    for k in range(n):
+        changed = list(words)
+        for at in draw.sample(range(120), 5):
+            changed[at] = f"w{draw.randint(0, 10**9)}"
+        texts.append(" ".join(changed))
+        if k % 4 == 0:
+            for at in draw.sample(range(120), 6):
+                changed[at] = f"w{draw.randint(0, 10**9)}"
+            texts.append(" ".join(changed))
+    draw.shuffle(texts)
+    return texts
+
+
+def test_regions_beyond_the_wide_window(make, prose, monkeypatch):
+    texts = template_texts(prose)
+    ids = list(range(len(texts)))
+    monkeypatch.setattr(forest, "WINDOW", 1)
+    monkeypatch.setattr(forest, "BEST", 1)
+    monkeypatch.setattr(forest, "WIDE_WINDOW", 1)
+    monkeypatch.setattr(forest, "SALT_ROWS", 50)
+    expected = brute(texts, ids, 2, 80)
+    assert run(make(texts, ids), 2) == expected
+    monkeypatch.setattr(forest, "ROWS_PER_PART", 160)
+    monkeypatch.setattr(forest, "WIDE_ROWS_PER_PART", 6)  # parts shorter than the window
+    assert run(make(texts, ids), 2) == expected

@@ -14,11 +14,12 @@ first round a class keeps its few best pairs in each tree; these are confirmed o
 In the second round the classes that had more pairs than they kept are sorted again, at less depth
 and in a wider window, and this time their sets travel with them: pairs between different components
 are confirmed where they meet, and a task passes on the links that connect something new, of which it
-has fewer than rows. What is left out is therefore only a pair inside a component, which changes
-nothing, and pairs that are no links are never written.
+has fewer than rows. What is left out inside the window is therefore only a pair inside a component, which
+changes nothing, and pairs that are no links are never written. Classes of regions that go on beyond
+the wide window too meet in an exact join on their rarest shingles, between different components only.
 
 MinHash misses a pair at the threshold itself in about one of 100,000 cases with 16 trees of depth
-three, and a crowded region of unrelated texts can hide a pair in a tree; tests compare with all pairs.
+three; tests compare with all pairs.
 
 Null and empty texts and texts without words have an empty set and are linked with nothing. A text
 with fewer words than a shingle has one shingle of all its words. Equal texts, under whatever ids,
@@ -49,6 +50,8 @@ WIDE_TREES, WIDE_DEPTH = 6, 1
 SLACK = 0.15  # 3.5 standard deviations of a sketch's estimate at a similarity of 0.8
 ROWS_PER_PART, WIDE_ROWS_PER_PART = 20_000, 8_000
 FILTER_BITS = 23
+COUNT_BITS, SALT_ROWS = 20, 4096
+COUNT_MASK = np.uint64((1 << COUNT_BITS) - 1)
 
 MIX = np.uint64(0x9E3779B97F4A7C15)
 MULTIPLIERS = np.random.default_rng(3).integers(1, 2**63, VALUES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -264,8 +267,10 @@ class Search:
             held += len(left[-1])
         else:
             # regions that go on beyond the window
-            if self.best:
-                yield none, none, np.unique(np.concatenate([idx, idx - np.int32(self.window)]))
+            yield none, none, np.unique(np.concatenate([idx, idx - np.int32(self.window)]))
+        if bound is not None:
+            # next to a part that is shorter than the window others may lie beyond it
+            yield none, none, self.short(side, bound)
         if not held:
             return
         left, right = np.concatenate(left), np.concatenate(right)
@@ -280,6 +285,13 @@ class Search:
         stays[order[rank < self.best] % len(left)] = True
         yield left[stays], right[stays], np.unique(np.concatenate([left[~stays], right[~stays]]))
 
+    def short(self, side: np.ndarray, bound: np.ndarray) -> np.ndarray:
+        """Numbers of the rows at bounds of which one side has fewer rows than the window."""
+        _, group = np.unique(bound, return_inverse=True)
+        rows = np.bincount(2 * group + side, minlength=2 * int(group.max()) + 2).reshape(-1, 2)
+        few = (rows.min(1) > 0) & (rows.min(1) < self.window)
+        return np.flatnonzero(few[group]).astype(np.int32)
+
     def run(self, batches: Iterator[pa.RecordBatch], ends: bool) -> Iterator[pa.RecordBatch]:
         """kind 0: a pair a, b; kind 1: a class a in a crowd; kind 2: a row at an end of a partition."""
         from pyspark import TaskContext
@@ -414,6 +426,97 @@ def ends_of(pairs: DataFrame) -> DataFrame:
     return pairs.select(F.explode(F.array("a", "b")).alias("fp")).distinct()
 
 
+# --- what no window covers ----------------------------------------------------------------------
+
+
+def commonness(sets: DataFrame) -> np.ndarray:
+    """About how many sets have a shingle, by its slot: a fixed size, whatever the number of sets."""
+
+    def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = np.zeros(1 << COUNT_BITS, np.int64)
+        for batch in batches:
+            flat = np.frombuffer(b"".join(batch.column("members").to_pylist()), np.uint64)
+            counts += np.bincount((flat & COUNT_MASK).astype(np.int64), minlength=len(counts))
+        slots = np.flatnonzero(counts)
+        yield pa.RecordBatch.from_pydict({"slot": pa.array(slots, pa.int64()), "n": pa.array(counts[slots])})
+
+    got = sets.select("members").mapInArrow(step, "slot long, n long").groupBy("slot").agg(
+        F.sum("n").alias("n")
+    ).toArrow()
+    out = np.zeros(1 << COUNT_BITS, np.int64)
+    out[got.column("slot").to_numpy()] = got.column("n").to_numpy()
+    return out
+
+
+def rare_shingles(sets: DataFrame, percent: int) -> DataFrame:
+    """shingle, salt, indexed, fp, root, n, at: the rarest shingles of each set, with their positions.
+
+    All sets are ordered by the same order, rare shingles first. Two similar sets have a shingle in
+    common among the first n - o + 1 of each, where o is the least overlap: `percent` of n for the
+    larger set, which looks up, and more for the smaller one, which is indexed. A common shingle has
+    several salts, so that no task meets all its sets: a set looks up under one of them, and is
+    indexed under all.
+    """
+    shared = sets.sparkSession.sparkContext.broadcast(commonness(sets))
+
+    def step(batch: pa.RecordBatch) -> pa.RecordBatch:
+        columns: list[list[np.ndarray]] = [[] for _ in range(6)]
+        rows = zip(batch.column("fp").to_pylist(), batch.column("members").to_pylist(), strict=True)
+        for row, (fp, members) in enumerate(rows):
+            x = np.frombuffer(members, np.uint64)
+            count = shared.value[(x & COUNT_MASK).astype(np.int64)]
+            n = len(x)
+            order = np.lexsort((x, count))[: n - -(-percent * n // 100) + 1]
+            salts = 1 + count[order] // SALT_ROWS
+            first = n - -(-2 * percent * n // (100 + percent)) + 1
+            copies = np.repeat(np.arange(min(first, len(order))), salts[:first])
+            starts = np.repeat(np.cumsum(salts[:first]) - salts[:first], salts[:first])
+            at = np.concatenate([np.arange(len(order)), copies])
+            made = (
+                x[order][at].view(np.int64),
+                np.concatenate([int.from_bytes(fp[:4], "big") % salts, np.arange(len(copies)) - starts]),
+                np.arange(len(at)) >= len(order),
+                np.full(len(at), row),
+                np.full(len(at), n),
+                at,
+            )
+            for column, values in zip(columns, made, strict=True):
+                column.append(values)
+        shingle, salt, indexed, row, n, at = map(np.concatenate, columns)
+        take = pa.array(row)
+        return pa.RecordBatch.from_arrays(
+            [pa.array(shingle), pa.array(salt.astype(np.int32)), pa.array(indexed),
+             batch.column("fp").take(take), batch.column("root").take(take),
+             pa.array(n.astype(np.int32)), pa.array(at.astype(np.int32))],
+            names=["shingle", "salt", "indexed", "fp", "root", "n", "at"],
+        )
+
+    return sets.select("fp", "root", "members").mapInArrow(
+        arrow_rows(step, 500),
+        "shingle long, salt int, indexed boolean, fp binary, root binary, n int, at int",
+    )
+
+
+def remaining(sets: DataFrame, links: DataFrame, percent: int) -> DataFrame:
+    """a, b: all links between sets (fp, members) that `links` leaves in different components."""
+    roots = components(links).withColumnRenamed("node", "fp")
+    sets = sets.select("fp", "members").join(roots, "fp", "left")
+    sets = stored(sets.withColumn("root", F.coalesce("root", "fp")), "remaining")
+    rare = stored(rare_shingles(sets, percent), "rare")
+    x = rare.where("not indexed").select("shingle", "salt", *[F.col(c).alias(f"x_{c}") for c in ("fp", "root", "n", "at")])
+    y = rare.where("indexed").select("shingle", "salt", *[F.col(c).alias(f"y_{c}") for c in ("fp", "root", "n", "at")])
+    # the first common shingle and all behind it have to make up the least overlap
+    behind = F.least(F.col("x_n") - F.col("x_at"), F.col("y_n") - F.col("y_at"))
+    met = x.join(y, ["shingle", "salt"]).where(
+        (F.col("x_root") != F.col("y_root"))
+        & (F.col("y_n") <= F.col("x_n"))
+        & (100 * F.col("y_n") >= percent * F.col("x_n"))
+        & ((100 + percent) * behind >= percent * (F.col("x_n") + F.col("y_n")))
+    )
+    pairs = met.select(F.least("x_fp", "y_fp").alias("a"), F.greatest("x_fp", "y_fp").alias("b")).distinct()
+    return stored(confirmed(pairs, sets.select("fp", "members"), percent), "last_links")
+
+
 def linked(docs: DataFrame, classes: DataFrame, width: int, percent: int) -> DataFrame:
     """a, b: confirmed links that connect all classes that belong together."""
     near = Search(percent, WINDOW, LEAST_DEPTH, BEST)
@@ -430,8 +533,12 @@ def linked(docs: DataFrame, classes: DataFrame, width: int, percent: int) -> Dat
     again = again.withColumn("root", F.coalesce("root", "fp"))
     again = stored(again.join(full_sets(docs, classes, crowd, width), "fp"), "crowded")
     wide = Search(percent, WIDE_WINDOW, WIDE_DEPTH)
-    links, _ = candidates(again, wide, WIDE_TREES, WIDE_ROWS_PER_PART)
-    return first.unionByName(links)
+    links, beyond = candidates(again, wide, WIDE_TREES, WIDE_ROWS_PER_PART)
+    links = first.unionByName(links)
+    beyond = stored(beyond.distinct().withColumnRenamed("a", "fp"), "beyond")
+    if beyond.isEmpty():
+        return links
+    return links.unionByName(remaining(again.join(beyond, "fp", "left_semi"), links, percent))
 
 
 def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
