@@ -2,6 +2,8 @@
 
 import random
 
+import numpy as np
+
 from tideline.llm import forest
 from tideline.llm.components import components
 
@@ -133,3 +135,13 @@ def test_regions_beyond_the_wide_window(make, prose, monkeypatch):
     monkeypatch.setattr(forest, "ROWS_PER_PART", 160)
     monkeypatch.setattr(forest, "WIDE_ROWS_PER_PART", 6)  # parts shorter than the window
     assert run(make(texts, ids), 2) == expected
+
+
+def test_sketches_drop_no_pairs_at_the_limit():
+    draw = np.random.default_rng(2)
+    hashes = draw.integers(0, 2**63, (20_000, 10), dtype=np.uint64)
+    left, right = forest.signatures(list(hashes[:, 1:])), forest.signatures(list(hashes[:, :-1]))
+    alike = ((left & 15) == (right & 15)).sum(1)
+    need = forest.VALUES * ((0.8 - forest.SLACK) * 15 / 16 + 1 / 16)
+    assert need == forest.least_alike(80)
+    assert (alike < need).sum() == 0

@@ -47,7 +47,7 @@ BYTES = 3  # of each MinHash value in a label
 BEST = 4
 WINDOW, WIDE_WINDOW = 48, 1024
 WIDE_TREES, WIDE_DEPTH = 6, 1
-SLACK = 0.15  # 3.5 standard deviations of a sketch's estimate at a similarity of 0.8
+SLACK = 0.25  # 5.8 standard deviations of a sketch's estimate at a similarity of 0.8
 ROWS_PER_PART, WIDE_ROWS_PER_PART = 20_000, 8_000
 FILTER_BITS = 23
 COUNT_BITS, SALT_ROWS = 20, 4096
@@ -199,6 +199,11 @@ def similar(x: bytes, y: bytes, percent: int) -> bool:
     return 100 * common >= percent * (len(x) + len(y) - common)
 
 
+def least_alike(percent: int) -> float:
+    """How many values of two sketches agree at least; 1 of 16 does by chance."""
+    return VALUES * ((percent / 100 - SLACK) * 15 / 16 + 1 / 16)
+
+
 @dataclass(frozen=True)
 class Search:
     """Neighbours of one sorted order that share `depth` values, `window` rows apart at the most.
@@ -232,8 +237,7 @@ class Search:
         side = rows["side"].to_numpy() if "side" in rows.column_names else None
         bound = rows["bound"].to_numpy() if "bound" in rows.column_names else None
         confirm = None if self.best else Confirm(rows, self.percent)
-        # two sketches agree in 1 of 16 values by chance
-        need = VALUES * ((self.percent / 100 - SLACK) * 15 / 16 + 1 / 16)
+        need = least_alike(self.percent)
         idx, left, right, alike, held = np.arange(n, dtype=np.int32), [], [], [], 0
         for k in range(1, self.window + 1):
             idx = idx[idx >= k]
