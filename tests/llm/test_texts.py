@@ -1,5 +1,6 @@
 """Rules, licences, templates, lengths and packing against plain Python."""
 
+import re
 from collections import Counter
 
 from tideline.llm import lengths, licenses, packing, rules, templates
@@ -109,6 +110,20 @@ def test_leaks(spark, make, odd, prose):
     assert templates.leaks(df, bench.limit(0)).count() == 0
 
 
+def test_licenses_with_other_blanks(make):
+    texts = [
+        "All rights\u00a0reserved", "All  Rights  Reserved.", "x\nall rights-reserved\ny", "Free soft\nware",
+        "Permission\u00a0is hereby granted, free of charge, to any person obtaining a copy\n"
+        "The  software\u00a0is provided 'as is', without warranty of any kind",
+        "This program is free\u00a0software: you can redistribute it and/or modify it\n"
+        "See the GNU General Public\u00a0License for more details",
+    ]
+    got = sorted((r.doc_id, r.rule) for r in licenses.scan(make(texts)).collect())
+    assert got == [(0, "reserved-line"), (1, "reserved-line"), (2, "reserved-line"), (4, "mit-text"), (5, "gpl-notice")]
+    cues = re.compile(licenses.CUES)
+    assert all(any(cues.search(w) for w in s.split()) for s in licenses.SENTENCES)
+
+
 def test_lengths(make, odd):
     texts, ids = odd
     encode = lengths.encoder(PATH).encode_ordinary

@@ -75,8 +75,9 @@ RULES = (
     Rule("reserved-line", "proprietary", "O"),
 )
 
-#: a text without any of these has no licence sentence
-CUES = "(?i)licen|rights reserved|permission is|the software is|free software|redistribution"
+#: A text without any of these has no licence sentence. They are parts of single words, as what
+#: stands between words may be anything.
+CUES = "(?i)licen|reserved|permission|software|redistribution"
 BREAK = "\\n|\\. +"
 MARK = "-"
 
