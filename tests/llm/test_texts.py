@@ -124,6 +124,20 @@ def test_licenses_with_other_blanks(make):
     assert all(any(cues.search(w) for w in s.split()) for s in licenses.SENTENCES)
 
 
+def test_leaks_of_items_without_good_windows(spark, make, prose):
+    items = [
+        "What is 12 plus 30", "7 9 12 14 18 21 25 30 33 41 47", "Paris",
+        "The Old Man And The Sea By Ernest Hemingway Was Printed Here", "!?",
+    ]
+    bench = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    docs = [f"{prose(70 + i, 60)} {x} {prose(80 + i, 60)}" for i, x in enumerate(items)]
+    docs += ["what is 40 plus 2", docs[0].replace("12", "13"), docs[1].replace("18", "19"), prose(90, 80)]
+    rows = templates.leaks(make(docs), bench).collect()
+    got = sorted((r.doc_id, r.item_id, r.n_windows, r.n_matched, r.reparameterised) for r in rows)
+    assert got == [(0, 0, 1, 1, False), (1, 1, 4, 4, False), (2, 2, 1, 1, False), (3, 3, 5, 5, False), (5, 0, 1, 1, True)]
+    assert {r.doc_id: r.first_word for r in rows}[2] == 60
+
+
 def test_lengths(make, odd):
     texts, ids = odd
     encode = lengths.encoder(PATH).encode_ordinary

@@ -3,7 +3,8 @@
 Text becomes a template: words are runs of letters and digits in lower case, and a number, a unit or
 a name (a capitalised word inside a sentence) is a placeholder of its type. Windows of eight template
 words are hashed, and documents meet items in a hash join on those hashes. Windows of an item with
-fewer than five literal words say too little and are left out. Matches on one diagonal (the same
+fewer than five literal words say too little and are left out; if none is left, the item is looked for
+by its windows of eight words as they stand. Matches on one diagonal (the same
 distance between document and item) belong together; a diagonal counts if its slots are consistent:
 the same value of the item always stands for the same value of the document, and the other way
 round. An item has leaked if its consistent diagonals cover a quarter of its windows.
@@ -11,8 +12,8 @@ round. An item has leaked if its consistent diagonals cover a quarter of its win
 Everything is SQL functions and joins. The items' windows are stored first, so that Spark knows
 their size and may broadcast them or not. Only documents with a match are looked at again.
 
-An item of fewer than eight words is one window, which only equals a document with as many words; it
-needs three literal words. Null or empty texts and items match nothing. A document that stands in
+An item of fewer than eight words is one exact window of all its words, wherever it stands, and one of
+its template, which only equals a document with as many words and needs three literal words. Null or empty texts and items, and those without letters and digits, match nothing. A document that stands in
 several rows with the same id and text is reported once; without an id it is reported with a null
 id. Repeated items are reported each under its id. Without items or documents there are no rows.
 Columns other than doc_id, text, item_id do not matter.
@@ -67,29 +68,71 @@ def windows(template: Column) -> Column:
     ).when(n > 0, F.array(F.xxhash64(F.array_join(template, " "), n)))
 
 
+def exact_windows(raw: Column, width: Column | int) -> Column:
+    """Hashes of the windows of `width` words as they stand, by position."""
+    n = F.size(raw)
+    return F.when(
+        (n > 0) & (n >= width),
+        F.transform(
+            F.sequence(F.lit(0), n - width),
+            lambda i: F.xxhash64(F.lit("exact"), F.slice(raw, i + 1, width)),
+        ),
+    )
+
+
+def listed(hashes: Column, width: Column) -> Column:
+    """Hashes by position as an array of hash, at, width; none if there are no hashes."""
+    rows = F.transform(
+        hashes, lambda h, i: F.struct(h.alias("hash"), i.alias("at"), width.cast("int").alias("width"))
+    )
+    return F.coalesce(rows, F.array().cast("array<struct<hash:bigint,at:int,width:int>>"))
+
+
 def item_windows(items: DataFrame) -> DataFrame:
-    """item_id, hash, at, n_windows: the windows that say enough, and their number by item."""
-    words = items.select("item_id", template_words(F.col("text")).alias("template"))
-    hashed = words.select("item_id", "template", windows(F.col("template")).alias("hashes"))
-    listed = hashed.select("item_id", "template", F.posexplode_outer("hashes").alias("at", "hash"))
-    literal = F.size(
-        F.filter(F.slice("template", F.col("at") + 1, WIDTH), lambda w: ~w.rlike(SLOT))
+    """item_id, hash, at, width, n_windows: the windows to look for, and their number by item.
+
+    `width` is 0 for a window of the template and the number of words for an exact one.
+    """
+    words = items.select(
+        "item_id", template_words(F.col("text")).alias("template"), raw_words(F.col("text")).alias("raw")
     )
-    enough = F.when(F.size("template") >= WIDTH, LITERALS).otherwise(SHORT_LITERALS)
-    good = listed.where(literal >= enough).select("item_id", "hash", "at")
-    count = good.groupBy("item_id").agg(F.count("*").alias("n_windows"))
-    return good.join(count, "item_id")
+    narrow = F.size("template") < WIDTH
+
+    def says_enough(window: Column) -> Column:
+        some = F.slice(F.col("template"), window["at"] + 1, WIDTH)
+        literal = F.size(F.filter(some, lambda w: ~w.rlike(SLOT)))
+        return literal >= F.when(narrow, SHORT_LITERALS).otherwise(LITERALS)
+
+    good = words.select(
+        "item_id", "template", "raw",
+        F.filter(listed(windows(F.col("template")), F.lit(0)), says_enough).alias("good"),
+    )
+    width = F.least(F.size("raw"), F.lit(WIDTH))
+    exact = listed(exact_windows(F.col("raw"), width), width)
+    both = F.when(narrow | (F.size("good") == 0), F.concat("good", exact)).otherwise(F.col("good"))
+    rows = good.select("item_id", F.explode_outer(both).alias("w")).select("item_id", "w.*")
+    rows = rows.where(F.col("hash").isNotNull())
+    count = rows.groupBy("item_id").agg(F.count_distinct("at").alias("n_windows"))
+    return rows.join(count, "item_id")
 
 
 def matches(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     """doc_id, text_key, item_id, shift, n_windows, at: places in the item that match at this shift."""
+    # at most as many as a window has words
+    widths = [r.width for r in wanted.where("width > 0").select("width").distinct().collect()]
     split = docs.select(
-        "doc_id", text_key(F.col("text")).alias("text_key"), template_words(F.col("text")).alias("t")
+        "doc_id", text_key(F.col("text")).alias("text_key"), template_words(F.col("text")).alias("t"),
+        *[raw_words(F.col("text")).alias("raw")] * bool(widths),
     )
-    hashed = split.select("doc_id", "text_key", windows(F.col("t")).alias("hashes"))
+    hashes = listed(windows(F.col("t")), F.lit(0))
+    if widths:
+        hashes = F.concat(hashes, *[listed(exact_windows(F.col("raw"), w), F.lit(w)) for w in sorted(widths)])
+    hashed = split.select("doc_id", "text_key", hashes.alias("hashes"))
     # outer, as a plain one makes a filter of the whole expression and moves it below the split
-    probes = hashed.select("doc_id", "text_key", F.posexplode_outer("hashes").alias("doc_at", "hash"))
-    met = probes.join(wanted, "hash")
+    probes = hashed.select("doc_id", "text_key", F.explode_outer("hashes").alias("w")).select(
+        "doc_id", "text_key", F.col("w.at").alias("doc_at"), "w.hash", "w.width"
+    )
+    met = probes.join(wanted, ["hash", "width"])
     diagonal = ["doc_id", "text_key", "item_id", "n_windows", "shift"]
     return (
         met.withColumn("shift", F.col("doc_at") - F.col("at"))
