@@ -138,6 +138,24 @@ def test_leaks_of_items_without_good_windows(spark, make, prose):
     assert {r.doc_id: r.first_word for r in rows}[2] == 60
 
 
+def test_leaks_with_one_changed_mention(spark, make, prose):
+    words = prose(95, 59).lower().replace(".", "").split()
+    words[10] = words[40] = "Anna"
+    many = list(words)
+    for at in range(4, 59, 6):
+        many[at] = "Anna"
+    bench = spark.createDataFrame([(0, " ".join(words)), (1, " ".join(many))], "item_id long, text string")
+    once, one_of_many = list(words), list(many)
+    once[40] = one_of_many[28] = "Maria"
+    docs = [f"{prose(96, 30)} {' '.join(x)} {prose(97, 30)}" for x in (once, one_of_many)]
+    rows = {(r.doc_id, r.item_id): r for r in templates.leaks(make(docs), bench).collect()}
+    assert (0, 0) in rows and (1, 1) in rows
+    # a tie takes away the windows of both mentions, a minority its own ones
+    assert (rows[0, 0].n_windows, rows[0, 0].n_matched) == (52, 52 - 16)
+    assert rows[1, 1].n_matched == rows[1, 1].n_windows - 8
+    assert not rows[0, 0].reparameterised and not rows[1, 1].reparameterised
+
+
 def test_lengths(make, odd):
     texts, ids = odd
     encode = lengths.encoder(PATH).encode_ordinary

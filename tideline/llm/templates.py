@@ -5,9 +5,9 @@ a name (a capitalised word inside a sentence) is a placeholder of its type. Wind
 words are hashed, and documents meet items in a hash join on those hashes. Windows of an item with
 fewer than five literal words say too little and are left out; if none is left, the item is looked for
 by its windows of eight words as they stand. Matches on one diagonal (the same
-distance between document and item) belong together; a diagonal counts if its slots are consistent:
-the same value of the item always stands for the same value of the document, and the other way
-round. An item has leaked if its consistent diagonals cover a quarter of its windows.
+distance between document and item) belong together, and their slots have to be consistent: a value of
+the item stands for one value of the document, the one of most of its mentions, and the other way
+round. Windows with a mention that says otherwise do not count, nor do those of a tie. An item has leaked if its consistent diagonals cover a quarter of its windows.
 
 Everything is SQL functions and joins. The items' windows are stored first, so that Spark knows
 their size and may broadcast them or not. Only documents with a match are looked at again.
@@ -185,24 +185,47 @@ def leaks(docs: DataFrame, items: DataFrame, share_percent: int = SHARE_PERCENT)
     slots = F.filter(covered, lambda k: F.get(F.col("template"), k).rlike(SLOT))
     one = one.select(
         "doc_id", "text_key", "item_id", "n_windows", "d",
-        F.array_distinct(
-            F.transform(slots, lambda k: F.struct(
+        F.transform(slots, lambda k: F.struct(
+            k.alias("k"),
+            F.struct(
                 F.get(F.col("template"), k).alias("kind"),
                 F.get(F.col("item_words"), k).alias("item"),
                 F.get(F.col("doc"), k + F.col("d.shift")).alias("doc"),
-            ))
-        ).alias("slots"),
+            ).alias("slot"),
+        )).alias("mentions"),
     )
-    of_item = F.array_distinct(F.transform("slots", lambda s: F.struct(s["kind"], s["item"])))
-    of_doc = F.array_distinct(F.transform("slots", lambda s: F.struct(s["kind"], s["doc"])))
-    consistent = one.where(
-        (F.size("slots") == F.size(of_item)) & (F.size("slots") == F.size(of_doc))
+    one = one.withColumn("counted", F.transform(
+        F.array_distinct(F.transform("mentions", lambda m: m["slot"])),
+        lambda s: F.struct(
+            s.alias("slot"), F.size(F.filter("mentions", lambda m: m["slot"] == s)).alias("n")
+        ),
+    ))
+
+    def against(x: Column, y: Column) -> Column:
+        """Whether y gives another value for x's with as many mentions."""
+        same = (x["slot"]["item"] == y["slot"]["item"]) | (x["slot"]["doc"] == y["slot"]["doc"])
+        return (x["slot"] != y["slot"]) & (x["slot"]["kind"] == y["slot"]["kind"]) & same & (y["n"] >= x["n"])
+
+    doubtful = F.transform(
+        F.filter("counted", lambda x: F.exists("counted", lambda y: against(x, y))), lambda x: x["slot"]
+    )
+    one = one.withColumn("doubtful", doubtful)
+    one = one.withColumn("bad", F.transform(
+        F.filter("mentions", lambda m: F.array_contains(F.col("doubtful"), m["slot"])), lambda m: m["k"]
+    ))
+    one = one.withColumn("at", F.filter("d.at", lambda a: ~F.exists("bad", lambda k: k.between(a, a + WIDTH - 1))))
+    consistent = one.where(F.size("at") > 0).select(
+        "doc_id", "text_key", "item_id", "n_windows", "at", F.col("d.shift").alias("shift"),
+        F.transform(
+            F.filter("mentions", lambda m: F.exists("at", lambda a: m["k"].between(a, a + WIDTH - 1))),
+            lambda m: m["slot"],
+        ).alias("slots"),
     )
     slots = F.array_distinct(F.flatten(F.collect_list("slots")))
     out = consistent.groupBy("doc_id", "text_key", "item_id").agg(
         F.first("n_windows").alias("n_windows"),
-        F.size(F.array_distinct(F.flatten(F.collect_list("d.at")))).cast("long").alias("n_matched"),
-        F.min(F.col("d.shift") + F.array_min("d.at")).cast("long").alias("first_word"),
+        F.size(F.array_distinct(F.flatten(F.collect_list("at")))).cast("long").alias("n_matched"),
+        F.min(F.col("shift") + F.array_min("at")).cast("long").alias("first_word"),
         slots.alias("slots"),
     )
     changed = F.size(F.filter("slots", lambda s: ~s["item"].eqNullSafe(s["doc"])))
