@@ -507,6 +507,12 @@ def remaining(sets: DataFrame, links: DataFrame, percent: int) -> DataFrame:
     sets = sets.select("fp", "members").join(roots, "fp", "left")
     sets = stored(sets.withColumn("root", F.coalesce("root", "fp")), "remaining")
     rare = stored(rare_shingles(sets, percent), "rare")
+    # a shingle of one component only links nothing
+    several = rare.groupBy("shingle").agg(
+        F.min("root").alias("low"), F.max("root").alias("high"), F.collect_set("salt").alias("salts")
+    ).where(F.col("low") != F.col("high"))
+    several = several.select("shingle", F.explode("salts").alias("salt"))
+    rare = stored(rare.join(several, ["shingle", "salt"], "left_semi"), "met")
     x = rare.where("not indexed").select("shingle", "salt", *[F.col(c).alias(f"x_{c}") for c in ("fp", "root", "n", "at")])
     y = rare.where("indexed").select("shingle", "salt", *[F.col(c).alias(f"y_{c}") for c in ("fp", "root", "n", "at")])
     # the first common shingle and all behind it have to make up the least overlap
