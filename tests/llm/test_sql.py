@@ -11,7 +11,8 @@ DATA = "/root/testdata/sf0.01"
 @pytest.mark.parametrize("name", sorted(queries.ORACLES))
 def test_against_oracle(spark, name):
     other = duckdb.connect()
-    other.execute(f"create view documents as select * from '{DATA}/documents.parquet'")
+    for name_of in ("documents", "embeddings"):
+        other.execute(f"create view {name_of} as select * from '{DATA}/{name_of}.parquet'")
     mine = queries.QUERIES[name](spark, DATA).toPandas()
     expected = other.execute(queries.ORACLES[name]).df()
     columns = sorted(expected.columns)

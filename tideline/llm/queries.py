@@ -5,7 +5,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tideline.llm import forest, language, lengths, licenses, packing, quality, rules, scoring, templates, toxicity
+from tideline.llm import (
+    forest,
+    language,
+    lengths,
+    licenses,
+    lines,
+    manifest,
+    negatives,
+    packing,
+    quality,
+    rules,
+    scoring,
+    templates,
+    toxicity,
+)
 from tideline.llm.common import documents, fold, table
 from tideline.session import prepare
 
@@ -210,3 +224,132 @@ def toxic_documents(spark: SparkSession, folder: str) -> DataFrame:
 @query("op10_best_fit_packing")
 def best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.best_fit(documents(spark, folder))
+
+
+NEGATIVES_SQL = """
+with r as (
+  select vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label,
+    list_transform(embedding, lambda x: floor(256 * x::double)) as x
+  from embeddings where label is not null and embedding is not null and len(list_filter(embedding,
+    lambda x: x is null or not isfinite(x))) = 0),
+scores as (
+  select a.vec_id as anchor_id, b.vec_id as other_id, a.label = b.label as same,
+    list_dot_product(a.x, b.x)::bigint as score
+  from r a join r b on a.vec_id % 100 = 0 and a.vec_id <> b.vec_id),
+positives as (
+  select anchor_id, other_id as positive_id, score as positive_score from scores where same
+  qualify row_number() over (partition by anchor_id order by score desc, other_id) <= 5),
+negatives as (
+  select p.*, other_id as negative_id, score as negative_score, row_number() over (
+    partition by p.anchor_id, positive_id order by score desc, other_id) as "rank"
+  from positives p join scores s on p.anchor_id = s.anchor_id and not same
+    and 100 * score between 30 * positive_score and 90 * positive_score)
+select anchor_id, positive_id, "rank"::integer as "rank", negative_id, positive_score, negative_score
+from negatives where "rank" <= 10
+"""
+
+
+@query("op11_hard_negatives", NEGATIVES_SQL)
+def hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    label, vec_id = F.col("label"), F.col("vec_id")
+    moved = F.when(vec_id % 7 == 0, F.pmod(label + 1, F.lit(10))).otherwise(label)
+    return negatives.mined(table(spark, folder, "embeddings"), moved, F.col("id") % 100 == 0)
+
+
+LINES_SQL = """
+with d as (
+  select row_number() over () as n, doc_id, string_split(coalesce(text, ''), chr(10)) as lines
+  from documents),
+l as (
+  select n, doc_id, unnest(lines) as line, unnest(range(len(lines))) as spot from d),
+keyed as (
+  select *, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as line_key from l),
+common as (
+  select line_key, max(doc_id) as keeper from keyed where length(line_key) >= 40
+  group by line_key having count(distinct doc_id) >= 5),
+marked as (
+  select k.*, c.keeper is not null and c.keeper <> k.doc_id as gone
+  from keyed k left join common c using (line_key))
+select doc_id, count(*) as n_lines, count(*) filter (gone) as n_dropped,
+  sha256(coalesce(string_agg(line, chr(10) order by spot) filter (not gone), '')) as kept_sha256
+from marked group by n, doc_id
+"""
+
+
+@query("op12_line_dedup", LINES_SQL)
+def line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    found = lines.deduplicated(documents(spark, folder).select("doc_id", "text"))
+    digest = F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256")
+    return found.select("row.doc_id", "n_lines", "n_dropped", digest)
+
+
+MANIFEST_SQL = """
+with recursive crc as (
+  select list_transform(range(256), lambda n: list_reduce([n] || [0, 0, 0, 0, 0, 0, 0, 0]::bigint[],
+    lambda c, z: case when c & 1 = 1 then xor(c >> 1, 3988292384) else c >> 1 end)) as steps),
+fields as (
+  select *, xor(list_reduce([4294967295]::bigint[] || list_transform(string_split(doc_id::varchar, ''),
+      lambda x: ascii(x)::bigint), lambda c, b: xor(c >> 8, steps[(xor(c, b) & 255) + 1])),
+      4294967295) % 7 = 0 as tampered,
+    list_transform([doc_id::varchar, source, lang], lambda x:
+      coalesce(octet_length(encode(x)) || ':' || x, '-')) as before,
+    coalesce(octet_length(encode(text)) || ':' || text, '-') as body
+  from documents cross join crc),
+leaves as (
+  select doc_id, lang, sha256(array_to_string(before, '')
+      || coalesce(length(n_chars::varchar) || ':' || n_chars, '-') || body) as leaf,
+    sha256(array_to_string(before, '')
+      || coalesce(length((n_chars + tampered::int)::varchar) || ':' || (n_chars + tampered::int), '-')
+      || body) as probe
+  from fields),
+placed as (
+  select *, row_number() over (partition by lang order by doc_id nulls first, leaf) - 1 as pos
+  from leaves),
+nodes as (
+  select lang, 0 as level, pos, leaf as node, count(*) over (partition by lang) as n from placed
+  union all
+  select lang, level + 1, pos // 2, sha256(string_agg(node, '' order by pos)), (any_value(n) + 1) // 2
+  from nodes where n > 1 group by lang, level, pos // 2),
+subroots as (
+  select lang, node, row_number() over (order by lang nulls first) - 1 as pos from nodes where n = 1),
+tops as (
+  select 0 as level, pos, node, count(*) over () as n from subroots
+  union all
+  select level + 1, pos // 2, sha256(string_agg(node, '' order by pos)), (any_value(n) + 1) // 2
+  from tops where n > 1 group by level, pos // 2),
+root as (select node as root from tops where n = 1),
+climb as (
+  select doc_id, lang, leaf, pos as place, 0 as level, pos, probe as node, '' as proof, false as upper
+  from placed
+  union all
+  select c.doc_id, c.lang, c.leaf, c.place, case when p.n > 1 then c.level + 1 when c.upper then c.level else 0 end,
+    case when p.n > 1 then c.pos // 2 else s.pos end,
+    case when p.n = 1 then c.node when sib.node is null then sha256(c.node)
+      when c.pos % 2 = 0 then sha256(c.node || sib.node) else sha256(sib.node || c.node) end,
+    c.proof || case when p.n > 1 then coalesce(sib.node, '') else '' end,
+    c.upper or p.n = 1
+  from climb c
+  join (select lang, level, n, pos, node, false as upper from nodes
+        union all select null, level, n, pos, node, true from tops) p
+    on p.upper = c.upper and p.level = c.level and p.pos = c.pos
+      and (p.upper or p.lang is not distinct from c.lang)
+  left join (select lang, level, pos, node, false as upper from nodes
+        union all select null, level, pos, node, true from tops) sib
+    on sib.upper = c.upper and sib.level = c.level and sib.pos = xor(c.pos, 1)
+      and (sib.upper or sib.lang is not distinct from c.lang)
+  join subroots s on s.lang is not distinct from c.lang
+  where not (c.upper and p.n = 1)),
+ends as (
+  select *, row_number() over (partition by doc_id, lang, leaf, place order by upper desc, level desc) as last
+  from climb)
+select e.doc_id, e.leaf, s.node as subroot, r.root, sha256(e.proof) as proof_sha256,
+  e.node as folded_root, e.node = r.root as verified
+from ends e join subroots s on s.lang is not distinct from e.lang cross join root r where e.last = 1
+"""
+
+
+@query("op13_merkle_manifest", MANIFEST_SQL)
+def merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
+    marked = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 0
+    return manifest.proofs(documents(spark, folder), marked)
