@@ -12,9 +12,10 @@ region the window takes those that share the longest prefix. Pairs are compared
 (four bits of each MinHash value) and those that cannot reach the similarity are dropped. In the
 first round a class keeps its few best pairs in each tree; these are confirmed on full sets in joins.
 In the second round the classes that had more pairs than they kept are sorted again, at less depth
-and in a wider window, and this time their sets travel with them: pairs between different components
-are confirmed where they meet, and a task passes on the links that connect something new, of which it
-has fewer than rows. What is left out inside the window is therefore only a pair inside a component, which
+and in a wider window, first with their sketches only: a class is marked if it meets one of another
+component that may be similar. The marked ones are sorted once more, and this time their sets travel
+with them: pairs between different components are confirmed where they meet, and a task passes on the
+links that connect something new, of which it has fewer than rows. What is left out inside the window is therefore only a pair inside a component, which
 changes nothing, and pairs that are no links are never written. Classes of regions that go on beyond
 the wide window too meet in an exact join on their rarest shingles, between different components only.
 
@@ -169,8 +170,8 @@ def planted(classes: DataFrame, trees: int) -> DataFrame:
 class Confirm:
     """Links between rows of different roots, those only that connect something new."""
 
-    def __init__(self, rows: pa.Table, percent: int) -> None:
-        _, self.start = np.unique(matrix(rows["root"], 16), axis=0, return_inverse=True)
+    def __init__(self, rows: pa.Table, start: np.ndarray, percent: int) -> None:
+        self.start = start
         self.parent = list(range(int(self.start.max()) + 1))
         self.members, self.percent = rows["members"], percent
 
@@ -208,14 +209,16 @@ def least_alike(percent: int) -> float:
 class Search:
     """Neighbours of one sorted order that share `depth` values, `window` rows apart at the most.
 
-    With `best`, the best pairs of each row are candidates. Without, rows bring their roots and their
-    sets, and links between different roots are confirmed at once.
+    With `best`, the best pairs of each row are candidates. Without, rows bring their roots, and only
+    pairs of different roots count: with `mark` one pair for each row that has any, else the links,
+    which are confirmed at once on the sets that the rows bring too.
     """
 
     percent: int
     window: int
     depth: int
     best: int = 0
+    mark: bool = False
 
     def pairs(self, rows: pa.Table) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
         """Numbers of rows that are candidates, and of rows that may have more, in bounded portions.
@@ -236,7 +239,11 @@ class Search:
         size = rows["n"].to_numpy().astype(np.int64)
         side = rows["side"].to_numpy() if "side" in rows.column_names else None
         bound = rows["bound"].to_numpy() if "bound" in rows.column_names else None
-        confirm = None if self.best else Confirm(rows, self.percent)
+        start = None
+        if not self.best:
+            start = np.unique(matrix(rows["root"], 16), axis=0, return_inverse=True)[1].reshape(-1)
+        confirm = None if self.best or self.mark else Confirm(rows, start, self.percent)
+        marked = np.zeros(n, bool)
         need = least_alike(self.percent)
         idx, left, right, alike, held = np.arange(n, dtype=np.int32), [], [], [], 0
         for k in range(1, self.window + 1):
@@ -250,8 +257,10 @@ class Search:
             ok = 100 * np.minimum(size[i], size[j]) >= self.percent * np.maximum(size[i], size[j])
             if side is not None:
                 ok &= side[i] != side[j]
-            if confirm:
-                ok &= confirm.start[i] != confirm.start[j]
+            if start is not None:
+                ok &= start[i] != start[j]
+            if self.mark:
+                ok &= ~(marked[i] & marked[j])
             i, j = i[ok], j[ok]
             if not len(i):
                 continue
@@ -260,6 +269,12 @@ class Search:
                  for s in range(0, len(i), 10_000)]
             )
             good = same >= need
+            if self.mark:
+                i, j = i[good], j[good]
+                marked[i] = marked[j] = True
+                if len(i):
+                    yield i, j, none
+                continue
             if confirm:
                 i, j = confirm.links(i[good], j[good])
                 if len(i):
@@ -540,15 +555,23 @@ def linked(docs: DataFrame, classes: DataFrame, width: int, percent: int) -> Dat
         return first
     roots = components(first).withColumnRenamed("node", "fp")
     again = classes.join(crowd, "fp", "left_semi").join(roots, "fp", "left")
-    again = again.withColumn("root", F.coalesce("root", "fp"))
-    again = stored(again.join(full_sets(docs, classes, crowd, width), "fp"), "crowded")
-    wide = Search(percent, WIDE_WINDOW, WIDE_DEPTH)
-    links, beyond = candidates(again, wide, WIDE_TREES, WIDE_ROWS_PER_PART)
-    links = first.unionByName(links)
+    again = stored(again.withColumn("root", F.coalesce("root", "fp")), "crowded")
+    look = Search(percent, WIDE_WINDOW, WIDE_DEPTH, mark=True)
+    pairs, beyond = candidates(again, look, WIDE_TREES, ROWS_PER_PART)
+    marked = stored(ends_of(pairs), "marked")
     beyond = stored(beyond.distinct().withColumnRenamed("a", "fp"), "beyond")
+    wanted = stored(marked.unionByName(beyond).distinct(), "wanted")
+    if wanted.isEmpty():
+        return first
+    sets = stored(full_sets(docs, again, wanted, width), "sets")
+    asked = stored(again.join(marked, "fp", "left_semi").join(sets, "fp"), "asked")
+    confirm = Search(percent, WIDE_WINDOW, WIDE_DEPTH)
+    links, _ = candidates(asked, confirm, WIDE_TREES, WIDE_ROWS_PER_PART)
+    links = stored(first.unionByName(links), "links")
     if beyond.isEmpty():
         return links
-    return links.unionByName(remaining(again.join(beyond, "fp", "left_semi"), links, percent))
+    rest = again.join(beyond, "fp", "left_semi").join(sets, "fp")
+    return links.unionByName(remaining(rest, links, percent))
 
 
 def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
