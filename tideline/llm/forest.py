@@ -10,7 +10,8 @@ Candidates are neighbours in an order whose labels share a prefix of three value
 makes depth adaptive: where few classes share three values, all of them are compared; in a crowded
 region the window takes those that share the longest prefix. Pairs are compared by sketch first
 (four bits of each MinHash value) and those that cannot reach the similarity are dropped. In the
-first round a class keeps its few best pairs in each tree; these are confirmed on full sets in joins.
+first round a class keeps its few best pairs in each tree; these are confirmed on full sets in joins,
+the best of some trees first, and then those of the others that are still in different components.
 In the second round the classes that had more pairs than they kept are sorted again, at less depth
 and in a wider window, first with their sketches only: a class is marked if it meets one of another
 component that may be similar. The marked ones are sorted once more, and this time their sets travel
@@ -46,6 +47,7 @@ TREES, DEPTH, LEAST_DEPTH = 16, 6, 3
 VALUES = TREES * DEPTH
 BYTES = 3  # of each MinHash value in a label
 BEST = 4
+FIRST_TREES = 4  # whose best pairs are confirmed before all others
 WINDOW, WIDE_WINDOW = 48, 1024
 WIDE_TREES, WIDE_DEPTH = 6, 1
 SLACK = 0.25  # 5.8 standard deviations of a sketch's estimate at a similarity of 0.8
@@ -302,7 +304,13 @@ class Search:
         rank = np.arange(len(ends)) - np.repeat(starts, np.diff(np.r_[starts, len(ends)]))
         stays = np.zeros(len(left), bool)
         stays[order[rank < self.best] % len(left)] = True
-        yield left[stays], right[stays], np.unique(np.concatenate([left[~stays], right[~stays]]))
+        top = np.zeros(len(left), bool)
+        top[order[rank == 0] % len(left)] = True
+        top &= label[left, 0] < FIRST_TREES
+        yield left[top], right[top], none, True
+        stays &= ~top
+        gone = ~(stays | top)
+        yield left[stays], right[stays], np.unique(np.concatenate([left[gone], right[gone]]))
 
     def short(self, side: np.ndarray, bound: np.ndarray) -> np.ndarray:
         """Numbers of the rows at bounds of which one side has fewer rows than the window."""
@@ -312,7 +320,8 @@ class Search:
         return np.flatnonzero(few[group]).astype(np.int32)
 
     def run(self, batches: Iterator[pa.RecordBatch], ends: bool) -> Iterator[pa.RecordBatch]:
-        """kind 0: a pair a, b; kind 1: a class a in a crowd; kind 2: a row at an end of a partition."""
+        """kind 0: a pair a, b; kind 1: a class a in a crowd; kind 2: a row at an end of a partition;
+        kind 3: a pair to be looked at first."""
         from pyspark import TaskContext
 
         got = [b for b in batches if b.num_rows]
@@ -322,8 +331,9 @@ class Search:
         fp = rows["fp"].combine_chunks()
         if isinstance(fp, pa.ChunkedArray):
             fp = pa.concat_arrays(fp.chunks)
-        for left, right, crowd in self.pairs(rows):
-            yield self.out(0, a=fp.take(pa.array(left)), b=fp.take(pa.array(right)))
+        for left, right, crowd, *top in self.pairs(rows):
+            kind = 3 if top else 0
+            yield self.out(kind, a=fp.take(pa.array(left)), b=fp.take(pa.array(right)))
             yield self.out(1, a=fp.take(pa.array(crowd)))
         if ends:
             part, n = TaskContext.get().partitionId(), rows.num_rows
@@ -364,7 +374,7 @@ FOUND_SCHEMA = (
 def candidates(
     classes: DataFrame, search: Search, trees: int, rows_per_part: int
 ) -> tuple[DataFrame, DataFrame]:
-    """Pairs (a, b) and classes in a crowd (a); each may stand there more than once."""
+    """Pairs (a, b, first) and classes in a crowd (a), which may stand there more than once."""
     parts = size_hint(classes, max(1, rows_per_part // trees))
     rows = planted(classes, trees).repartitionByRange(parts, "label", "fp").sortWithinPartitions("label", "fp")
     inner = stored(rows.mapInArrow(lambda b: search.run(b, True), FOUND_SCHEMA), "neighbours")
@@ -373,10 +383,12 @@ def candidates(
     ends = inner.where("kind = 2").select(*columns)
     ends = ends.repartition("bound").sortWithinPartitions("bound", "label", "fp")
     over = ends.mapInArrow(lambda b: search.run(b, False), FOUND_SCHEMA)
-    found = inner.where("kind < 2").select("kind", "a", "b").unionByName(over.select("kind", "a", "b"))
+    found = inner.where("kind <> 2").select("kind", "a", "b").unionByName(over.select("kind", "a", "b"))
     found = stored(found.distinct(), "candidates")
-    pairs = found.where("kind = 0").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    return pairs.distinct(), found.where("kind = 1").select("a")
+    pairs = found.where("kind in (0, 3)").groupBy(
+        F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")
+    ).agg(F.max(F.col("kind") == 3).alias("first"))
+    return pairs, found.where("kind = 1").select("a")
 
 
 # --- confirming pairs ---------------------------------------------------------------------------
@@ -441,6 +453,15 @@ def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return both.mapInArrow(arrow_rows(step, 1000), "a binary, b binary")
 
 
+def apart(pairs: DataFrame, roots: DataFrame) -> DataFrame:
+    """The pairs (a, b) of different components, given node and root."""
+    for end in ("a", "b"):
+        named = roots.select(F.col("node").alias(f"{end}_node"), F.col("root").alias(f"{end}_root"))
+        pairs = pairs.join(named, F.col(end) == F.col(f"{end}_node"), "left")
+    different = F.coalesce("a_root", "a") != F.coalesce("b_root", "b")
+    return pairs.where(different).select("a", "b")
+
+
 def ends_of(pairs: DataFrame) -> DataFrame:
     return pairs.select(F.explode(F.array("a", "b")).alias("fp")).distinct()
 
@@ -547,9 +568,10 @@ def linked(docs: DataFrame, classes: DataFrame, width: int, percent: int) -> Dat
     near = Search(percent, WINDOW, LEAST_DEPTH, BEST)
     pairs, crowd = candidates(classes, near, TREES, ROWS_PER_PART)
     pairs = stored(pairs, "pairs")
-    first = stored(
-        confirmed(pairs, stored(full_sets(docs, classes, ends_of(pairs), width), "sets"), percent), "links"
-    )
+    sets = stored(full_sets(docs, classes, ends_of(pairs), width), "sets")
+    best = stored(confirmed(pairs.where("first").select("a", "b"), sets, percent), "links")
+    rest = stored(apart(pairs.where("not first").select("a", "b"), components(best)), "pairs")
+    first = stored(best.unionByName(confirmed(rest, sets, percent)), "links")
     crowd = stored(crowd.distinct().withColumnRenamed("a", "fp"), "crowd")
     if crowd.isEmpty():
         return first
@@ -567,7 +589,7 @@ def linked(docs: DataFrame, classes: DataFrame, width: int, percent: int) -> Dat
     asked = stored(again.join(marked, "fp", "left_semi").join(sets, "fp"), "asked")
     confirm = Search(percent, WIDE_WINDOW, WIDE_DEPTH)
     links, _ = candidates(asked, confirm, WIDE_TREES, WIDE_ROWS_PER_PART)
-    links = stored(first.unionByName(links), "links")
+    links = stored(first.unionByName(links.select("a", "b")), "links")
     if beyond.isEmpty():
         return links
     rest = again.join(beyond, "fp", "left_semi").join(sets, "fp")
