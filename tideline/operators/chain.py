@@ -35,11 +35,12 @@ def greedy_chain(
 ) -> DataFrame:
     """The chosen rows of `df`.
 
-    `at` is a bigint time; of rows at the same time only the first in `order` can be chosen. Group
-    columns hold no nulls. The first row of a group is chosen; after a chosen row at t the next one
+    `at` is a bigint time; of rows at the same time only the first in `order` can be chosen. Rows
+    without a time or with a null in a group column take no part. The first row of a group is chosen; after a chosen row at t the next one
     is the first with `at >= t + step`, or `at > t + step` if `strict`.
     """
     names = list(group)
+    df = df.dropna(subset=[*names, at])
     reach = step + 1 if strict else step
     small, large = _by_size(df, names, max_rows)
     chosen = _walked(small, names, at, order, reach)

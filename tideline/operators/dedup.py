@@ -25,7 +25,8 @@ def dedup_ttl(
     ttl: int, max_rows: int = MAX_ROWS,
 ) -> DataFrame:
     """(*key, *fields) of the rows that come `ttl` microseconds or more after the key's last
-    output row, and of each key's first row. Suppressed rows do not prolong the wait."""
+    output row, and of each key's first row. Suppressed rows do not prolong the wait. Rows without a
+    key or a time take no part."""
     kept = [c for c in dict.fromkeys([*order, *fields]) if c not in key]
     timed = df.select(*key, epoch_us(F.col(ts)).alias("_us"), *kept)
     chosen = greedy_chain(timed, key, "_us", ttl, order=order, max_rows=max_rows)

@@ -21,9 +21,9 @@ def gap_slots(
 
     Two rows of one slot are always in the same run, so only one row per slot has to be put in
     order, however many rows a key has. A new run starts at a distance of `gap`, or above `gap`
-    if `touching`.
+    if `touching`. Rows without a time are in no run.
     """
-    slots = df.groupBy(*key, slot_start(F.col(at), gap).alias("slot")).agg(
+    slots = df.dropna(subset=[at]).groupBy(*key, slot_start(F.col(at), gap).alias("slot")).agg(
         F.min(at).alias("first"),
         F.max(at).alias("last"),
         *[column.alias(name) for name, column in aggregates.items()],

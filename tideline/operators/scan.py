@@ -116,10 +116,13 @@ class Cut:
 
 
 def cut(
-    df: DataFrame, key: Sequence[str], order: Sequence[str], max_rows: int = MAX_ROWS
+    df: DataFrame, key: Sequence[str], order: Sequence[str], max_rows: int = MAX_ROWS,
+    rows: int | None = None,
 ) -> Cut:
-    """Look for hot keys once; `order` must be unique within a key."""
-    segmented = segment(df, key, order, max_rows)
+    """Look for hot keys once; `order` must be unique within a key. `rows` is the number of rows, if
+    it is known: no key has more."""
+    few = rows is not None and rows <= max_rows
+    segmented = None if few else segment(df, key, order, max_rows)
     return Cut(df if segmented is None else segmented, key, order, segmented is not None)
 
 
@@ -129,9 +132,10 @@ def running(
     order: Sequence[str],
     measures: Sequence[Measure],
     max_rows: int = MAX_ROWS,
+    rows: int | None = None,
 ) -> DataFrame:
     """`df` with one column per measure. `order` must be unique within a key."""
-    return cut(df, key, order, max_rows).extend(measures).rows
+    return cut(df, key, order, max_rows, rows).extend(measures).rows
 
 
 def _over_segments(

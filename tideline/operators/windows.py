@@ -126,7 +126,8 @@ def sessions(
 
     Rows at a distance of exactly `gap` microseconds share a session. An aggregate is given as
     (column, how): the aggregate of the rows of a slot, and the name of the function that adds
-    slots up. Static input; a stream can group by `F.session_window`.
+    slots up. Rows without a time are in no session. Static input; `timed.session_batches` is the form
+    for streams.
     """
     wanted = {"n": (F.count(F.lit(1)), "sum"), **aggregates}
     timed = df.withColumn("_us", epoch_us(F.col(ts)))

@@ -15,6 +15,46 @@ ROWS_PER_FILE = 1_000_000
 ROWS_PER_BATCH = 10_000_000
 
 
+def as_slices(df: DataFrame, slice_of: str) -> DataFrame:
+    """`df` without the column `slice_of` as a stream whose micro-batches are the values of that
+    column, in their order. Rows of a slice are written in as many files as the largest slice needs.
+    """
+    spark = df.sparkSession
+    largest = df.groupBy(slice_of).count().agg(F.max("count")).first()[0] or 0
+    files = max(1, -(-largest // ROWS_PER_FILE))
+    path = shared_path(spark, "stream-in")
+    rest = [c for c in df.columns if c != slice_of]
+    part = F.pmod(F.xxhash64(*rest), F.lit(files))
+    dealt = df.withColumns({"_slice": F.col(slice_of), "_part": part}).drop(slice_of)
+    dealt.repartition("_slice", "_part").write.partitionBy("_slice", "_part").parquet(path)
+    jvm, hadoop = spark._jvm, spark._jsc.hadoopConfiguration()
+    root = jvm.org.apache.hadoop.fs.Path(path)
+    store = root.getFileSystem(hadoop)
+    slices = {
+        int(s.getPath().getName().removeprefix("_slice=")): s.getPath()
+        for s in store.listStatus(root) if s.getPath().getName().startswith("_slice=")
+    }
+    empty = None
+    second = 0
+    for number in sorted(slices):
+        for n in range(files):
+            folder = jvm.org.apache.hadoop.fs.Path(slices[number], f"_part={n}")
+            if not store.exists(folder):  # every slice has the same number of files
+                if empty is None:
+                    empty = shared_path(spark, "empty")
+                    spark.createDataFrame([], df.drop(slice_of).schema).coalesce(1).write.parquet(empty)
+                source = jvm.org.apache.hadoop.fs.Path(empty)
+                jvm.org.apache.hadoop.fs.FileUtil.copy(store, source, store, folder, False, hadoop)
+            for status in store.listStatus(folder):
+                if status.getPath().getName().startswith("part-"):
+                    second += 1
+                    store.setTimes(status.getPath(), second * 1000, -1)
+    schema = df.drop(slice_of).schema
+    return spark.readStream.schema(schema).option("maxFilesPerTrigger", files).option(
+        "recursiveFileLookup", "true"
+    ).parquet(path)
+
+
 def as_stream(
     df: DataFrame, order: str, batches: int = 3, last: DataFrame | None = None
 ) -> DataFrame:
@@ -63,18 +103,26 @@ def batch_folder(path: str) -> Callable[[DataFrame, int], None]:
     return write
 
 
-def settle(query: StreamingQuery, quiet: int = 3, timeout: float = 300.0) -> None:
-    """Wait until `quiet` batches in a row have had no input.
+def settle(
+    query: StreamingQuery, rows: int, quiet: int = 3, timeout: float = 300.0
+) -> None:
+    """Wait until the batches have had `rows` rows of input in all, and then `quiet` batches in a row
+    no more.
 
-    For queries with processing-time timers, which run a batch at every trigger, input or not.
+    For queries with processing-time timers, which run a batch at every trigger, input or not. Batches
+    without input alone say nothing: a file may not have been listed yet.
     """
     end = time.monotonic() + timeout
+    had: dict[int, int] = {}
     while time.monotonic() < end:
         if query.exception():
             raise query.exception()
-        latest = query.recentProgress[-quiet:]
-        if len(latest) == quiet and all(p.numInputRows == 0 for p in latest):
-            return
+        # only the latest batches are kept by Spark, so they are added up on the way
+        latest = query.recentProgress
+        had.update({p.batchId: max(p.numInputRows, had.get(p.batchId, 0)) for p in latest})
+        if sum(had.values()) >= rows and len(latest) >= quiet:
+            if all(p.numInputRows == 0 for p in latest[-quiet:]):
+                return
         time.sleep(0.2)
     raise TimeoutError(f"the query still had input after {timeout} s")
 
@@ -82,14 +130,14 @@ def settle(query: StreamingQuery, quiet: int = 3, timeout: float = 300.0) -> Non
 def run_bounded(
     stream: DataFrame, mode: str = "append", timers: bool = False, wait: float = 0.0,
     checkpoint: str | None = None, path: str | None = None,
-    write: Callable[[DataFrame, int], None] | None = None,
+    write: Callable[[DataFrame, int], None] | None = None, rows: int = 0,
 ) -> DataFrame:
     """Run the stream to the end of its input; gives (*columns, batch).
 
     `write` takes the place of the plain writer of batches; it writes below `path` as well.
 
-    A query with processing-time timers (`timers`) never ends by itself: it is given `wait`
-    seconds after the last input for timers to fire, and is then stopped.
+    A query with processing-time timers (`timers`) never ends by itself: when its `rows` rows of input
+    have come it is given `wait` seconds for timers to fire, and is then stopped.
     """
     spark = stream.sparkSession
     path = path or shared_path(spark, "stream-out")
@@ -101,7 +149,7 @@ def run_bounded(
     if timers:
         started = writer.start()
         try:
-            settle(started)
+            settle(started, rows)
             time.sleep(wait)
         finally:
             started.stop()

@@ -76,7 +76,11 @@ def window_batches(
         fresh = fresh.withColumn("_new", F.lit(True))
         both = fresh.join(held, same_key(windows, other), "full").select(
             *[F.coalesce(w, o).alias(w) for w, o in zip(windows, other, strict=True)],
-            *[m.merge(F.col(f"_held_{m.name}"), F.col(m.name)).alias(m.name) for m in measures],
+            *[
+                F.when(F.col("_new"), m.merge(F.col(f"_held_{m.name}"), F.col(m.name)))
+                .otherwise(F.col(f"_held_{m.name}")).alias(m.name)
+                for m in measures
+            ],
             F.coalesce("_new", F.lit(False)).alias("_new"),
             F.col("_fired").isNotNull().alias("_kept"),
             F.coalesce("_fired", F.lit(False)).alias("_fired"),
