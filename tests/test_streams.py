@@ -50,7 +50,7 @@ def test_lateness_with_the_watermark_of_the_stream(spark, tmp_path, rows):
         " watermark_ms bigint",
         "processingTime",
     )
-    out = run_bounded(keyed, timers=True, wait=2.0)
+    out = run_bounded(keyed, timers=True, wait=2.0, rows=13)
     closed = out.filter(F.col("end_ms") == (BASE + 795) * 1000)
     got = rows(closed, "id", "firing", "value", F.col("watermark_ms") - BASE * 1000)
     assert got == sorted(
@@ -78,11 +78,11 @@ def test_dedup_by_the_clock(spark, tmp_path):
         .foreachBatch(batch_folder(out)).start()
     )
     try:
-        settle(query)
+        settle(query, 3)
         (folder / "001.txt").write_text("l,d\n")
         time.sleep(5)
         (folder / "002.txt").write_text("k,e\n")
-        settle(query, quiet=6)
+        settle(query, 5)
     finally:
         query.stop()
     lines = [r.line for r in spark.read.parquet(out).select("line").collect()]
@@ -97,7 +97,7 @@ def test_rise_by_the_clock(spark, tmp_path, rows):
         parse_sensor(files.stream_text_lines(spark, path)), ["id"],
         p.RiseClock("timestamp", "temperature", 6), "id string, message string", "processingTime",
     )
-    out = run_bounded(found, timers=True, wait=12.0)
+    out = run_bounded(found, timers=True, wait=12.0, rows=5)
     assert rows(out, "id", "message") == [("up", "values of up did not fall for 6 s")]
 
 
@@ -107,7 +107,7 @@ def test_timer_and_length(spark, tmp_path, rows):
         parse_sensor(files.stream_text_lines(spark, path)), ["id"], p.EchoLength("timestamp", 1),
         "id string, kind string, value bigint", "processingTime",
     )
-    out = run_bounded(echoed, timers=True, wait=4.0)
+    out = run_bounded(echoed, timers=True, wait=4.0, rows=3)
     assert rows(out.filter("kind = 'length'"), "id", "value") == [
         ("s", 1), ("sensor_1", 8), ("sensor_1", 8),
     ]

@@ -1,8 +1,11 @@
-"""Watermarks, allowed lateness and late side outputs, replayed row by row over static tables.
+"""Watermarks, allowed lateness and late side outputs, replayed over static tables.
 
 The watermark before a row is the highest event time that arrived earlier, less the bound. It is a
 running maximum over all rows, computed in segments of the arrival order. With it every row's fate
 is fixed: on time, late but accepted (the window fires again), or too late (side output).
+
+Beside the watermark that moves with every row there are one that moves at the ticks of a clock and one
+over several sources, some of which may be idle.
 """
 
 from __future__ import annotations
@@ -39,6 +42,72 @@ def watermarks(
     )
 
 
+def periodic_watermarks(
+    df: DataFrame, arrived: str, ts: str, period: int, bound: int, max_rows: int = scan.MAX_ROWS
+) -> DataFrame:
+    """As `watermarks`, for a watermark that moves every `period` microseconds of the arrival clock.
+
+    Between two ticks it stays: a row sees what had arrived before the last tick (`before_us`), and
+    counts from the next one on (`after_us`). Only one row per tick is put in order. Rows without an
+    arrival see no watermark and do not move it.
+    """
+    tick = slot_start(epoch_us(F.col(arrived)), period)
+    high = F.max(epoch_us(F.col(ts)))
+    ticks = df.filter(F.col(arrived).isNotNull()).groupBy(tick.alias("_tick")).agg(high.alias("_high"))
+    moved = scan.running(
+        ticks, [], ["_tick"],
+        [
+            scan.running_max("before_us", F.col("_high"), inclusive=False),
+            scan.running_max("after_us", F.col("_high")),
+        ],
+        max_rows,
+    ).select(
+        F.col("_tick").alias("_at"), (F.col("before_us") - bound).alias("before_us"),
+        (F.col("after_us") - bound).alias("after_us"),
+    )
+    seen = df.withColumn("_tick", tick).join(moved, F.col("_tick") == F.col("_at"), "left")
+    return seen.drop("_tick", "_at")
+
+
+def merged_watermarks(
+    df: DataFrame, order: Sequence[str], arrived: str, ts: str, source: str,
+    sources: Sequence, bound: int, idle_after: int, max_rows: int = scan.MAX_ROWS,
+) -> DataFrame:
+    """As `watermarks`, for rows of several `sources` that arrive in one order.
+
+    Each source has its highest event time; the watermark is the least of them and never goes back. A
+    source that nothing has arrived from for more than `idle_after` microseconds is idle and holds
+    nothing up; before that, a source without any row holds up everything. Rows of other sources and
+    rows without an arrival do not move the watermark. One scan has all sources' maxima.
+    """
+    us, now = epoch_us(F.col(ts)), epoch_us(F.col(arrived))
+    measures = [scan.running_min("_start", now)]
+    for i, name in enumerate(sources):
+        here = F.col(source) == F.lit(name)
+        measures.append(scan.running_max(f"_high{i}", F.when(here & now.isNotNull(), us)))
+        measures.append(scan.running_max(f"_seen{i}", F.when(here, now)))
+    seen = scan.cut(df, [], order, max_rows).extend(measures)
+    waiting, highs = F.lit(False), []
+    for i in range(len(sources)):
+        last = F.coalesce(F.col(f"_seen{i}"), F.col("_start"))
+        active = now - last <= idle_after
+        waiting = waiting | (active & F.col(f"_high{i}").isNull())
+        highs.append(F.when(active, F.col(f"_high{i}")))
+    least = highs[0] if len(highs) == 1 else F.least(*highs)
+    counted = F.col(source).isin(list(sources)) & now.isNotNull()
+    held = seen.with_columns({"_least": F.when(counted & ~waiting, least)})
+    moved = held.extend(
+        [
+            scan.running_max("before_us", F.col("_least"), inclusive=False),
+            scan.running_max("after_us", F.col("_least")),
+        ]
+    ).rows
+    return moved.select(
+        *df.columns, (F.col("before_us") - bound).alias("before_us"),
+        (F.col("after_us") - bound).alias("after_us"),
+    )
+
+
 def as_watermark(us: str):
     """The reported watermark as a timestamp."""
     return from_epoch_us(F.col(us) - MILLISECOND)
@@ -52,18 +121,18 @@ def replay(
 
     `stored` the result before reading it more than once, as the functions below do.
     """
-    us = epoch_us(F.col(ts))
-    start = slot_start(us, size)
+    return judged(watermarks(df, order, ts, bound, max_rows), ts, size, lateness)
+
+
+def judged(seen: DataFrame, ts: str, size: int, lateness: int = 0) -> DataFrame:
+    """Rows with their watermarks of any kind, their tumbling window and their `fate`."""
+    start = slot_start(epoch_us(F.col(ts)), size)
     fate = (
         F.when(F.col("before_us") >= F.col("end_us") + lateness, TOO_LATE)
         .when(F.col("before_us") >= F.col("end_us"), LATE)
         .otherwise(ON_TIME)
     )
-    return (
-        watermarks(df, order, ts, bound, max_rows)
-        .withColumns({"start_us": start, "end_us": start + size})
-        .withColumn("fate", fate)
-    )
+    return seen.withColumns({"start_us": start, "end_us": start + size}).withColumn("fate", fate)
 
 
 def late_rows(replayed: DataFrame) -> DataFrame:

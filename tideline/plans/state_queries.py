@@ -8,6 +8,7 @@ from tideline.functions.records import lowest_record
 from tideline.functions.time import DAY, HOUR, from_epoch_us
 from tideline.operators import changelog, dedup, detect, lateness, rolling, scan, windows
 from tideline.plans.inputs import (
+    ARRIVED,
     BOUND,
     CENTS,
     LATENESS,
@@ -218,6 +219,19 @@ def dedup_ttl(spark, folder):
     )
 
 
+NO_TIME = "case when event_type <> 'error' then ts end"
+
+
+@query("dedup_ttl_nulls", TTL.replace("from events)", "from events where event_type <> 'error')"))
+def dedup_ttl_nulls(spark, folder):
+    """Error events have no time, and take no part."""
+    rows = events(spark, folder).withColumn("ts", F.expr(NO_TIME))
+    kept = dedup.dedup_ttl(rows, ["user_id"], "ts", ORDER, ["event_id", "event_type"], DAY)
+    return kept.select(
+        F.concat_ws("$$", F.col("user_id").cast("string"), "event_type").alias("line"), "event_id"
+    )
+
+
 FOREVER = """select user_id, event_type, arg_min(event_id, event_id) as event_id,
       arg_min(value, event_id) as value from events group by 1, 2"""
 
@@ -332,6 +346,102 @@ def win_sum_lateness(spark, folder):
     )
 
 
+#: the watermark moves every two hours of arrival
+TICK = 2 * HOUR
+
+#: rows as `REPLAY` gives them, under another watermark
+FATE = """date_trunc('hour', ts) + interval 1 hour as window_end,
+    case when before >= date_trunc('hour', ts) + interval 90 minute then 'too late'
+      when before >= date_trunc('hour', ts) + interval 1 hour then 'late' else 'on time' end as fate"""
+
+PERIODIC = f"""(with a as (select *, {ARRIVED} as arrived, {CENTS} as cents,
+      epoch_us({ARRIVED}) // {TICK} as tick from events),
+  t as (select tick, max(ts) as high from a group by 1),
+  w as (select tick, max(high) over o - interval 1 hour as after,
+      max(high) over (order by tick rows between unbounded preceding and 1 preceding)
+        - interval 1 hour as before
+    from t window o as (order by tick))
+  select *, {FATE} from a join w using (tick))"""
+
+
+@query(
+    "watermark_periodic",
+    f"select event_id, arrived, ts, before as wm_before, after as wm_next, fate from {PERIODIC}",
+)
+def watermark_periodic(spark, folder):
+    """Rows between two ticks see the watermark of the first."""
+    rows = disordered(spark, folder).select("event_id", "arrived", "ts")
+    seen = lateness.periodic_watermarks(rows, "arrived", "ts", TICK, BOUND)
+    return lateness.judged(seen, "ts", WINDOW, LATENESS).select(
+        "event_id", "arrived", "ts", from_epoch_us(F.col("before_us")).alias("wm_before"),
+        from_epoch_us(F.col("after_us")).alias("wm_next"), "fate",
+    )
+
+
+@query(
+    "win_sum_periodic",
+    f"""with r as materialized (select * from {PERIODIC}),
+    ends as (select distinct window_end from r),
+    closed as (select e.window_end, min(r.after) - interval 1 millisecond as watermark
+      from ends e left join r on r.after >= e.window_end group by 1)
+    select event_type as id, window_end, cast(sum(cents) as bigint) as cents, count(*) as n, watermark
+    from r join closed using (window_end) where fate = 'on time' group by all""",
+)
+def win_sum_periodic(spark, folder):
+    """Windows that fire at the first tick whose watermark passes their end."""
+    rows = disordered(spark, folder).select("event_id", "arrived", "id", "ts", "cents")
+    seen = lateness.periodic_watermarks(rows, "arrived", "ts", TICK, BOUND)
+    replayed = stored(lateness.judged(seen, "ts", WINDOW, LATENESS), "replayed")
+    measures = [scan.running_sum("total", F.col("cents")), scan.running_count("n")]
+    fired = lateness.firings(replayed, ["id"], ARRIVAL, WINDOW, measures)
+    return fired.filter("firing = 'first'").select(
+        "id", from_epoch_us(F.col("end_us")).alias("window_end"), F.col("total").alias("cents"), "n",
+        from_epoch_us(F.col("watermark_us")).alias("watermark"),
+    )
+
+
+#: three sources, of which the third only sends in the first six hours of a day
+SOURCE = "case when event_id % 3 = 2 and hour(arrived) >= 6 then 0 else event_id % 3 end"
+
+SOURCES = f"""(with a as (select *, {SOURCE} as source from (select *, {ARRIVED} as arrived from events)),
+  h as (select *,
+      max(case when source = 0 then ts end) over o as high0,
+      max(case when source = 1 then ts end) over o as high1,
+      max(case when source = 2 then ts end) over o as high2,
+      arrived - max(case when source = 0 then arrived end) over o <= interval 2 hour as on0,
+      arrived - max(case when source = 1 then arrived end) over o <= interval 2 hour as on1,
+      arrived - max(case when source = 2 then arrived end) over o <= interval 2 hour as on2,
+      arrived - min(arrived) over o <= interval 2 hour as starting
+    from a window o as (order by arrived, event_id)),
+  l as (select *, case when starting and (high0 is null or high1 is null or high2 is null) then null
+      else least(case when on0 then high0 end, case when on1 then high1 end,
+        case when on2 then high2 end) end as low from h),
+  w as (select *, max(low) over (order by arrived, event_id rows between unbounded preceding
+        and 1 preceding) - interval 1 hour as before,
+      max(low) over (order by arrived, event_id rows between unbounded preceding and current row)
+        - interval 1 hour as after from l)
+  select *, {FATE} from w)"""
+
+
+@query(
+    "watermark_sources",
+    f"""select event_id, cast(source as bigint) as source, before as wm_before, after as wm_after, fate
+    from {SOURCES}""",
+)
+def watermark_sources(spark, folder):
+    """The watermark of three sources, one of them idle for hours every day."""
+    rows = disordered(spark, folder).withColumn("source", F.expr(SOURCE).cast("bigint")).select(
+        "event_id", "arrived", "ts", "source"
+    )
+    seen = lateness.merged_watermarks(
+        rows, ARRIVAL, "arrived", "ts", "source", [0, 1, 2], BOUND, 2 * HOUR
+    )
+    return lateness.judged(seen, "ts", WINDOW, LATENESS).select(
+        "event_id", "source", from_epoch_us(F.col("before_us")).alias("wm_before"),
+        from_epoch_us(F.col("after_us")).alias("wm_after"), "fate",
+    )
+
+
 NO_VALUE = "case when event_type <> 'error' then value end"
 
 

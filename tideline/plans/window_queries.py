@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tideline.functions import accumulate
 from tideline.functions.records import first_record, last_record, lowest_record
 from tideline.functions.strings import label
 from tideline.functions.time import HOUR
@@ -226,6 +227,44 @@ def win_session(spark, folder):
     )
 
 
+@query(
+    "win_session_nulls",
+    f"""with g as (select user_id, ts, {CENTS} as cents,
+      case when ts - lag(ts) over (partition by user_id order by ts) <= interval 6 hour
+        then 0 else 1 end as starts from events where event_type <> 'error'),
+    s as (select *, sum(starts) over (partition by user_id order by ts) as session from g)
+    select user_id, min(ts) as session_start, max(ts) + interval 6 hour as session_end,
+      count(*) as n, cast(sum(cents) as bigint) as cents
+    from s group by user_id, session""",
+)
+def win_session_nulls(spark, folder):
+    """Error events have no time, and are in no session."""
+    rows = readings(spark, folder).withColumn("ts", F.expr("case when id <> 'error' then ts end"))
+    return windows.sessions(rows, ["user_id"], "ts", 6 * HOUR, cents=(F.sum("cents"), "sum"))
+
+
+@query(
+    "win_avg_accumulator",
+    f"""select event_type as id, date_trunc('hour', ts) as window_start,
+    cast(sum({CENTS}) as double) / (count(*) * 100) as avg_temp from events group by 1, 2""",
+)
+def win_avg_accumulator(spark, folder):
+    """The mean of a window through an accumulator."""
+    rows = readings(spark, folder).withColumn("window_start", F.window("ts", "1 hour").start)
+    return accumulate.aggregated(rows, ["id", "window_start"], ["cents"], accumulate.Mean("avg_temp", 100))
+
+
+@query(
+    "agg_sum_last_accumulator",
+    f"""select event_type as id, arg_max(event_id, event_id) as last, cast(sum({CENTS}) as bigint)
+      as total from events group by event_type""",
+)
+def agg_sum_last_accumulator(spark, folder):
+    """A sum with the last row's id through an accumulator; every key is hot."""
+    rows = readings(spark, folder)
+    return accumulate.aggregated(rows, ["id"], ["event_id", "cents"], accumulate.SumWithLast())
+
+
 TABLE_TUMBLE = f"""select user_id as id, count(user_id) as cnt,
   cast(sum({CENTS}) as double) / (count(value) * 100) as avg_temp,
   date_trunc('day', ts) + interval 1 day as window_end from events group by 1, date_trunc('day', ts)"""

@@ -142,13 +142,19 @@ class SeenKeys:
             # a batch has few keys, the table many: only the asked buckets are read, and Spark, which
             # knows the size of a stored table, may look the keys up where the table's rows are
             first = stored(first, "first")
-            asked = first.select(*self.key, self._bucket().alias("bucket"))
-            buckets = [r.bucket for r in asked.select("bucket").distinct().collect()]
-            repeated = known.filter(F.col("bucket").isin(buckets)).join(
-                asked.select(*self.key), self.key, "left_semi"
+            asked = first.select(
+                *[F.col(k).alias(f"_key{i}") for i, k in enumerate(self.key)],
+                self._bucket().alias("_bucket"),
             )
-            repeated = repeated.select(*self.key).distinct()
-            first = first.join(repeated, self.key, "left_anti")
+            buckets = [r[0] for r in asked.select("_bucket").distinct().collect()]
+            same = F.lit(True)
+            for i, k in enumerate(self.key):  # a null key is a key like others
+                same = same & F.col(k).eqNullSafe(F.col(f"_key{i}"))
+            repeated = known.filter(F.col("bucket").isin(buckets)).join(asked, same, "left_semi")
+            repeated = repeated.select(
+                *[F.col(k).alias(f"_key{i}") for i, k in enumerate(self.key)]
+            ).distinct()
+            first = first.join(repeated, same, "left_anti")
         here = f"{self.path}/run={self.run}/batch={batch_id}"
         laid = first.withColumn("bucket", self._bucket()).repartition("bucket")
         laid.write.mode("overwrite").partitionBy("bucket").parquet(here)

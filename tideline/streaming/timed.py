@@ -149,9 +149,7 @@ def session_batches(
         merged = runs.groupBy(*key, F.col("_run").alias("first")).agg(
             F.max("last").alias("last"),
             *[getattr(F, how)(name).alias(name) for name, (_, how) in wanted.items()],
-            F.max(F.when(F.col("_held"), F.col("first"))).alias("_old"),
             F.bool_or(~F.col("_held")).alias("_new"),
-            F.count("*").alias("_parts"),
         )
         end = F.col("last") + gap
         # only late rows alone end up in a session that is over before the batch
