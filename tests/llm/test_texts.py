@@ -211,3 +211,18 @@ def test_several_sizes_waste_less(prose):
         return sum({b: c + packing.OVERHEAD for b, c in zip(packed[0], packed[2], strict=True)}.values())
 
     assert cost(several) <= cost(one)
+
+
+def test_much_junk_does_not_move_the_limits(make, prose):
+    """Two documents in five of a source are repeated lines and symbols; another source has symbols only."""
+    clean = ["\n".join(prose(100 * i + j, 15) for j in range(6)) for i in range(60)]
+    junk = ["\n".join(f"{prose(i * 50 + k, 5)} # * &\nread more here" for k in range(12)) for i in range(40)]
+    symbols = [" ".join(f"{w} # $" if n % 2 else w for n, w in enumerate(prose(9000 + i, 80).split()))
+               for i in range(60)]
+    sources = ["mixed"] * 100 + ["symbols"] * 60
+    docs = make(clean + junk + symbols, sources=sources)
+    judged = rules.judged(docs)
+    assert not judged.where("base_failed").count()
+    kept = {r.doc_id for r in judged.where("kept").select("doc_id").collect()}
+    assert kept & set(range(60, 100)) == set()
+    assert set(range(60)) <= kept and set(range(100, 160)) <= kept

@@ -163,11 +163,11 @@ chosen as (
   join every e on o.measure = e.measure),
 limits as (
   select lang, source,
-    max(case measure when 'symbols' then q50 + greatest(8 * (q75 - q50), 100) end) as symbols_limit,
-    max(case measure when 'upper' then q50 + greatest(8 * (q75 - q50), 350) end) as upper_limit,
-    max(case measure when 'dup_lines' then q50 + greatest(8 * (q75 - q50), 400) end)
+    max(case measure when 'symbols' then q50 + greatest(8 * (q50 - q25), 100) end) as symbols_limit,
+    max(case measure when 'upper' then q50 + greatest(8 * (q50 - q25), 350) end) as upper_limit,
+    max(case measure when 'dup_lines' then q50 + greatest(8 * (q50 - q25), 400) end)
       as dup_lines_limit,
-    max(case measure when 'long_words' then q50 + greatest(8 * (q75 - q50), 1000, q50 // 2) end)
+    max(case measure when 'long_words' then q50 + greatest(8 * (q50 - q25), 1000, q50 // 2) end)
       as long_words_limit,
     max(case measure when 'short_words' then q50 - greatest(8 * (q50 - q25), 1000, q50 // 2) end)
       as short_words_limit

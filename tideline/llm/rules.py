@@ -6,8 +6,8 @@ with all but its seven leading bits cleared. Sketches of sources add up to that
 and those to the whole corpus, exactly and in any order. A threshold stands a number of quartile
 distances from its group's median, and at least a set distance, so that a group of equal documents
 rejects none of them; a group with few documents takes the quartiles of its language, or of all
-documents. Junk moves quartiles little as long as it is less than a quarter of a group. Thresholds meet documents
-in a join on language and source, in which Spark may broadcast the thresholds by their size and may
+documents. The distance is that of the first quartile to the median: junk has high values, and up to
+half of a group it only moves the median within the good documents. Thresholds meet documents in a join on language and source, in which Spark may broadcast the thresholds by their size and may
 split a hot source.
 
 Null and empty texts have no words, all counts zero, and fail the base rule. A null language or
@@ -199,7 +199,8 @@ def thresholds(sketch: DataFrame) -> DataFrame:
     middle = chosen("q50")
 
     def limit(m: Measure) -> Column:
-        spread = chosen("q75") - middle if m.above else middle - chosen("q25")
+        # the half below the median: junk of less than half of a group does not widen it
+        spread = middle - chosen("q25")
         least = F.greatest(F.lit(m.floor), F.floor(middle * m.share))
         away = F.greatest(SPREAD * spread, least)
         value = middle + away if m.above else middle - away
