@@ -35,6 +35,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
@@ -637,4 +638,14 @@ def without_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> Da
     """The document of each component that is kept, with all columns."""
     judged = near_duplicates(docs, width, percent).where(~F.col("kept"))
     gone = stored(judged.select("doc_id", "text_key").distinct(), "gone")
-    return without(docs, gone)
+    shared = docs.sparkSession.sparkContext.broadcast(id_filter(gone))
+    slot = F.xxhash64("doc_id").bitwiseAND(F.lit((1 << FILTER_BITS) - 1).cast("long"))
+
+    @F.pandas_udf("boolean")
+    def perhaps_gone(slots: pd.Series) -> pd.Series:
+        at = slots.to_numpy()
+        return pd.Series((shared.value[at // 63] >> (at % 63)) & 1 == 1)
+
+    # texts that the filter knows to stay do not take part in the join
+    asked = without(docs.where(perhaps_gone(slot)), gone)
+    return docs.where(~perhaps_gone(slot)).unionByName(asked)
