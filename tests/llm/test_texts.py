@@ -1,8 +1,11 @@
 """Rules, licences, templates, lengths and packing against plain Python."""
 
+import random
 import re
 from collections import Counter
 
+import pytest
+
 from tideline.llm import lengths, licenses, packing, rules, templates
 
 PATH = "/opt/tokenizers/byte_bpe_50k.tiktoken"
@@ -213,6 +216,61 @@ def test_several_sizes_waste_less(prose):
     assert cost(several) <= cost(one)
 
 
+def packing_cost(capacities):
+    return sum(c + packing.OVERHEAD for c in capacities)
+
+
+@pytest.mark.parametrize("mix", ["long", "odd", "short", "broad"])
+def test_no_single_size_is_cheaper(mix):
+    """The sizes opened follow the pieces: what wastes a large size opens a smaller one."""
+    draw = random.Random(3)
+    sizes = packing.SIZES
+    if mix == "long":
+        lengths, sizes = [1500] * 4000, (1536, 4096)
+    elif mix == "odd":
+        lengths = [1030] * 4000
+    elif mix == "short":
+        lengths = [min(4096, max(1, int(draw.lognormvariate(5.5, 1)))) for _ in range(4000)]
+    else:
+        lengths = [min(4096, max(1, int(draw.lognormvariate(7, 0.6)))) for _ in range(4000)]
+    _, _, first, final = packing.placed(lengths, sizes, packing.OVERHEAD)
+    capacity = {}
+    for b, c in zip(*packing.pack(lengths, sizes)[::2], strict=True):
+        capacity[b] = c
+    for one in (s for s in sizes if s >= max(lengths)):
+        alone = packing.placed(lengths, (one,), packing.OVERHEAD)[3]
+        # the joint choice by itself is about as good, the packing that stays is no dearer
+        assert packing_cost(final) <= 1.01 * packing_cost(alone)
+        assert packing_cost(capacity.values()) <= packing_cost(alone)
+    if mix == "long":
+        assert Counter(first) == {1536: 4000}
+    if mix == "broad":
+        assert {1024, 2048, 4096} <= set(first)
+        assert packing_cost(final) < packing_cost(packing.placed(lengths, (4096,), packing.OVERHEAD)[3])
+
+
+def test_packing_against_the_best_of_all():
+    """Up to eight pieces, all partitions: never below the best, and close to it."""
+    draw, sizes, dearer = random.Random(11), (16, 32, 64), []
+    for _ in range(150):
+        lengths = [draw.randint(1, 64) for _ in range(draw.randint(1, 8))]
+        full = (1 << len(lengths)) - 1
+        total = [sum(x for i, x in enumerate(lengths) if m >> i & 1) for m in range(full + 1)]
+        best = [0] + [10**9] * full
+        for m in range(1, full + 1):
+            low, part = m & -m, m
+            while part:
+                if part & low and total[part] <= sizes[-1]:
+                    price = packing.downsized(total[part], sizes) + 4
+                    best[m] = min(best[m], best[m ^ part] + price)
+                part = (part - 1) & m
+        bins, _, capacity = packing.pack(lengths, sizes, 4)
+        cost = sum({b: c + 4 for b, c in zip(bins, capacity, strict=True)}.values())
+        assert cost >= best[full]
+        dearer.append(cost / best[full])
+    assert max(dearer) < 1.5 and sum(dearer) / len(dearer) < 1.05
+
+
 def test_much_junk_does_not_move_the_limits(make, prose):
     """Two documents in five of a source are repeated lines and symbols; another source has symbols only."""
     clean = ["\n".join(prose(100 * i + j, 15) for j in range(6)) for i in range(60)]

@@ -2,10 +2,12 @@
 
 Lengths are dealt evenly to shards of a bounded number of pieces, whatever their ids. A shard packs
 its pieces from the longest to the shortest: a piece goes to the open bin that it fills best, and
-otherwise opens a bin. Which size that bin gets is decided jointly for all sizes: the one whose cost
-per token it will really hold is least, going by the pieces that are still to come. At the end every
-bin is downsized to the smallest size that takes its contents. A size costs its tokens plus a fixed
-overhead for each sequence.
+otherwise opens a bin. Which size that bin gets is decided jointly for all sizes: from the histogram
+of the pieces still to come, less those that bins already open count on, each size is filled on
+paper, and the one of least cost per token held is opened. At the end every bin is downsized to the
+smallest size that takes its contents. A size costs its tokens plus a fixed overhead for each
+sequence. A shard is also packed with each size as the only one to open, and the cheapest packing
+stays, so a choice of sizes is never dearer than one size.
 
 A document longer than the largest size is cut into pieces of that size and one rest; nothing is
 dropped. A null or empty text still has its end token. Repeated rows are packed each time. Ids may
@@ -14,7 +16,8 @@ be null. Without documents there are no rows. Other columns than those named are
 
 from __future__ import annotations
 
-from bisect import bisect_left, insort
+from bisect import bisect_left, bisect_right, insort
+from collections import Counter
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -35,37 +38,104 @@ def word_length(text: Column) -> Column:
     return F.size(words(text)) + 1
 
 
-def opened(length: int, rest: int, sizes: tuple[int, ...], overhead: int) -> int:
-    """The size of least cost per token for a bin that starts with `length`.
+class Ahead:
+    """The pieces still to come, by length, without those that an open bin counts on."""
 
-    `rest` is the number of tokens still to come: a bin holds its first piece and at most those.
+    def __init__(self, lengths: list[int]):
+        self.count = Counter(lengths)
+        self.promised: Counter[int] = Counter()
+        self.sorted = sorted(self.count)
+
+    def taken(self, length: int, opens: bool) -> None:
+        """A piece has come; unless it opens a bin, one of its length had been promised, if any was."""
+        if not opens and self.promised[length]:
+            self.promised[length] -= 1
+        else:
+            self.remove(length, 1)
+
+    def remove(self, length: int, n: int) -> None:
+        left = self.count[length] - n
+        if left > 0:
+            self.count[length] = left
+        elif self.count.pop(length, 0):
+            del self.sorted[bisect_left(self.sorted, length)]
+
+    def filling(self, free: int) -> list[tuple[int, int]]:
+        """(length, number) of what would fill so much space, always the longest that fits."""
+        plan, at = [], bisect_right(self.sorted, free)
+        while at:
+            length = self.sorted[at - 1]
+            n = min(free // length, self.count[length])
+            plan.append((length, n))
+            free -= n * length
+            at = bisect_right(self.sorted, free, 0, at - 1)
+        return plan
+
+    def promise(self, plan: list[tuple[int, int]]) -> None:
+        for length, n in plan:
+            self.remove(length, n)
+            self.promised[length] += n
+
+
+def opened(length: int, ahead: Ahead, sizes: tuple[int, ...], overhead: int) -> int:
+    """The size of least cost for each token that a bin starting with `length` will hold.
+
+    What it will hold is planned for every size from the pieces to come that no open bin counts on;
+    the plan of the chosen size is promised to the new bin.
     """
-    fit = [s for s in sizes if s >= length]
-    return min(fit, key=lambda s: ((s + overhead) / min(s, length + rest), s))
+    plans = {s: ahead.filling(s - length) for s in sizes if s >= length}
 
+    def price(size: int) -> tuple[float, int]:
+        held = length + sum(x * n for x, n in plans[size])
+        return (downsized(held, sizes) + overhead) / held, size
 
-def pack(lengths: list[int], sizes: tuple[int, ...] = SIZES, overhead: int = OVERHEAD):
-    """Bin, offset and capacity of each piece of one shard."""
+    best = min(plans, key=price)
+    ahead.promise(plans[best])
+    return best
+
+
+def downsized(used: int, sizes: tuple[int, ...]) -> int:
+    return next(s for s in sizes if s >= used)
+
+
+def placed(lengths: list[int], sizes: tuple[int, ...], overhead: int, least: int = 0):
+    """Bin and offset of each piece, and the size that every bin had and has after downsizing.
+
+    With `least`, bins open at that size or the next that takes the piece; else the size is chosen.
+    """
     order = sorted(range(len(lengths)), key=lambda i: -lengths[i])
-    rest = sum(lengths)
+    ahead = None if least else Ahead(lengths)
     spaces: list[tuple[int, int]] = []  # (free tokens, bin), sorted
     size, used = [], []
     bins, offsets = [0] * len(lengths), [0] * len(lengths)
     for i in order:
         n = lengths[i]
-        rest -= n
         at = bisect_left(spaces, (n, -1))
-        if at < len(spaces):
-            free, b = spaces.pop(at)
-        else:
-            b, free = len(size), opened(n, rest, sizes, overhead)
+        opens = at == len(spaces)
+        if ahead:
+            ahead.taken(n, opens)
+        if opens:
+            b = len(size)
+            free = opened(n, ahead, sizes, overhead) if ahead else downsized(max(n, least), sizes)
             size.append(free)
             used.append(0)
+        else:
+            free, b = spaces.pop(at)
         bins[i], offsets[i] = b, used[b]
         used[b] += n
         if free > n:
             insort(spaces, (free - n, b))
-    final = [next(s for s in sizes if s >= u) for u in used]
+    return bins, offsets, size, [downsized(u, sizes) for u in used]
+
+
+def pack(lengths: list[int], sizes: tuple[int, ...] = SIZES, overhead: int = OVERHEAD):
+    """Bin, offset and capacity of each piece of one shard.
+
+    Besides the joint choice of sizes, every size is tried as the only one to open; the cheapest
+    packing stays, the joint one in a tie.
+    """
+    tried = [placed(lengths, sizes, overhead, least) for least in (0, *sizes)]
+    bins, offsets, _, final = min(tried, key=lambda t: sum(t[3]) + overhead * len(t[3]))
     return bins, offsets, [final[b] for b in bins]
 
 
