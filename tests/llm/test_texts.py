@@ -159,6 +159,53 @@ def test_leaks_with_one_changed_mention(spark, make, prose):
     assert not rows[0, 0].reparameterised and not rows[1, 1].reparameterised
 
 
+def test_leaks_in_another_case_or_wrapped(spark, make, prose):
+    items = [
+        "What is the capital city of the country France and how many people live in it today",
+        "Why did Anna from Oslo meet Peter and Maria in Rome before Juan and Karl went on to Paris with Eva",
+    ]
+    bench = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    def column(text):
+        return "\n".join(text.split())
+
+    def quoted(text):
+        return '"' + text.replace(" ", " , ") + '"'
+
+    forms = [str, str.lower, str.upper, lambda x: x.replace(" ", "  "), column, quoted]
+    docs = [f"{prose(110 + i, 60)} {f(x)} {prose(130 + i, 60)}" for i, x in enumerate(items) for f in forms]
+    docs += [prose(150, 200), f"{prose(151, 40)} {' '.join(items[0].split()[:9])} {prose(152, 40)}"]
+    rows = templates.leaks(make(docs), bench).collect()
+    assert sorted((r.doc_id, r.item_id) for r in rows) == [(i, i // 6) for i in range(12)]
+
+
+def test_leaks_against_all_windows(spark, make):
+    """Texts of a few lower-case words: an item leaks if a quarter of its windows stand in the text."""
+    draw = random.Random(17)
+    words = ["red", "blue", "green", "stone"]
+    bench = [" ".join(draw.choice(words) for _ in range(n)) for n in (3, 6, 8, 9, 11, 14, 20, 26)]
+    texts = [" ".join(draw.choice(words) for _ in range(draw.randint(1, 60))) for _ in range(60)]
+    for i in range(40):
+        item = draw.choice(bench).split()
+        at = draw.randrange(len(item))
+        texts[i] = f"{texts[i]} {' '.join(item[at:] + ['sea'])} {texts[-i]}"
+    found = templates.leaks(
+        make(texts), spark.createDataFrame(list(enumerate(bench)), "item_id long, text string")
+    )
+    wanted = set()
+    for d, text in enumerate(texts):
+        have = text.split()
+        for i, item in enumerate(bench):
+            item = item.split()
+            w = min(8, len(item))
+            seen = {tuple(have[k : k + w]) for k in range(len(have) - w + 1)}
+            places = range(len(item) - w + 1)
+            n = sum(tuple(item[k : k + w]) in seen for k in places)
+            if 4 * n >= len(places):
+                wanted.add((d, i, len(places), n))
+    got = {(r.doc_id, r.item_id, r.n_windows, r.n_matched) for r in found.collect()}
+    assert got == wanted and len(got) > 30
+
+
 def test_lengths(make, odd):
     texts, ids = odd
     encode = lengths.encoder(PATH).encode_ordinary

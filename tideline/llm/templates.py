@@ -2,12 +2,14 @@
 
 Text becomes a template: words are runs of letters and digits in lower case, and a number, a unit or
 a name (a capitalised word inside a sentence) is a placeholder of its type. Windows of eight template
-words are hashed, and documents meet items in a hash join on those hashes. Windows of an item with
-fewer than five literal words say too little and are left out; if none is left, the item is looked for
-by its windows of eight words as they stand. Matches on one diagonal (the same
+words are hashed, and documents meet items in a hash join on those hashes. Template windows of an item
+with fewer than five literal words say too little and are left out. Every item is also looked for by
+its windows of eight words as they stand, in lower case and whatever stands between them, since a
+copy in another case or wrapped at other columns has other names. Matches on one diagonal (the same
 distance between document and item) belong together, and their slots have to be consistent: a value of
 the item stands for one value of the document, the one of most of its mentions, and the other way
-round. Windows with a mention that says otherwise do not count, nor do those of a tie. An item has leaked if its consistent diagonals cover a quarter of its windows.
+round. Windows with a mention that says otherwise do not count, nor do those of a tie. An item has
+leaked if its consistent diagonals cover a quarter of its windows, or of those that make good templates.
 
 Everything is SQL functions and joins. The items' windows are stored first, so that Spark knows
 their size and may broadcast them or not. Only documents with a match are looked at again.
@@ -68,14 +70,14 @@ def windows(template: Column) -> Column:
     ).when(n > 0, F.array(F.xxhash64(F.array_join(template, " "), n)))
 
 
-def exact_windows(raw: Column, width: Column | int) -> Column:
+def exact_windows(raw: Column, width: int) -> Column:
     """Hashes of the windows of `width` words as they stand, by position."""
     n = F.size(raw)
     return F.when(
-        (n > 0) & (n >= width),
+        n >= width,
         F.transform(
             F.sequence(F.lit(0), n - width),
-            lambda i: F.xxhash64(F.lit("exact"), F.slice(raw, i + 1, width)),
+            lambda i: F.xxhash64(F.lit("exact"), *[F.get(raw, i + k) for k in range(width)]),
         ),
     )
 
@@ -89,9 +91,10 @@ def listed(hashes: Column, width: Column) -> Column:
 
 
 def item_windows(items: DataFrame) -> DataFrame:
-    """item_id, hash, at, width, n_windows: the windows to look for, and their number by item.
+    """item_id, hash, at, width, good, n_windows, n_good: the windows to look for, and how many an item has.
 
-    `width` is 0 for a window of the template and the number of words for an exact one.
+    `width` is 0 for a window of the template and the number of words for an exact one. A place is
+    good if its template says enough.
     """
     words = items.select(
         "item_id", template_words(F.col("text")).alias("template"), raw_words(F.col("text")).alias("raw")
@@ -104,20 +107,24 @@ def item_windows(items: DataFrame) -> DataFrame:
         return literal >= F.when(narrow, SHORT_LITERALS).otherwise(LITERALS)
 
     good = words.select(
-        "item_id", "template", "raw",
+        "item_id", "raw",
         F.filter(listed(windows(F.col("template")), F.lit(0)), says_enough).alias("good"),
     )
-    width = F.least(F.size("raw"), F.lit(WIDTH))
-    exact = listed(exact_windows(F.col("raw"), width), width)
-    both = F.when(narrow | (F.size("good") == 0), F.concat("good", exact)).otherwise(F.col("good"))
-    rows = good.select("item_id", F.explode_outer(both).alias("w")).select("item_id", "w.*")
-    rows = rows.where(F.col("hash").isNotNull())
-    count = rows.groupBy("item_id").agg(F.count_distinct("at").alias("n_windows"))
-    return rows.join(count, "item_id")
+    exact = F.coalesce(*[
+        F.when(F.least(F.size("raw"), F.lit(WIDTH)) == w, listed(exact_windows(F.col("raw"), w), F.lit(w)))
+        for w in range(1, WIDTH + 1)
+    ], listed(F.lit(None).cast("array<bigint>"), F.lit(0)))
+    both = good.select(
+        "item_id", F.col("good.at").alias("places"), F.size(exact).alias("n_windows"),
+        F.size("good").alias("n_good"), F.explode(F.concat("good", exact)).alias("w"),
+    )
+    return both.select(
+        "item_id", "n_windows", "n_good", "w.*", F.array_contains("places", F.col("w.at")).alias("good")
+    )
 
 
 def matches(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """doc_id, text_key, item_id, shift, n_windows, at: places in the item that match at this shift."""
+    """doc_id, text_key, item_id, n_windows, n_good, shift, at, good: the places that match at a shift."""
     # at most as many as a window has words
     widths = [r.width for r in wanted.where("width > 0").select("width").distinct().collect()]
     split = docs.select(
@@ -133,11 +140,20 @@ def matches(docs: DataFrame, wanted: DataFrame) -> DataFrame:
         "doc_id", "text_key", F.col("w.at").alias("doc_at"), "w.hash", "w.width"
     )
     met = probes.join(wanted, ["hash", "width"])
-    diagonal = ["doc_id", "text_key", "item_id", "n_windows", "shift"]
+    diagonal = ["doc_id", "text_key", "item_id", "n_windows", "n_good", "shift"]
     return (
         met.withColumn("shift", F.col("doc_at") - F.col("at"))
         .groupBy(*diagonal)
-        .agg(F.collect_set("at").alias("at"))  # at most the windows of one item
+        .agg(  # at most the windows of one item
+            F.collect_set("at").alias("at"), F.collect_set(F.when(F.col("good"), F.col("at"))).alias("good")
+        )
+    )
+
+
+def reached(share_percent: int, places: Column, good: Column) -> Column:
+    """Whether the matched places are enough of all windows, or the good ones of all good ones."""
+    return (100 * places >= share_percent * F.col("n_windows")) | (
+        (F.col("n_good") > 0) & (100 * good >= share_percent * F.col("n_good"))
     )
 
 
@@ -153,10 +169,11 @@ def leaks(docs: DataFrame, items: DataFrame, share_percent: int = SHARE_PERCENT)
     # what can't reach the share even with all diagonals taken together needs no second look
     whole = found.groupBy("doc_id", "text_key", "item_id").agg(
         F.first("n_windows").alias("n_windows"),
-        F.size(F.array_distinct(F.flatten(F.collect_list("at")))).alias("upper"),
-        F.collect_list(F.struct("shift", "at")).alias("diagonals"),
+        F.first("n_good").alias("n_good"),
+        F.collect_list(F.struct("shift", "at", "good")).alias("diagonals"),
     )
-    likely = stored(whole.where(100 * F.col("upper") >= share_percent * F.col("n_windows")), "likely")
+    upper = [F.size(F.array_distinct(F.flatten(F.col("diagonals")[c]))) for c in ("at", "good")]
+    likely = stored(whole.where(reached(share_percent, *upper)), "likely")
     texts = docs.select("doc_id", text_key(F.col("text")).alias("text_key"), "text").join(
         likely.select("doc_id", "text_key").distinct().withColumnRenamed("doc_id", "id").alias("l"),
         F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("l.text_key") == text_key(F.col("text"))),
@@ -175,7 +192,7 @@ def leaks(docs: DataFrame, items: DataFrame, share_percent: int = SHARE_PERCENT)
         left, F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("text_key") == F.col("key"))
     ).join(right, F.col("item_id").eqNullSafe(F.col("item")))
     one = pairs.select(
-        "doc_id", "text_key", "item_id", "n_windows", "doc", "item_words", "template",
+        "doc_id", "text_key", "item_id", "n_windows", "n_good", "doc", "item_words", "template",
         F.explode("diagonals").alias("d"),
     )
     covered = F.array_distinct(
@@ -184,7 +201,7 @@ def leaks(docs: DataFrame, items: DataFrame, share_percent: int = SHARE_PERCENT)
     )
     slots = F.filter(covered, lambda k: F.get(F.col("template"), k).rlike(SLOT))
     one = one.select(
-        "doc_id", "text_key", "item_id", "n_windows", "d",
+        "doc_id", "text_key", "item_id", "n_windows", "n_good", "d",
         F.transform(slots, lambda k: F.struct(
             k.alias("k"),
             F.struct(
@@ -215,7 +232,8 @@ def leaks(docs: DataFrame, items: DataFrame, share_percent: int = SHARE_PERCENT)
     ))
     one = one.withColumn("at", F.filter("d.at", lambda a: ~F.exists("bad", lambda k: k.between(a, a + WIDTH - 1))))
     consistent = one.where(F.size("at") > 0).select(
-        "doc_id", "text_key", "item_id", "n_windows", "at", F.col("d.shift").alias("shift"),
+        "doc_id", "text_key", "item_id", "n_windows", "n_good", "at", F.col("d.shift").alias("shift"),
+        F.array_intersect("at", F.col("d.good")).alias("good"),
         F.transform(
             F.filter("mentions", lambda m: F.exists("at", lambda a: m["k"].between(a, a + WIDTH - 1))),
             lambda m: m["slot"],
@@ -224,12 +242,14 @@ def leaks(docs: DataFrame, items: DataFrame, share_percent: int = SHARE_PERCENT)
     slots = F.array_distinct(F.flatten(F.collect_list("slots")))
     out = consistent.groupBy("doc_id", "text_key", "item_id").agg(
         F.first("n_windows").alias("n_windows"),
+        F.first("n_good").alias("n_good"),
         F.size(F.array_distinct(F.flatten(F.collect_list("at")))).cast("long").alias("n_matched"),
+        F.size(F.array_distinct(F.flatten(F.collect_list("good")))).alias("n_good_matched"),
         F.min(F.col("shift") + F.array_min("at")).cast("long").alias("first_word"),
         slots.alias("slots"),
     )
     changed = F.size(F.filter("slots", lambda s: ~s["item"].eqNullSafe(s["doc"])))
-    return out.where(100 * F.col("n_matched") >= share_percent * F.col("n_windows")).select(
+    return out.where(reached(share_percent, F.col("n_matched"), F.col("n_good_matched"))).select(
         "doc_id", "text_key", "item_id", "n_windows", "n_matched", "first_word",
         F.size("slots").cast("long").alias("n_slots"),
         changed.cast("long").alias("n_changed"),
