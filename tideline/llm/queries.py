@@ -49,11 +49,11 @@ def license_sql() -> str:
     """The sentence table and the rules, one after the other, as DuckDB SQL."""
     known = ", ".join(f"'{k}': '{v}'" for k, v in licenses.SENTENCES.items())
     steps, hits, seq = [], [], "s0"
-    for i, rule in enumerate(licenses.RULES, 1):
+    for i, rule in enumerate((r for r in licenses.RULES if len(r.sentences) > 1), 1):
         pattern = rule.pattern()
         steps.append(
-            f"s{i} as (select *, array_to_string(list_transform(string_split(regexp_replace({seq}, "
-            f"'({pattern})', chr(10) || '\\1' || chr(10), 'g'), chr(10)), lambda p: case when "
+            f"s{i} as materialized (select *, array_to_string(list_transform(string_split(regexp_replace("
+            f"{seq}, '({pattern})', chr(10) || '\\1' || chr(10), 'g'), chr(10)), lambda p: case when "
             f"regexp_full_match(p, '{pattern}') then repeat('-', length(p)) else p end), '') as s{i} "
             f"from {seq})"
         )
@@ -66,16 +66,40 @@ def license_sql() -> str:
             f"from {seq} where regexp_matches({seq}, '{pattern}')"
         )
         seq = f"s{i}"
+    single = ", ".join(
+        f"('{r.name}', '{r.license}', '{r.sentences}')" for r in licenses.RULES if len(r.sentences) == 1
+    )
+    hits.append(
+        f"select doc_id, r.name as \"rule\", r.license, (length({seq}) - length(replace({seq}, r.mark, '')))"
+        f"::bigint as n_matches, (length({seq}) - length(replace({seq}, r.mark, '')))::bigint as n_sentences, "
+        f"instr({seq}, r.mark)::bigint as first_sentence, length(replace(s0, '.', ''))::bigint as n_known "
+        f"from {seq} join (values {single}) as r(name, license, mark) on contains({seq}, r.mark)"
+    )
+    tag = licenses.TAG
+    line = (
+        f"case when starts_with(x, '{tag}') then array_to_string(list_transform(regexp_split_to_array("
+        f"replace(substr(x, {len(tag) + 1}), ' or later', '{licenses.LATER}'), '{licenses.JOINED}'), "
+        f"lambda p: coalesce(ids['{tag}' || p], '.')), '') else coalesce(ids[x], '.') end"
+    )
+
+    def each(lines: str) -> str:
+        return f"array_to_string(list_transform({lines}, lambda x: {line}), '')"
+
+    wrapped = ", ".join(
+        (f"{each(f'l[:{n}]')} || " if n else "") + f"ids[array_to_string(l[{n + 1}:], ' ')]"
+        for n in range(licenses.HEAD + 1)
+    )
     return f"""
-with parts as (
-  select doc_id, list_filter(list_transform(
-    regexp_split_to_array(lower(coalesce(text, '')), '\\n|\\. +'),
-    lambda x: trim(regexp_replace(x, '[^\\p{{L}}\\p{{N}}]+', ' ', 'g'))), lambda x: x <> '') as parts
+with blocks as (
+  select doc_id, list_transform(regexp_split_to_array(lower(coalesce(text, '')), '{licenses.BREAK}'),
+    lambda b: list_filter(list_transform(string_split(b, chr(10)),
+      lambda x: trim(regexp_replace(x, '[^\\p{{L}}\\p{{N}}]+', ' ', 'g'))), lambda x: x <> '')) as blocks
   from documents),
 known as (select map {{{known}}} as ids),
-s0 as (
-  select doc_id, array_to_string(list_transform(parts, lambda x: coalesce(ids[x], '.')), '') as s0
-  from parts cross join known),
+s0 as materialized (
+  select doc_id, array_to_string(list_transform(blocks, lambda l: case when len(l) > 1
+    then coalesce({wrapped}, {each("l")}) else {each("l")} end), '') as s0
+  from blocks cross join known),
 {", ".join(steps)}
 {" union all ".join(hits)}
 """
