@@ -208,6 +208,26 @@ def test_automaton_against_distances():
         assert automaton.match(word) == ((-best[1], best[0]) if best else None), word
 
 
+def test_automaton_forgets_states(monkeypatch):
+    """With room for few states the matches are the same and no more states are kept than a word makes."""
+    terms = {f"{a}{b}{c}ly": 1.0 + i for i, a in enumerate("abcd") for b in "eio" for c in "rst"}
+    words = [f"{a}{b}{c}{d}" for a in "abce" for b in "eiu" for c in "rst" for d in ("ly", "l", "y", "lly", "xx")]
+    full = toxicity.Automaton(terms)
+    wanted = [full.match(w) for w in words]
+    monkeypatch.setattr(toxicity, "MAX_STATES", 4)
+    small = toxicity.Automaton(terms)
+    assert [small.match(w) for w in words] == wanted and any(wanted) and not all(wanted)
+    assert len(small.states) <= 4 + 6 < len(full.states)
+
+
+def test_every_term_that_passes_is_taken(spark):
+    """More terms than the lexicon once held: all are there."""
+    names = [f"zz{i:05d}".translate(str.maketrans("0123456789", "abcdefghij")) for i in range(25_000)]
+    rows = [(" ".join(names), 1)] * 60 + [("nothing of that kind here", 0)] * 60
+    found = toxicity.lexicon(spark.createDataFrame(rows, "text string, toxic int"))
+    assert set(names) <= set(found)
+
+
 def test_quotation():
     automaton = toxicity.Automaton({"idiot": 3.0, "wormy*": 2.0})
     assert toxicity.features("you idiot", automaton)[:3] == (3.0, 0.0, 0.0)

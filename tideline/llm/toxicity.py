@@ -34,7 +34,8 @@ from pyspark.sql.types import IntegerType
 
 from tideline.llm.common import arrow_rows, stored
 
-MAX_TERMS = 20_000
+#: states of the automaton that a task keeps; it makes them anew when they are needed again
+MAX_STATES = 50_000
 MAX_LABELS = 60_000
 MIN_TEXTS = 2
 MIN_RATIO = 20.0
@@ -87,8 +88,12 @@ def words_by_label(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
     yield from flush()
 
 
-def lexicon(labelled: DataFrame, max_terms: int = MAX_TERMS) -> dict[str, float]:
-    """Terms and weights from text and toxic (0 or 1). At most `max_terms`, those that say most."""
+def lexicon(labelled: DataFrame) -> dict[str, float]:
+    """Terms and weights from text and toxic (0 or 1).
+
+    All terms that pass are taken. Each stands in `MIN_TEXTS` toxic texts or more, so there are no more
+    than a `MIN_TEXTS`-th of the words of the bounded number of labelled texts.
+    """
     counts = labelled.select("text", "toxic").mapInArrow(
         words_by_label, "word string, toxic int, n long"
     )
@@ -117,7 +122,6 @@ def lexicon(labelled: DataFrame, max_terms: int = MAX_TERMS) -> dict[str, float]
             (F.col("gain") > 2 * math.log(max(distinct, 2))) & (F.col("weight") > math.log(MIN_RATIO))
         )
         .orderBy(F.desc("gain"), "word")
-        .limit(max_terms)
     )
     return {r["word"]: r["weight"] for r in terms.collect()}
 
@@ -154,6 +158,11 @@ class Automaton:
                     self.children.append({})
                 node = self.children[node][c]
             self.ends[node] = term
+        self.restart()
+
+    def restart(self) -> None:
+        """Forget the states and steps made so far."""
+        self.states, self.numbers, self.steps, self.results = [], {}, [], []
         self.start = self.number({(0, 0)})
 
     def number(self, pairs: set[tuple[int, int]]) -> int:
@@ -188,6 +197,8 @@ class Automaton:
 
     def match(self, word: str) -> tuple[float, int] | None:
         """Weight and edits of the best term for a word; a stem counts as a term without edits."""
+        if len(self.states) > MAX_STATES:
+            self.restart()
         found, state = None, self.start
         for c in word:
             to = self.steps[state].get(c)
@@ -336,7 +347,6 @@ def scored(
     train: Column,
     keep: list[str],
     max_labels: int = MAX_LABELS,
-    max_terms: int = MAX_TERMS,
 ) -> DataFrame:
     """row (a struct of the columns `keep`, with doc_id) and score of each document.
 
@@ -348,7 +358,7 @@ def scored(
     ids = docs.where(train).select("doc_id", "text")
     drawn = F.broadcast(sample(labels, max_labels))  # max_labels rows, two numbers each
     texts = ids.join(drawn, F.col("doc_id") == F.col("label_id")).select("text", "toxic")
-    terms = lexicon(texts, max_terms)
+    terms = lexicon(texts)
     found = stored(cell_columns(docs, terms, keep), "cells")
     known = found.select("row.doc_id", "c0", "c1", "c2", "c3").where(train)
     marked = known.join(labels, F.col("doc_id") == F.col("label_id"))
