@@ -297,5 +297,5 @@ def test_pipeline_keeps_clean_documents(spark, kept):
 
 def test_every_operator_is_registered():
     numbers = sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES)
-    assert numbers == list(range(1, 11))
+    assert numbers == list(range(1, 14))
     assert Path(corpus_pipeline.__file__).name == "corpus_pipeline.py"
