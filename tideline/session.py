@@ -68,15 +68,23 @@ def shared_path(spark: SparkSession, name: str) -> str:
     return _made[-1]
 
 
-def discard(spark: SparkSession) -> int:
-    """Remove everything that this process has put into the shared folder so far.
+def paths_made() -> int:
+    """How many paths of this process stand in the shared folder, for `discard`."""
+    return len(_made)
+
+
+def discard(spark: SparkSession, since: int = 0, but_last: bool = False) -> int:
+    """Remove what this process has put into the shared folder, from the path numbered `since` on.
 
     For when the results of the queries until now have been written or are no longer needed; a
-    DataFrame made before must not be used after. Gives the number of paths removed.
+    DataFrame made of these paths must not be used after. With `but_last` the newest path stays, such
+    as the table that has just been written from the others. Gives the number of paths removed.
     """
+    old = _made[since : len(_made) - but_last]
+    _made[since : len(_made) - but_last] = []
     gone = 0
-    while _made:
-        path = spark._jvm.org.apache.hadoop.fs.Path(_made.pop())
+    for name in old:
+        path = spark._jvm.org.apache.hadoop.fs.Path(name)
         gone += path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
     return gone
 
