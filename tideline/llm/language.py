@@ -4,8 +4,10 @@ A text is lower-cased, and every run of other characters than letters is one bla
 are those of words and word ends. The n-grams of one to three characters are hashed into a fixed
 number of slots with whole-array arithmetic. Training adds up one slots by languages matrix per
 partition; the matrices are summed in Spark, cell by cell, over all training texts. The matrix of log
-probabilities has slots x languages cells (the languages are checked against a limit) and is what is
-broadcast; a batch is scored by taking the matrix rows of its n-grams and adding them up per text.
+probabilities is built and broadcast in blocks of `BLOCK` languages, so neither the driver nor a task
+holds more than one block, whatever the number of languages; a batch is scored block by block, by
+taking the matrix rows of its n-grams and adding them up per text. Log probabilities are multiples of
+2**-16, whose sums are exact: batches and blocks do not change a result.
 
 The score is the probability of the chosen language after tempering: evidence grows with the root of
 the number of n-grams, since neighbouring n-grams are not independent. Ties go to the language that
@@ -30,7 +32,11 @@ from tideline.llm.common import arrow_rows, stored
 BITS = 15
 ORDERS = (1, 2, 3)
 SMOOTHING = 0.5
-MAX_LANGUAGES = 2000
+#: languages in a block of the matrix, which has 2**BITS x BLOCK cells of four bytes
+BLOCK = 256
+#: matrix cells that a task adds up at a time
+CELLS = 1 << 23
+GRID = 1 << 16
 UNKNOWN = "und"
 OTHER = regex.compile(r"[^\p{L}]+")
 MULTIPLIERS = np.array([0x9E3779B1, 0x85EBCA6B, 0xC2B2AE35, 0x27D4EB2F], np.uint32)
@@ -62,17 +68,61 @@ def slots(texts: list[str], bits: int = BITS) -> tuple[np.ndarray, np.ndarray]:
 
 @dataclass
 class Model:
+    """A block of languages."""
+
     languages: list[str]
     weights: np.ndarray  # slots x languages, float32 log probabilities
     prior: np.ndarray
 
 
+@dataclass
+class Learned:
+    """The languages in order, how many texts each was learned from, and the stored counts."""
+
+    languages: list[str]
+    texts: np.ndarray
+    counts: DataFrame  # lang, slot, n
+    bits: int
+
+    def blocks(self) -> Iterator[Model]:
+        """The model in blocks, each made when it is asked for."""
+        prior = np.log((self.texts + 1) / (self.texts.sum() + max(len(self.texts), 1)))
+        for start in range(0, len(self.languages), BLOCK):
+            names = self.languages[start : start + BLOCK]
+            # at most slots x BLOCK cells come to the driver
+            cells = self.counts.where(
+                F.col("lang").between(names[0], names[-1]) & (F.col("slot") >= 0)
+            ).toArrow()
+            place = {x: i for i, x in enumerate(names)}
+            column = np.array([place[x] for x in cells.column("lang").to_pylist()], np.int64)
+            table = np.zeros((1 << self.bits, len(names)))
+            table[cells.column("slot").to_numpy(), column] = cells.column("n").to_numpy()
+            logs = np.log(table + SMOOTHING) - np.log(table.sum(0) + SMOOTHING * len(table))
+            weights = (np.round(logs * GRID) / GRID).astype(np.float32)
+            yield Model(names, weights, prior[start : start + BLOCK])
+
+
 def counter(bits: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """Slot counts of a partition by language; memory is slots x languages."""
+    """Slot counts of a partition by language, passed on whenever `BLOCK` languages have come up."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total: dict[str, np.ndarray] = {}
         docs: dict[str, int] = {}
+
+        def out() -> Iterator[pa.RecordBatch]:
+            for name, counts in total.items():
+                at = np.flatnonzero(counts)
+                # slot -1 counts documents
+                yield pa.RecordBatch.from_pydict(
+                    {
+                        "lang": pa.array([name] * (len(at) + 1)),
+                        "slot": pa.array(np.append(at, -1), pa.int32()),
+                        "n": pa.array(np.append(counts[at], docs[name]), pa.int64()),
+                    }
+                )
+            total.clear()
+            docs.clear()
+
         for whole in batches:
             for start in range(0, whole.num_rows, 500):
                 batch = whole.slice(start, 500)
@@ -86,21 +136,14 @@ def counter(bits: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Recor
                 for i, name in enumerate(names):
                     total[name] = total.get(name, 0) + counts[i]
                     docs[name] = docs.get(name, 0) + int((place == i).sum())
-        for name, counts in total.items():
-            at = np.flatnonzero(counts)
-            # slot -1 counts documents
-            yield pa.RecordBatch.from_pydict(
-                {
-                    "lang": pa.array([name] * (len(at) + 1)),
-                    "slot": pa.array(np.append(at, -1), pa.int32()),
-                    "n": pa.array(np.append(counts[at], docs[name]), pa.int64()),
-                }
-            )
+            if len(total) >= BLOCK:
+                yield from out()
+        yield from out()
 
     return run
 
 
-def learn(labelled: DataFrame, bits: int = BITS, max_languages: int = MAX_LANGUAGES) -> Model:
+def learn(labelled: DataFrame, bits: int = BITS) -> Learned:
     """A model from text and lang; rows whose lang is null teach nothing."""
     counts = (
         labelled.where(F.col("lang").isNotNull())
@@ -110,56 +153,69 @@ def learn(labelled: DataFrame, bits: int = BITS, max_languages: int = MAX_LANGUA
         .agg(F.sum("n").alias("n"))
     )
     counts = stored(counts, "slots")
-    # at most (slots + 1) x max_languages cells come to the driver, else none
-    names = counts.select("lang").distinct().limit(max_languages + 1).toArrow()
-    languages = sorted(names.column("lang").to_pylist())
-    if len(languages) > max_languages:
-        raise ValueError(f"more than {max_languages} languages")
-    cells = counts.toArrow()
-    column = np.array([languages.index(x) for x in cells.column("lang").to_pylist()], np.int64)
-    at, n = cells.column("slot").to_numpy(), cells.column("n").to_numpy()
-    table = np.zeros((1 << bits, len(languages)))
-    docs = np.zeros(len(languages))
-    table[at[at >= 0], column[at >= 0]] = n[at >= 0]
-    docs[column[at < 0]] = n[at < 0]
-    weights = np.log(table + SMOOTHING) - np.log(table.sum(0) + SMOOTHING * len(table))
-    prior = np.log((docs + 1) / (docs.sum() + max(len(docs), 1)))
-    return Model(languages, weights.astype(np.float32), prior)
-
-
-def classify(texts: list[str], model: Model) -> tuple[list[str], np.ndarray]:
-    """Language and score of each text."""
+    texts = {r["lang"]: r["n"] for r in counts.where("slot < 0").collect()}  # a row for each language
+    languages = sorted(texts)
+    return Learned(languages, np.array([texts[x] for x in languages], float), counts, bits)
+
+
+def sums_of(slot: np.ndarray, owner: np.ndarray, n: int, model: Model) -> np.ndarray:
+    """Log probabilities by text and language; `owner`, the texts of the slots, is in order."""
+    sums = np.zeros((n, len(model.languages)))
+    step = max(1, CELLS // len(model.languages))
+    for start in range(0, len(slot), step):
+        mine = owner[start : start + step]
+        first = np.flatnonzero(np.append(True, mine[1:] != mine[:-1]))
+        rows = model.weights[slot[start : start + step]]
+        sums[mine[first]] += np.add.reduceat(rows, first, axis=0, dtype=np.float64)
+    return sums + model.prior
+
+
+def classify(texts: list[str], *models: Model) -> tuple[list[str], np.ndarray]:
+    """Language and score of each text by a model in one block or several."""
+    return classified(texts, iter(models))
+
+
+def classified(texts: list[str], models: Iterator[Model]) -> tuple[list[str], np.ndarray]:
     lettered = np.array([any(map(str.isalpha, t)) for t in texts], bool)
     n = len(texts)
-    if not model.languages or not n:
-        return [UNKNOWN] * n, np.zeros(n)
-    bits = len(model.weights).bit_length() - 1
-    slot, owner = slots(texts, bits)
-    count = np.bincount(owner, minlength=n)
-    ends = np.concatenate([[0], np.cumsum(np.bincount(owner, minlength=n))])
-    # n-grams come order by order; one sort by text, then sums over runs
-    order = np.argsort(owner, kind="stable")
-    sums = np.zeros((n, len(model.languages)))
-    full = np.flatnonzero(count)
-    if len(full):
-        rows = model.weights[slot[order]]
-        sums[full] = np.add.reduceat(rows, ends[full], axis=0, dtype=np.float64)
-    sums += model.prior
-    best = sums.argmax(1)
-    scale = 1 / np.sqrt(np.maximum(count, 1))
-    odds = np.exp((sums - sums.max(1, keepdims=True)) * scale[:, None])
-    score = np.where(lettered, 1 / odds.sum(1), 0.0)
-    names = [model.languages[b] if ok else UNKNOWN for b, ok in zip(best, lettered, strict=True)]
-    return names, score
-
-
-def predict(docs: DataFrame, model: Model, held_out: Column) -> DataFrame:
+    names = np.full(n, UNKNOWN, object)
+    best, odds = np.full(n, -np.inf), np.zeros(n)
+    slot = None
+    for model in models:
+        if not n or not model.languages:
+            continue
+        if slot is None:
+            slot, owner = slots(texts, len(model.weights).bit_length() - 1)
+            # n-grams come order by order; one sort by text, then sums over runs
+            order = np.argsort(owner, kind="stable")
+            slot, owner = slot[order], owner[order]
+            scale = 1 / np.sqrt(np.maximum(np.bincount(owner, minlength=n), 1))
+        sums = sums_of(slot, owner, n, model)
+        top = sums.max(1)
+        more = top > best  # a tie stays with the earlier block
+        names[more] = np.array(model.languages, object)[sums.argmax(1)[more]]
+        new = np.maximum(best, top)
+        here = np.exp((sums - new[:, None]) * scale[:, None]).sum(1)
+        odds = odds * np.exp((best - new) * scale) + here
+        best = new
+    known = lettered & (odds > 0)
+    score = np.divide(1.0, odds, out=np.zeros(n), where=known)
+    return np.where(known, names, UNKNOWN).tolist(), score
+
+
+def predict(docs: DataFrame, model: Learned, held_out: Column) -> DataFrame:
     """doc_id, held_out, lang_pred, score: one row per document."""
-    spark = docs.sparkSession
-    shared = spark.sparkContext.broadcast(model)
+    context = docs.sparkSession.sparkContext
+    shared = [context.broadcast(block) for block in model.blocks()]
+
+    def blocks() -> Iterator[Model]:
+        for one in shared:
+            yield one.value
+            if len(shared) > 1 and getattr(one, "_path", None):
+                one.__dict__.pop("_value", None)  # read from its file again when needed
 
     def step(batch: pa.RecordBatch) -> pa.RecordBatch:
-        names, score = classify([t or "" for t in batch.column("text").to_pylist()], shared.value)
+        names, score = classified([t or "" for t in batch.column("text").to_pylist()], blocks())
         return pa.RecordBatch.from_pydict(
             {
                 "doc_id": batch.column("doc_id"),
