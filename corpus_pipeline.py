@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tideline.llm import stages
-from tideline.session import prepare, stored, table
+from tideline.session import discard, paths_made, prepare, stored, table
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -28,8 +28,13 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over `documents`, each written to the shared folder before the next reads it."""
-    docs = table(prepare(spark), sf_dir, "documents")
+    """All stages over `documents`, each written to the shared folder before the next reads it.
+
+    Once a stage is written, what it stored on its way and its predecessor's output are removed, so
+    the folder never holds more than two copies of the documents.
+    """
+    docs, since = table(prepare(spark), sf_dir, "documents"), paths_made()
     for name, stage in STAGES:
         docs = stored(stage(spark, docs, sf_dir), name)
+        discard(spark, since, but_last=True)
     return docs

@@ -10,8 +10,9 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from tideline.llm import language, quality, queries, recurrent, scoring, toxicity
-from tideline.llm.common import fold
+from tideline.llm import language, quality, queries, recurrent, rules, scoring, toxicity
+from tideline.llm.common import fold, stored
+from tideline.session import paths_made
 
 DATA = "/root/testdata/sf0.01"
 
@@ -150,6 +151,71 @@ def test_batches_do_not_matter(prose):
         assert one[0][0] == together[0][i] and np.isclose(one[1][0], together[1][i])
 
 
+def plain_grams(text):
+    """Slots of the n-grams of a text, one at a time."""
+    clean = f" {' '.join(''.join(c if c.isalpha() else ' ' for c in text.lower()).split())} "
+    a, b, c, d = (int(x) for x in language.MULTIPLIERS)
+    out = []
+    for k in language.ORDERS:
+        for i in range(len(clean) - k + 1):
+            code = 0
+            for x in clean[i : i + k]:
+                code = (code * d + (ord(x) + 1) * a) % 2**32
+            mixed = ((code ^ (code >> 15)) * b + (a, b, c)[k % 3]) % 2**32
+            out.append(mixed >> (32 - language.BITS))
+    return out
+
+
+def test_language_against_plain_bayes(make, prose):
+    texts = [*[prose(i % 7, 20 + i) for i in range(70)], "", "12 34", "a", None]
+    langs = [*[f"l{i % 7}" for i in range(70)], "l0", "l1", "l2", "l3"]
+    docs = make(texts, langs=langs)
+    train = F.col("doc_id") % 3 != 1
+    rows = language.predict(docs, language.learn(docs.where(train)), ~train).collect()
+    counts, taught = {x: Counter() for x in sorted(set(langs))}, Counter()
+    for i, (t, x) in enumerate(zip(texts, langs, strict=True)):
+        if i % 3 != 1:
+            counts[x].update(plain_grams(t or ""))
+            taught[x] += 1
+    for r in rows:
+        text = texts[r.doc_id] or ""
+        if not any(map(str.isalpha, text)):
+            assert (r.lang_pred, r.score) == ("und", 0.0)
+            continue
+        grams, sums = plain_grams(text), {}
+        for x, table in counts.items():
+            whole = sum(table.values()) + language.SMOOTHING * 2**language.BITS
+            sums[x] = math.log((taught[x] + 1) / (sum(taught.values()) + len(counts)))
+            sums[x] += sum(math.log((table[g] + language.SMOOTHING) / whole) for g in grams)
+        best = max(sums.values())
+        odds = sum(math.exp((v - best) / math.sqrt(len(grams))) for v in sums.values())
+        assert sums[r.lang_pred] == pytest.approx(best, abs=0.02)
+        assert r.score == pytest.approx(1 / odds, abs=0.01)
+
+
+def test_blocks_of_languages(monkeypatch, make, prose):
+    texts = [prose(i % 23, 30 + i) for i in range(92)]
+    docs = make(texts, langs=[f"l{i % 23:02}" for i in range(92)])
+
+    def found():
+        rows = language.predict(docs, language.learn(docs), F.lit(True)).collect()
+        return {r.doc_id: (r.lang_pred, round(r.score, 9)) for r in rows}
+
+    whole = found()
+    assert all(v[0] == f"l{i % 23:02}" for i, v in whole.items())
+    monkeypatch.setattr(language, "BLOCK", 4)
+    monkeypatch.setattr(language, "CELLS", 64)
+    assert found() == whole
+
+
+def test_ties_go_to_the_first_language(monkeypatch, make, prose):
+    docs = make([prose(1, 30)] * 6, langs=["c", "b", "a", "c", "b", "a"])
+    for block in (2, 1):
+        monkeypatch.setattr(language, "BLOCK", block)
+        rows = language.predict(docs, language.learn(docs), F.lit(True)).collect()
+        assert {(r.lang_pred, round(r.score, 9)) for r in rows} == {("a", round(1 / 3, 9))}
+
+
 # --- quality ------------------------------------------------------------------------------------
 
 
@@ -264,11 +330,33 @@ def test_toxicity_of_odd_rows(spark, make, odd, prose):
     none = toxicity.scored(df, labels.limit(0), F.lit(True), ["doc_id"])
     assert {r.score for r in none.collect()} == {0.0}
     assert toxicity.scored(make([]), labels, F.lit(True), ["doc_id"]).count() == 0
+    left = toxicity.kept(df, labels, F.col("doc_id") % 3 != 0, 0.5)
+    same = toxicity.scored(df, labels, F.col("doc_id") % 3 != 0, df.columns)
+    expected = same.where("score < 0.5").select("row.*")
+    assert left.columns == df.columns and left.exceptAll(expected).isEmpty()
+    assert expected.exceptAll(left).isEmpty() and 0 < left.count() < len(texts)
+    assert toxicity.kept(df, labels.limit(0), F.lit(True), 0.5).count() == len(texts)
+    assert toxicity.kept(make([]), labels, F.lit(True), 0.5).count() == 0
 
 
 # --- the pipeline -------------------------------------------------------------------------------
 
 
+def test_filters_store_no_texts(monkeypatch, spark, make, prose):
+    schemas = []
+
+    def noted(df, name="table"):
+        schemas.append(df.schema.simpleString())
+        return stored(df, name)
+
+    monkeypatch.setattr(rules, "stored", noted)
+    monkeypatch.setattr(toxicity, "stored", noted)
+    df = make([prose(i, 40) for i in range(8)])
+    for _, stage in corpus_pipeline.STAGES[:2]:
+        stage(spark, df, DATA).collect()
+    assert len(schemas) >= 3 and not any("text" in x for x in schemas)
+
+
 def test_stages_handle_odd_rows(spark, make, odd):
     texts, ids = odd
     for _, stage in corpus_pipeline.STAGES[:-1]:
@@ -281,7 +369,10 @@ def test_stages_handle_odd_rows(spark, make, odd):
 
 @pytest.fixture(scope="module")
 def kept(spark):
-    return corpus_pipeline.run(spark, DATA).collect()
+    before = paths_made()
+    rows = corpus_pipeline.run(spark, DATA)
+    assert paths_made() == before + 1  # what the stages stored on their way is gone
+    return rows.collect()
 
 
 def test_pipeline_keeps_clean_documents(spark, kept):

@@ -209,12 +209,17 @@ def thresholds(sketch: DataFrame) -> DataFrame:
     return joined.groupBy("lang", "source").agg(*[limit(m) for m in MEASURES])
 
 
-def verdicts(measures: DataFrame) -> DataFrame:
-    """`measures` with base_failed, kept and each rule's limit. `measures` is read twice: store it."""
-    limits = stored(thresholds(sketches(measures)), "limits").select(
+def limits_of(measures: DataFrame) -> DataFrame:
+    """t_lang, t_source and the limits, stored; `measures` is read once."""
+    sketch = stored(sketches(measures), "sketch")
+    return stored(thresholds(sketch), "limits").select(
         F.col("lang").alias("t_lang"), F.col("source").alias("t_source"),
         *[f"{m.name}_limit" for m in MEASURES],
     )
+
+
+def verdicts(measures: DataFrame, limits: DataFrame) -> DataFrame:
+    """`measures` with base_failed, kept and each rule's limit."""
     joined = measures.join(
         limits,
         F.col("lang").eqNullSafe(F.col("t_lang")) & F.col("source").eqNullSafe(F.col("t_source")),
@@ -234,9 +239,14 @@ def judged(docs: DataFrame) -> DataFrame:
     narrow = docs.select("doc_id", "text", "lang", "source")
     found = measured(narrow)
     found = stored(found.select(F.col("row.doc_id").alias("doc_id"), *found.drop("row").columns), "measures")
-    return verdicts(found).drop("t_lang", "t_source")
+    return verdicts(found, limits_of(found)).drop("t_lang", "t_source")
 
 
 def kept(docs: DataFrame) -> DataFrame:
-    """The documents that the rules keep, with all their columns."""
-    return verdicts(stored(measured(docs), "measures")).where("kept").select("row.*")
+    """The documents that the rules keep, with all their columns.
+
+    Texts are measured twice, for the limits and for the verdict, so that none is written or shuffled
+    on the way: all that is stored are the sketches and the limits.
+    """
+    limits = limits_of(measured(docs.select("text", "lang", "source")))
+    return verdicts(measured(docs), limits).where("kept").select("row.*")

@@ -20,8 +20,7 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def toxic_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents below the score; the lexicon is learned from the labels of four folds in five."""
     train = fold(F.col("doc_id"), 5) != 0
-    found = toxicity.scored(docs, table(spark, sf_dir, "labels"), train, docs.columns)
-    return found.where(F.col("score") < TOXIC).select("row.*")
+    return toxicity.kept(docs, table(spark, sf_dir, "labels"), train, TOXIC)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

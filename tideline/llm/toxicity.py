@@ -341,26 +341,15 @@ def sample(labels: DataFrame, bound: int) -> DataFrame:
     return labels.where(share)
 
 
-def scored(
-    docs: DataFrame,
-    labels: DataFrame,
-    train: Column,
-    keep: list[str],
-    max_labels: int = MAX_LABELS,
-) -> DataFrame:
-    """row (a struct of the columns `keep`, with doc_id) and score of each document.
-
-    `train` says of a document whether its label may be learned. The lexicon is learned from at most
-    about `max_labels` labels, so that their ids can be broadcast and no text is shuffled; the
-    regression is fitted to all of them.
-    """
-    labels = usable(labels)
+def learned_terms(docs: DataFrame, labels: DataFrame, train: Column, max_labels: int) -> dict[str, float]:
+    """The lexicon from at most about `max_labels` of the labels (label_id, toxic) in `train`."""
     ids = docs.where(train).select("doc_id", "text")
     drawn = F.broadcast(sample(labels, max_labels))  # max_labels rows, two numbers each
-    texts = ids.join(drawn, F.col("doc_id") == F.col("label_id")).select("text", "toxic")
-    terms = lexicon(texts)
-    found = stored(cell_columns(docs, terms, keep), "cells")
-    known = found.select("row.doc_id", "c0", "c1", "c2", "c3").where(train)
+    return lexicon(ids.join(drawn, F.col("doc_id") == F.col("label_id")).select("text", "toxic"))
+
+
+def fitted(known: DataFrame, labels: DataFrame) -> np.ndarray | None:
+    """The weights of the regression on doc_id and cells of all labelled documents; None without any."""
     marked = known.join(labels, F.col("doc_id") == F.col("label_id"))
     counted = marked.groupBy("c0", "c1", "c2", "c3").agg(
         F.sum("toxic").alias("pos"), F.sum(1 - F.col("toxic")).alias("neg")
@@ -368,11 +357,53 @@ def scored(
     # cells: 41 steps in each of four numbers at the most, in truth some hundreds
     table = counted.toArrow()
     if not table.num_rows:
-        return found.select("row", F.lit(0.0).alias("score"))
+        return None
     cell = np.column_stack([table.column(f"c{i}").to_numpy() for i in range(4)]).astype(float)
     pos, neg = (table.column(c).to_numpy().astype(float) for c in ("pos", "neg"))
-    weights = fit(cell, pos, neg)
+    return fit(cell, pos, neg)
+
+
+def score_of(weights: np.ndarray | None) -> Column:
+    """The score by the columns c0 to c3; 0 where nothing was learned."""
+    if weights is None:
+        return F.lit(0.0)
     logit = F.lit(float(weights[0]))
     for i in range(4):
         logit += F.col(f"c{i}") * float(weights[1 + i] / STEP)
-    return found.select("row", (1 / (1 + F.exp(-logit))).alias("score"))
+    return 1 / (1 + F.exp(-logit))
+
+
+def scored(
+    docs: DataFrame,
+    labels: DataFrame,
+    train: Column,
+    keep: list[str],
+    max_labels: int = MAX_LABELS,
+) -> DataFrame:
+    """row (a struct of the columns `keep`, with doc_id) and score of each document.
+
+    `train` says by the doc_id whether a document's label may be learned. The lexicon is learned from
+    at most about `max_labels` labels, so that their ids can be broadcast and no text is shuffled; the
+    regression is fitted to all of them. The columns `keep` are stored with the cells.
+    """
+    labels = usable(labels)
+    terms = learned_terms(docs, labels, train, max_labels)
+    found = stored(cell_columns(docs, terms, keep), "cells")
+    known = found.select("row.doc_id", "c0", "c1", "c2", "c3").where(train)
+    return found.select("row", score_of(fitted(known, labels)).alias("score"))
+
+
+def kept(
+    docs: DataFrame, labels: DataFrame, train: Column, least: float, max_labels: int = MAX_LABELS
+) -> DataFrame:
+    """The documents that score below `least`, with all columns; scores are those of `scored`.
+
+    Texts of `train` are matched twice, for the regression and for the score, so that no text is
+    written or shuffled on the way.
+    """
+    labels = usable(labels)
+    terms = learned_terms(docs, labels, train, max_labels)
+    known = cell_columns(docs.where(train), terms, ["doc_id"])
+    weights = fitted(known.select("row.doc_id", "c0", "c1", "c2", "c3"), labels)
+    found = cell_columns(docs, terms, docs.columns)
+    return found.where(score_of(weights) < least).select("row.*")
