@@ -242,11 +242,17 @@ def judged(docs: DataFrame) -> DataFrame:
     return verdicts(found, limits_of(found)).drop("t_lang", "t_source")
 
 
+def settled(measures: DataFrame) -> DataFrame:
+    """`measures` out of a generator: no filter on them is pushed below it, where it would measure again."""
+    found = F.struct(*[c for c in measures.columns if c != "row"])
+    return measures.select("row", F.inline(F.array(found)))
+
+
 def kept(docs: DataFrame) -> DataFrame:
     """The documents that the rules keep, with all their columns.
 
     Texts are measured twice, for the limits and for the verdict, so that none is written or shuffled
     on the way: all that is stored are the sketches and the limits.
     """
-    limits = limits_of(measured(docs.select("text", "lang", "source")))
-    return verdicts(measured(docs), limits).where("kept").select("row.*")
+    limits = limits_of(settled(measured(docs.select("text", "lang", "source"))))
+    return verdicts(settled(measured(docs)), limits).where("kept").select("row.*")
