@@ -13,6 +13,7 @@ from tideline.sinks.tables import KeyValueTable, SeenKeys, batch_writer, stream_
 from tideline.sources import files
 from tideline.streaming import processors as p
 from tideline.streaming.batches import running_batches
+from tideline.streaming import run
 from tideline.streaming.run import as_stream, batch_folder, final_rows, run_bounded, settle
 
 BASE = 1599990000
@@ -306,3 +307,16 @@ def test_keyed_state_equals_the_scans(spark, rows):
             expected.append((k, seq, last[k], str(v)))
         last[k] = str(v)
     assert sorted(map(tuple, run_bounded(pairs).drop("batch").collect())) == sorted(expected)
+
+
+def test_a_table_with_long_texts_is_dealt_to_more_files(spark, tmp_path, rows, monkeypatch):
+    """Few rows, many bytes: no task gets more than the bytes of a file, and batches stay as they are."""
+    paths = iter([str(tmp_path / "in"), *[str(tmp_path / f"more{n}") for n in range(9)]])
+    monkeypatch.setattr(run, "shared_path", lambda spark, name: next(paths))
+    monkeypatch.setattr(run, "BYTES_PER_FILE", 10_000, raising=False)
+    table = spark.range(120).select("id", F.repeat(F.lit("x"), 1000).alias("text"))
+    stream = as_stream(table, "id")
+    assert len(list((tmp_path / "in").glob("part-*"))) == 12
+    out = run_bounded(stream)
+    assert out.count() == 120 and out.select("batch").distinct().count() == 3
+    assert rows(out, "id") == rows(table, "id")

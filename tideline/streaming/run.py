@@ -8,11 +8,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import BinaryType, StringType
 
 from tideline.session import shared_path
 
 ROWS_PER_FILE = 1_000_000
 ROWS_PER_BATCH = 10_000_000
+#: of strings and binaries before compression
+BYTES_PER_FILE = 64 << 20
 
 
 def as_slices(df: DataFrame, slice_of: str) -> DataFrame:
@@ -67,9 +70,14 @@ def as_stream(
     offsets per trigger.
     """
     spark = df.sparkSession
-    rows = df.count()
+    wide = [
+        F.coalesce(F.octet_length(F.col(f"`{f.name}`")), F.lit(0)).cast("bigint")
+        for f in df.schema.fields if isinstance(f.dataType, (StringType, BinaryType))
+    ]
+    rows, size = df.agg(F.count(F.lit(1)), F.sum(sum(wide, F.lit(0)))).first()
     batches = max(batches, -(-rows // ROWS_PER_BATCH))
-    per_batch = max(1, -(-rows // (batches * ROWS_PER_FILE)))
+    files = max(-(-rows // ROWS_PER_FILE), -(-(size or 0) // BYTES_PER_FILE))
+    per_batch = max(1, -(-files // batches))
     path = shared_path(spark, "stream-in")
     df.repartitionByRange(batches * per_batch, order).write.parquet(path)
     sent = _in_sequence(spark, path, set())
