@@ -116,6 +116,23 @@ def test_late_windows(spark, tmp_path, rows):
     ]
 
 
+def test_a_batch_of_windows_takes_no_more_tasks_than_its_rows_need(spark, tmp_path):
+    """As many windows as shuffle partitions, yet a few files: empty and tiny partitions are put together."""
+    path = str(tmp_path / "out")
+    measures = [scan.running_count("n")]
+    write = timed.window_batches(["k"], "us", 10, 2, 5, measures, path, str(tmp_path / "state"))
+    rows = spark.range(900).select(F.lit("a").alias("k"), (F.col("id") * 10).alias("us"))
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "60")
+    try:
+        write(rows, 0)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    fired = f"{path}/firings/batch=0"
+    assert spark.read.parquet(fired).count() == 898  # two windows are still open
+    assert len(list((tmp_path / "out/firings/batch=0").glob("part-*"))) <= 10
+
+
 def test_sessions_that_a_late_row_joins(spark, tmp_path, rows):
     path, state = str(tmp_path / "out"), str(tmp_path / "state")
     write = timed.session_batches(
