@@ -123,22 +123,51 @@ def item_windows(items: DataFrame) -> DataFrame:
     )
 
 
+def probed(docs: DataFrame, widths: list[int]) -> DataFrame:
+    """doc_id, text_key, doc_at, hash, width: the windows of the documents, with the hashes that
+    `windows` and, for each of `widths`, `exact_windows` give.
+
+    A row for each word brings the words behind it, so that Spark compiles the hashing; functions of
+    array elements are not compiled.
+    """
+    raw = [raw_words(F.col("text")).alias("raw")] * bool(widths)
+    split = docs.select(
+        "doc_id", text_key(F.col("text")).alias("text_key"), template_words(F.col("text")).alias("t"), *raw
+    )
+    n = F.size("t")
+    behind = {"t": range(WIDTH), **({"raw": range(max(widths))} if widths else {})}
+    names = [f"{c}{k}" for c, places in behind.items() for k in places]
+    # a slice that starts behind the end is empty
+    runs = [F.slice(F.col(c), k + 1, F.greatest(n, F.lit(1))).alias(f"{c}{k}") for c, places in behind.items() for k in places]
+    # outer, as a plain one makes a filter of the whole expression and moves it below the split
+    placed = split.select(
+        "doc_id", "text_key", n.alias("n"),
+        F.when((n > 0) & (n < WIDTH), F.xxhash64(F.array_join("t", " "), n)).alias("short"),
+        F.posexplode_outer(F.arrays_zip(*runs)).alias("doc_at", "w"),
+    ).select("doc_id", "text_key", "n", "short", "doc_at", *[F.col(f"w.{c}").alias(c) for c in names])
+    left = F.col("n") - F.col("doc_at")
+    hashes = [
+        F.struct(
+            F.when(left >= WIDTH, F.xxhash64(*[f"t{k}" for k in range(WIDTH)]))
+            .when(F.col("doc_at") == 0, F.col("short")).alias("hash"),
+            F.lit(0).alias("width"),
+        )
+    ] + [
+        F.struct(
+            F.when(left >= w, F.xxhash64(F.lit("exact"), *[f"raw{k}" for k in range(w)])).alias("hash"),
+            F.lit(w).alias("width"),
+        )
+        for w in sorted(widths)
+    ]
+    listed = placed.select("doc_id", "text_key", "doc_at", F.explode(F.array(*hashes)).alias("w"))
+    return listed.select("doc_id", "text_key", "doc_at", "w.hash", "w.width")
+
+
 def matches(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     """doc_id, text_key, item_id, n_windows, n_good, shift, at, good: the places that match at a shift."""
     # at most as many as a window has words
     widths = [r.width for r in wanted.where("width > 0").select("width").distinct().collect()]
-    split = docs.select(
-        "doc_id", text_key(F.col("text")).alias("text_key"), template_words(F.col("text")).alias("t"),
-        *[raw_words(F.col("text")).alias("raw")] * bool(widths),
-    )
-    hashes = listed(windows(F.col("t")), F.lit(0))
-    if widths:
-        hashes = F.concat(hashes, *[listed(exact_windows(F.col("raw"), w), F.lit(w)) for w in sorted(widths)])
-    hashed = split.select("doc_id", "text_key", hashes.alias("hashes"))
-    # outer, as a plain one makes a filter of the whole expression and moves it below the split
-    probes = hashed.select("doc_id", "text_key", F.explode_outer("hashes").alias("w")).select(
-        "doc_id", "text_key", F.col("w.at").alias("doc_at"), "w.hash", "w.width"
-    )
+    probes = probed(docs, widths)
     met = probes.join(wanted, ["hash", "width"])
     diagonal = ["doc_id", "text_key", "item_id", "n_windows", "n_good", "shift"]
     return (
