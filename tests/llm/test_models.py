@@ -390,3 +390,20 @@ def test_every_operator_is_registered():
     numbers = sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES)
     assert numbers == list(range(1, 14))
     assert Path(corpus_pipeline.__file__).name == "corpus_pipeline.py"
+
+
+def test_the_network_learns_from_every_training_document(make, prose, monkeypatch):
+    """However much text there is: the shares of the rounds make up the whole."""
+    training = make([prose(i, 6) for i in range(300)])
+    learned_from = []
+
+    def noted(some, lex, net):
+        learned_from.extend(r.doc_id for r in some.select("doc_id").collect())
+        return net
+
+    monkeypatch.setattr(scoring, "trained", noted)
+    for tokens in (10, 10**7, 10**12):
+        learned_from.clear()
+        scoring.learned(training, scoring.Lexicon([b"a"], np.ones(1), tokens, 1))
+        assert set(learned_from) == set(range(300))
+    assert len(learned_from) <= 303  # once each, but for the ends of the shares

@@ -201,8 +201,12 @@ def slopes(net: Network, h: np.ndarray, at: np.ndarray, new: np.ndarray, texts:
     d /= n
     out["class_out"], out["class_bias"] = flat.T @ d, d.sum(0)
     d_flat = d @ w["class_out"].T
-    for c in np.unique(group[word >= 0]):
-        m = np.flatnonzero((group == c) & (word >= 0))
+    inner = np.flatnonzero(word >= 0)
+    inner = inner[np.argsort(group[inner], kind="stable")]
+    sizes = np.bincount(group[inner], minlength=len(w["word_out"]))
+    ends = np.cumsum(sizes)
+    for c in np.flatnonzero(sizes):
+        m = inner[ends[c] - sizes[c] : ends[c]]
         logs = log_softmax(flat[m] @ w["word_out"][c] + w["word_bias"][c])
         loss -= logs[np.arange(len(m)), word[m]].sum()
         d = np.exp(logs)
@@ -224,7 +228,10 @@ def slopes(net: Network, h: np.ndarray, at: np.ndarray, new: np.ndarray, texts:
         out["gates"] += before.T @ d_gates
         dh = dh * z + d_gates @ w["gates"].T + d_states[t]
         dh = np.where(new[t][:, None], np.float32(0), dh)
-    np.add.at(out["inputs"], symbol[full], d_inputs[full])
+    order = np.argsort(symbol[full], kind="stable")
+    if len(order):
+        found, first = np.unique(symbol[full][order], return_index=True)
+        out["inputs"][found] = np.add.reduceat(d_inputs[full][order], first)
     return out, h, loss, len(where)
 
 

@@ -6,11 +6,11 @@ of their own in the network and the others belong to classes by frequency. All o
 never seen, are the last class. Their counts stay in a table: scoring leaves the cold words of each
 document beside its sums, and one join brings their counts, so no vocabulary has to fit anywhere.
 
-The network is trained where the data is. In each round every partition trains a copy on its part of
-a share of the training documents, drawn by a hash of their ids, by truncated backpropagation; the
-copies are averaged in Spark, weighed by their tokens. The share is fixed for large inputs, so that
-what is learned from grows with the input, and is larger for small ones. Class sizes and shares in
-classes come from all training documents.
+The network is trained where the data is, on all training documents. In each round every partition
+trains a copy on its part of a share of them, dealt by a hash of their ids, by truncated
+backpropagation; the copies are averaged in Spark, weighed by their tokens. The shares of the rounds
+make up the whole; small inputs are gone through more than once. Class sizes and shares in classes
+come from all training documents too.
 
 A text is lower-cased words (A-Z) and one end token; a null text is the end token alone. Rows that
 repeat a document are scored each time. A null id is in the fold of the empty text. Without training
@@ -39,7 +39,7 @@ HOT = 100_000
 LEAST_COUNT = 4
 GROUPS, GROUP_SIZE = 32, 64
 ROUNDS = 3
-TRAIN_SHARE = 1 / 60
+PLACES = 1 << 20
 LEAST_TOKENS = 1_500_000
 BLOCKS = 64
 FLUSH = 400_000
@@ -228,13 +228,22 @@ def trained(training: DataFrame, lex: Lexicon, net: Network) -> Network:
     return Network(out)
 
 
+def shares(tokens: int) -> list[Column]:
+    """Which documents each round learns from; every document is in one of them at least.
+
+    A round has `LEAST_TOKENS` or its part of the whole, whichever is more.
+    """
+    width = -(-PLACES // ROUNDS)
+    if tokens * width < LEAST_TOKENS * PLACES:
+        width = min(PLACES, -(-LEAST_TOKENS * PLACES // max(tokens, 1)))
+    draw = F.pmod(F.xxhash64(F.col("doc_id"), F.lit("train")), F.lit(PLACES))
+    return [F.pmod(draw - k * width, F.lit(PLACES)) < width for k in range(ROUNDS)]
+
+
 def learned(training: DataFrame, lex: Lexicon) -> Network:
     net = Network.new(lex.class_log, lex.word_log, lex.symbols)
-    share = min(1.0, max(TRAIN_SHARE, LEAST_TOKENS / max(lex.total, 1)))
-    draw = F.pmod(F.xxhash64(F.col("doc_id"), F.lit("train")), F.lit(1 << 20)) / (1 << 20)
-    for k in range(ROUNDS):
-        place = draw + F.lit(1 - (k * share) % 1)
-        net = trained(training.where(place - F.floor(place) < share), lex, net)
+    for share in shares(lex.total):
+        net = trained(training.where(share), lex, net)
     return net
 
 
