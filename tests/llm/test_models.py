@@ -6,6 +6,7 @@ from collections import Counter
 from pathlib import Path
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -116,6 +117,58 @@ def test_slopes_are_differences():
         assert np.isclose((losses[0] - losses[1]) / 2e-3 / n, slope[at], rtol=0.02, atol=1e-4), name
 
 
+def test_tokens_are_words_and_an_end():
+    odd = [None, "", " ", "a", " A  b\tB ", "x\x1cy\x85z\u00a0\u2003Ä\x0b", "\n\r\x0cq", "End end eND"]
+    batch = pa.RecordBatch.from_pydict({"text": pa.array([*odd, *odd[::-1], None], pa.string())})
+    for part in (batch, batch.slice(3, 7), batch.slice(1, 2), batch.slice(0, 0)):
+        texts = part.column("text").to_pylist()
+        expected = [[*(t or "").encode().lower().split(), b""] for t in texts]
+        found, starts = scoring.tokens(part)
+        assert found.to_pylist() == [w for ws in expected for w in ws]
+        assert np.diff(starts).tolist() == [len(ws) for ws in expected]
+        lex = scoring.Lexicon([b"", b"b"], np.array([5.0, 4.0]), 12, 5)
+        places = lex.places(found)
+        assert places.tolist() == [{b"": 0, b"b": 1}.get(w, 2) for ws in expected for w in ws]
+        cold = scoring.cold_words(found, starts, np.flatnonzero(places == 2)).to_pylist()
+        assert [{x["word"]: x["n"] for x in some} for some in cold] == [
+            Counter(w for w in ws if w not in (b"", b"b")) for ws in expected
+        ]
+        counts = scoring.counted(part).to_pydict()
+        assert dict(zip(counts["word"], counts["n"], strict=True)) == Counter(found.to_pylist())
+
+
+def test_rows_that_rest_move_as_by_plain_adam():
+    draw = np.random.default_rng(3)
+    inputs, others = draw.normal(size=(9, 4)), draw.normal(size=5)
+    plain, first, second = np.concatenate([inputs.ravel(), others]), np.zeros(41), np.zeros(41)
+    adam = recurrent.Adam(inputs, others, 0.01)
+    for step in range(1, 60):
+        rows = np.flatnonzero(draw.random(9) < 0.2)
+        of_rows, slopes = draw.normal(0, 0.7, (len(rows), 4)), draw.normal(0, 1e-5, 5)
+        dense = np.zeros((9, 4))
+        dense[rows] = of_rows
+        g = np.clip(np.concatenate([dense.ravel(), slopes]), -1, 1)
+        first, second = 0.9 * first + 0.1 * g, 0.999 * second + 0.001 * g * g
+        scale = 0.01 * np.sqrt(1 - 0.999**step) / (1 - 0.9**step)
+        plain -= scale * first / (np.sqrt(second) + 1e-6)
+        adam.move(rows, of_rows, slopes)
+    assert np.allclose(plain, np.concatenate([inputs.ravel(), others]), atol=1e-9)
+
+
+def test_rows_of_a_symbol_are_added():
+    draw = np.random.default_rng(4)
+    symbol, d = np.minimum(draw.zipf(1.5, 300), 70_000), draw.normal(size=(300, 5))
+    found, sums = recurrent.row_sums(symbol, d)
+    assert found.tolist() == sorted(set(symbol.tolist()))
+    assert np.allclose(sums, [d[symbol == s].sum(0) for s in found])
+
+
+def test_steep_logits_stay_finite():
+    x = np.array([[0, 500.0], [-700, -900], [3, 4]], np.float32)
+    logs = recurrent.log_shares(x.copy(), np.array([0, 1, 0]))[0]
+    assert np.allclose(logs, [-500, -200, -np.log1p(np.e)])
+
+
 # --- language -----------------------------------------------------------------------------------
 
 

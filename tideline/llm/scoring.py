@@ -22,16 +22,16 @@ from __future__ import annotations
 
 import math
 import uuid
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tideline.llm.common import stored, texts, words
+from tideline.llm.common import arrow_rows, stored, words
 from tideline.llm.recurrent import Network, Texts, score, train
 
 HOT = 100_000
@@ -42,39 +42,41 @@ ROUNDS = 3
 PLACES = 1 << 20
 LEAST_TOKENS = 1_500_000
 BLOCKS = 64
-FLUSH = 400_000
+#: texts at a time; lanes of few texts would stay half empty
+TEXTS = 4000
 END = b""
 
 
-def tokens(text: bytes) -> list[bytes]:
-    return [*text.lower().split(), END]
+def tokens(batch: pa.RecordBatch) -> tuple[pa.Array, np.ndarray]:
+    """The tokens of a batch's texts, one text after the other, and where each text begins.
 
+    Arrow's functions for ASCII know A-Z and the six blanks of ASCII only, in bytes of any kind.
+    """
+    lists = pc.ascii_split_whitespace(pc.ascii_lower(pc.fill_null(batch.column("text"), "")))
+    found = lists.flatten().cast(pa.binary())
+    ends = np.cumsum(lists.value_lengths().to_numpy(zero_copy_only=False), dtype=np.int64)
+    word = pc.binary_length(found).to_numpy(zero_copy_only=False) > 0  # blanks at an end leave an empty one
+    before = np.concatenate([[0], np.cumsum(word)])[ends]
+    starts = np.concatenate([[0], before + np.arange(1, len(ends) + 1)])
+    take = np.full(starts[-1], len(found), np.int64)
+    inner = np.ones(len(take), bool)
+    inner[starts[1:] - 1] = False
+    take[inner] = np.flatnonzero(word)
+    return pa.concat_arrays([found, pa.array([END], pa.binary())]).take(pa.array(take)), starts
 
-# --- counts -------------------------------------------------------------------------------------
 
+# --- counts -------------------------------------------------------------------------------------
 
-def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """word, n of a partition; passed on whenever the table has grown large."""
-    table: Counter[bytes] = Counter()
 
-    def out() -> pa.RecordBatch:
-        made = pa.RecordBatch.from_pydict(
-            {"word": pa.array(list(table), pa.binary()), "n": pa.array(list(table.values()), pa.int64())}
-        )
-        table.clear()
-        return made
-
-    for batch in batches:
-        for text in texts(batch):
-            table.update(tokens(text))
-            if len(table) > FLUSH:
-                yield out()
-    yield out()
+def counted(batch: pa.RecordBatch) -> pa.RecordBatch:
+    """word, n of a batch."""
+    table = tokens(batch)[0].value_counts()
+    return pa.RecordBatch.from_arrays([table.field(0), table.field(1)], ["word", "n"])
 
 
 def vocabulary(training: DataFrame) -> DataFrame:
     """word, c: how often each token stands in the training texts."""
-    counts = training.select("text").mapInArrow(counted, "word binary, n long")
+    counts = training.select("text").mapInArrow(arrow_rows(counted, TEXTS), "word binary, n long")
     return counts.groupBy("word").agg(F.sum("n").alias("c"))
 
 
@@ -89,7 +91,7 @@ class Lexicon:
 
     def __post_init__(self) -> None:
         n, k = len(self.words), GROUPS * GROUP_SIZE
-        self.index = {w: i for i, w in enumerate(self.words)}
+        self.known = pa.array(self.words, pa.binary())
         rank = np.arange(n)
         own = rank < k
         band = np.floor(np.log2(np.maximum(self.counts, 1))).astype(int)
@@ -121,14 +123,11 @@ class Lexicon:
         self.base = np.append(np.log10(weight / self.base_mass), 0.0)
         self.symbols = k + len(bands) + 1
 
-    def places(self, found: list[bytes]) -> np.ndarray:
+    def places(self, found: pa.Array) -> np.ndarray:
         """Numbers of words; cold ones have the last."""
-        n = len(self.words)
-        return np.fromiter((self.index.get(w, n) for w in found), np.int32, len(found))
+        return pc.index_in(found, value_set=self.known).fill_null(len(self.words)).to_numpy()
 
-    def laid(self, places: list[np.ndarray]) -> Texts:
-        flat = np.concatenate(places) if places else np.empty(0, np.int32)
-        starts = np.concatenate([[0], np.cumsum([len(p) for p in places])]).astype(np.int64)
+    def laid(self, flat: np.ndarray, starts: np.ndarray) -> Texts:
         return Texts(self.symbol[flat], self.group[flat], self.word[flat], starts)
 
 
@@ -184,10 +183,9 @@ def trained(training: DataFrame, lex: Lexicon, net: Network) -> Network:
         lexical, weights = unpacked(name, shared)
         copy, seen = Network({k: v.copy() for k, v in weights.items()}), 0
         for batch in batches:
-            for start in range(0, batch.num_rows, 1000):
-                some = texts(batch.slice(start, 1000))
-                laid = lexical.laid([lexical.places(tokens(t)) for t in some])
-                seen += train(copy, laid)[1]
+            for start in range(0, batch.num_rows, TEXTS):
+                found, starts = tokens(batch.slice(start, TEXTS))
+                seen += train(copy, lexical.laid(lexical.places(found), starts))[1]
         if not seen:
             return
         flat = np.concatenate([v.ravel() for v in copy.weights.values()]).astype(np.float64) * seen
@@ -255,6 +253,18 @@ SCORED = (
 )
 
 
+def cold_words(found: pa.Array, starts: np.ndarray, places: np.ndarray) -> pa.Array:
+    """For each text, those of its words that stand at the places, with their counts."""
+    rare = found.take(pa.array(places)).dictionary_encode()
+    text = np.searchsorted(starts, places, side="right") - 1
+    distinct = max(len(rare.dictionary), 1)
+    pairs, n = np.unique(text * distinct + rare.indices.to_numpy(), return_counts=True)
+    words = rare.dictionary.take(pa.array(pairs % distinct))
+    of_text = np.bincount(pairs // distinct, minlength=len(starts) - 1)
+    both = pa.StructArray.from_arrays([words, pa.array(n.astype(np.int32))], ["word", "n"])
+    return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(of_text)]), pa.int32()), both)
+
+
 def hot_sums(docs: DataFrame, lex: Lexicon, net: Network) -> DataFrame:
     """Sums over the hot tokens of each document, and its cold words with their counts.
 
@@ -262,7 +272,6 @@ def hot_sums(docs: DataFrame, lex: Lexicon, net: Network) -> DataFrame:
     """
     name = uuid.uuid4().hex
     shared = docs.sparkSession.sparkContext.broadcast(packed(lex, net))
-    cold_type = pa.list_(pa.struct([("word", pa.binary()), ("n", pa.int32())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
@@ -271,29 +280,22 @@ def hot_sums(docs: DataFrame, lex: Lexicon, net: Network) -> DataFrame:
         network, number = Network(weights), TaskContext.get().partitionId() << 40
         last = len(lexical.words)
         for whole in batches:
-            for start in range(0, whole.num_rows, 4000):
-                batch = whole.slice(start, 4000)
-                places, cold = [], []
-                for text in texts(batch):
-                    found = tokens(text)
-                    at = lexical.places(found)
-                    rare = Counter(found[i] for i in np.flatnonzero(at == last).tolist())
-                    places.append(at)
-                    cold.append([{"word": w, "n": n} for w, n in rare.items()])
-                laid, flat = lexical.laid(places), np.concatenate(places)
-                logs = (score(network, laid) + lexical.inner[flat]) / math.log(10)
-                first = laid.starts[:-1]
-                n = batch.num_rows
+            for start in range(0, whole.num_rows, TEXTS):
+                batch = whole.slice(start, TEXTS)
+                found, starts = tokens(batch)
+                flat = lexical.places(found)
+                logs = (score(network, lexical.laid(flat, starts)) + lexical.inner[flat]) / math.log(10)
+                first, n = starts[:-1], batch.num_rows
                 yield pa.RecordBatch.from_pydict(
                     {
                         "row": pa.array(np.arange(number, number + n)),
                         "doc_id": batch.column("doc_id"),
                         "held_out": batch.column("held_out"),
-                        "n_tokens": pa.array(np.diff(laid.starts)),
+                        "n_tokens": pa.array(np.diff(starts)),
                         "n_known": pa.array(np.add.reduceat((flat < last).astype(np.int64), first)),
                         "base": pa.array(np.add.reduceat(lexical.base[flat], first)),
                         "model": pa.array(np.add.reduceat(logs, first)),
-                        "cold": pa.array(cold, cold_type),
+                        "cold": cold_words(found, starts, np.flatnonzero(flat == last)),
                     }
                 )
                 number += n
